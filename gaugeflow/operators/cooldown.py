@@ -6,14 +6,16 @@ parallel:
 
 * an alert is later than every earlier candidate of its sensor, so candidates
   that arrive with an older time can be left out first;
-* what remains is ordered by time, so it can be cut into blocks of time;
-* the last alert before a block is at most one cooldown older than the newest
-  candidate before it. So only the candidates within one cooldown of a block's
-  beginning can be its first alert, and the block is fully described by the
-  last alert that follows from each of them.
-
-Blocks are described in parallel, the descriptions of a sensor are then chained
-in order, row by row, and every block replays its part in parallel.
+* what remains is ordered by time, so it can be cut into blocks of time, and a
+  block that begins more than a cooldown after everything before it needs
+  nothing from there;
+* any other block is *linked* to what precedes. The last alert before it is at
+  most one cooldown older than the newest candidate before it, so only the
+  candidates within one cooldown of the block's beginning can be its first
+  alert. The block is described by the last alert that follows from each.
+
+Linked blocks are described in parallel, the descriptions of a sensor are then
+chained in order, row by row, and all blocks replay their part in parallel.
 """
 
 from __future__ import annotations
@@ -26,16 +28,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gaugeflow.schema import COOLDOWN_MS
-from gaugeflow.session import materialize
 
 MIN_BLOCK_MS = 3_600_000
+BATCH = 10_000
 
 
 def pick_alerts(times: np.ndarray, last: int, cooldown: int) -> np.ndarray:
     """Positions of the alerts among candidates in arrival order."""
     picked = []
-    if not len(times):
-        return np.array(picked, dtype=np.int64)
     newest = np.maximum.accumulate(times)
     at = int(np.searchsorted(newest, last + cooldown, side="right"))
     while at < len(times):
@@ -49,89 +49,130 @@ def suppress(candidates: DataFrame, cooldown_ms: int = COOLDOWN_MS,
     """The candidates that become alerts. Needs ``sensor_id``, ``seq``, ``event_ms``."""
     block_ms = block_ms or max(MIN_BLOCK_MS, 4 * cooldown_ms)
     keys = ["sensor_id", "_block"]
-    candidates = materialize(candidates, "alert-candidates")
 
     # Of several candidates in one millisecond only the first to arrive can alert, so a
     # block holds at most block_ms rows. The clock of a new sensor starts at zero.
     first = (candidates.filter(F.col("event_ms") > cooldown_ms)
              .groupBy("sensor_id", "event_ms").agg(F.min("seq").alias("seq"))
              .withColumn("_block", F.expr(f"event_ms div {block_ms}")))
-    later = Window.partitionBy("sensor_id").orderBy("_block").rowsBetween(
-        1, Window.unboundedFollowing)
-    arrivals = first.groupBy(*keys).agg(F.min("seq").alias("_first")).select(
-        *keys, F.min("_first").over(later).alias("_later"))
+    order = Window.partitionBy("sensor_id").orderBy("_block")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    after = order.rowsBetween(1, Window.unboundedFollowing)
+    blocks = first.groupBy(*keys).agg(
+        F.min("seq").alias("arrival"), F.min("event_ms").alias("begin"),
+        F.max("event_ms").alias("end"),
+    ).withColumn("later_arrival", F.min("arrival").over(after))
     # older than something in a later block that arrived before it: never an alert
-    rising = first.join(arrivals, keys).filter(
-        F.col("_later").isNull() | (F.col("seq") < F.col("_later"))).drop("_later")
-
-    def describe(key: tuple, rows: pa.Table) -> pa.Table:
-        times = _rising_times(rows)[0]
-        entries = times[:np.searchsorted(times, times[0] + cooldown_ms, side="right") + 1]
-        following = np.searchsorted(times, times + cooldown_ms, side="right")
-        at = np.arange(len(entries))
-        moving = following[at] < len(times)
-        while moving.any():
-            at = np.where(moving, following[at], at)
-            moving = following[at] < len(times)
-        return pa.table({
-            "sensor_id": pa.array([key[0].as_py()] * len(entries), pa.string()),
-            "_block": pa.array([key[1].as_py()] * len(entries), pa.int64()),
-            "entry": entries, "exit": times[at]})
+    blocks = blocks.filter(F.col("later_arrival").isNull()
+                           | (F.col("arrival") < F.col("later_arrival")))
+    blocks = blocks.withColumn("newest", F.coalesce(F.max("end").over(before), F.lit(0)))
+    blocks = blocks.withColumn("linked", F.col("begin") - F.col("newest") <= cooldown_ms)
+    blocks = blocks.select(
+        *keys, "later_arrival", "newest", "linked",
+        (F.col("linked") | F.coalesce(F.lead("linked").over(order), F.lit(False)))
+        .alias("describe"))
+    rising = first.join(blocks, keys).filter(
+        F.col("later_arrival").isNull() | (F.col("seq") < F.col("later_arrival")))
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for sensor, block, cols in _blocks(batches):
+                times = np.unique(np.maximum.accumulate(cols["event_ms"]))
+                entries = times[:np.searchsorted(times, times[0] + cooldown_ms, "right") + 1]
+                following = np.searchsorted(times, times + cooldown_ms, "right")
+                at = np.arange(len(entries))
+                moving = following[at] < len(times)
+                while moving.any():
+                    at = np.where(moving, following[at], at)
+                    moving = following[at] < len(times)
+                yield (sensor, block, cols["newest"][0], cols["linked"][0], entries, times[at])
+        return _emit(rows(), ["sensor_id", "_block", "newest", "linked", "entry", "exit"])
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sensor = block = after = None
-        last = 0
-        for batch in batches:
-            entries = batch.column("entry").to_numpy()
-            exits = batch.column("exit").to_numpy()
-            reached = []
-            for low, high in _pieces(batch):
-                here = (batch.column("sensor_id")[low].as_py(),
-                        batch.column("_block")[low].as_py())
-                if here != (sensor, block):
-                    last = 0 if here[0] != sensor else last if after is None else after
-                    (sensor, block), after = here, None
-                    reached.append((sensor, block, last))
-                if after is None:
-                    at = low + np.searchsorted(entries[low:high], last + cooldown_ms, side="right")
-                    after = int(exits[at]) if at < high else None
-            names, blocks, lasts = zip(*reached) if reached else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array(blocks, pa.int64()),
-                 pa.array(lasts, pa.int64())], names=["sensor_id", "_block", "last"])
-
-    def replay(key: tuple, rows: pa.Table) -> pa.Table:
-        times, seqs = _rising_times(rows)
-        picked = pick_alerts(times, rows.column("last")[0].as_py(), cooldown_ms)
-        return pa.table({"sensor_id": pa.array([key[0].as_py()] * len(picked), pa.string()),
-                         "seq": pa.array(seqs[picked], pa.int64())})
-
-    described = rising.groupBy(*keys).applyInArrow(
-        describe, "sensor_id string, _block long, entry long, exit long")
-    before = (described.repartition("sensor_id").sortWithinPartitions(*keys, "entry")
-              .mapInArrow(chain, "sensor_id string, _block long, last long"))
-    chosen = rising.join(before, keys).groupBy(*keys).applyInArrow(
-        replay, "sensor_id string, seq long")
+        def rows():
+            sensor, last = None, 0
+            for here, block, cols in _blocks(batches):
+                if here != sensor or not cols["linked"][0]:
+                    sensor, last = here, int(cols["newest"][0])
+                yield sensor, block, np.array([last])
+                at = np.searchsorted(cols["entry"], last + cooldown_ms, "right")
+                last = int(cols["exit"][at]) if at < len(cols["exit"]) else last
+        return _emit(rows(), ["sensor_id", "_block", "last"])
+
+    def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for sensor, _, cols in _blocks(batches):
+                picked = pick_alerts(cols["event_ms"], int(cols["last"][0]), cooldown_ms)
+                yield sensor, cols["seq"][picked]
+        return _emit(rows(), ["sensor_id", "seq"])
+
+    described = (rising.filter("describe").select(*keys, "seq", "event_ms", "newest", "linked")
+                 .repartition(*keys).sortWithinPartitions(*keys, "seq")
+                 .mapInArrow(describe, "sensor_id string, _block long, newest long, "
+                                       "linked boolean, entry long, exit long"))
+    chained = (described.repartition("sensor_id").sortWithinPartitions(*keys, "entry")
+               .mapInArrow(chain, "sensor_id string, _block long, last long"))
+    # an unlinked block starts anew whatever the last alert was
+    chosen = (rising.join(chained, keys, "left")
+              .select(*keys, "seq", "event_ms", F.coalesce("last", "newest").alias("last"))
+              .repartition(*keys).sortWithinPartitions(*keys, "seq")
+              .mapInArrow(replay, "sensor_id string, seq long"))
     return candidates.join(chosen, ["sensor_id", "seq"], "left_semi")
 
 
-def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of one sensor and block."""
-    names, blocks = batch.column("sensor_id"), batch.column("_block")
-    rows = len(batch)
-    if rows:
+def _blocks(batches: Iterator[pa.RecordBatch]
+            ) -> Iterator[tuple[str, int, dict[str, np.ndarray]]]:
+    """Sorted batches as one (sensor, block, columns) after the other."""
+    here, parts = None, []
+    for batch in batches:
+        rows = len(batch)
+        if not rows:
+            continue
+        names, blocks = batch.column("sensor_id"), batch.column("_block")
         differs = pc.or_(pc.not_equal(names.slice(1), names.slice(0, rows - 1)),
                          pc.not_equal(blocks.slice(1), blocks.slice(0, rows - 1)))
-        cuts = np.flatnonzero(differs.to_numpy(zero_copy_only=False)) + 1
-        yield from zip([0, *cuts.tolist()], [*cuts.tolist(), rows])
-
-
-def _rising_times(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Times that exceed all earlier arrivals of the block, with their arrival numbers."""
-    times = rows.column("event_ms").to_numpy()
-    seqs = rows.column("seq").to_numpy()
-    order = np.argsort(seqs)
-    times, seqs = times[order], seqs[order]
-    newest = np.maximum.accumulate(times)
-    keep = np.r_[True, times[1:] > newest[:-1]]
-    return times[keep], seqs[keep]
+        cuts = (np.flatnonzero(differs.to_numpy(zero_copy_only=False)) + 1).tolist()
+        cols = {name: batch.column(name).to_numpy(zero_copy_only=False)
+                for name in batch.schema.names if name not in ("sensor_id", "_block")}
+        for low, high in zip([0, *cuts], [*cuts, rows]):
+            key = (names[low].as_py(), blocks[low].as_py())
+            if key != here:
+                if parts:
+                    yield *here, _joined(parts)
+                here, parts = key, []
+            parts.append({name: col[low:high] for name, col in cols.items()})
+    if parts:
+        yield *here, _joined(parts)
+
+
+def _joined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    if len(parts) == 1:
+        return parts[0]
+    return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
+
+
+def _emit(rows: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``BATCH`` rows; single values are repeated to the row's length."""
+    pending, size = [], 0
+    for row in rows:
+        if len(row[-1]):
+            pending.append(row)
+            size += len(row[-1])
+        if size >= BATCH:
+            yield _as_batch(pending, names)
+            pending, size = [], 0
+    if pending:
+        yield _as_batch(pending, names)
+
+
+def _as_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    lengths = [len(row[-1]) for row in rows]
+    columns = []
+    for i in range(len(names)):
+        values = [row[i] for row in rows]
+        if isinstance(values[0], np.ndarray):
+            columns.append(pa.array(np.concatenate(values)))
+        else:
+            index = pa.array(np.repeat(np.arange(len(rows)), lengths))
+            columns.append(pa.array(values).take(index))
+    return pa.RecordBatch.from_arrays(columns, names=names)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gaugeflow.schema import MIN_CONSECUTIVE
+from gaugeflow.session import materialize
 
 BLOCK = 1 << 20
 
@@ -35,22 +36,22 @@ def breach_runs(events: DataFrame, min_consecutive: int = MIN_CONSECUTIVE,
     local = rows.withColumns({
         "_count": F.sum(F.col("breach").cast("long")).over(so_far),
         "_start": F.when(begins, F.struct("seq", "event_time")),
+        "_last": F.lead("seq").over(here).isNull(),
     }).withColumns({
         # breaches counted up to the last normal reading; NULL before the first one
         "_before": F.max(F.when(~F.col("breach"), F.col("_count"))).over(so_far),
         "_start": F.last("_start", ignorenulls=True).over(so_far),
-    }).withColumn("_run", F.col("_count") - F.coalesce("_before", F.lit(0)))
-
-    carried = _carry(local.groupBy(*keys).agg(
-        F.max(~F.col("breach")).alias("ended"),
-        F.max_by("_run", "seq").alias("run"),
-        F.max_by(F.col("_start.seq"), F.col("seq")).alias("start_seq"),
-        F.max_by(F.col("_start.event_time"), F.col("seq")).alias("start_time")))
+    }).withColumns({
+        "_run": F.col("_count") - F.coalesce("_before", F.lit(0)),
+        "_open": F.col("_before").isNull(),
+    }).drop("_count", "_before")
 
-    open_head = F.col("_before").isNull()
-    long_enough = F.col("breach") & (open_head | (F.col("_run") >= min_consecutive))
-    joined = local.filter(long_enough).join(carried, keys, "left")
-    continues = open_head & (F.col("carry") > 0)
+    # Every reading is sorted once. What can still matter is written down: possible
+    # results and the last reading of each block.
+    possible = F.col("breach") & (F.col("_open") | (F.col("_run") >= min_consecutive))
+    kept = materialize(local.filter(possible | F.col("_last")), "runs")
+    joined = kept.filter(possible).join(_carry(kept.filter("_last")), keys, "left")
+    continues = F.col("_open") & (F.col("carry") > 0)
     return joined.select(
         "sensor_id", "seq", "event_time", "_rest.*",
         (F.col("_run") + F.when(continues, F.col("carry")).otherwise(0))
@@ -62,21 +63,22 @@ def breach_runs(events: DataFrame, min_consecutive: int = MIN_CONSECUTIVE,
 
 
 def _carry(blocks: DataFrame) -> DataFrame:
-    """Length and start of the run that is open when a block begins."""
+    """Length and start of the run that is open when a block begins, from the blocks'
+    last readings."""
     order = Window.partitionBy("sensor_id").orderBy("_block")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum("run").over(so_far)
     # a block with a normal reading starts the count anew with its own tail
-    counted = blocks.withColumn("total", total).withColumn(
-        "base", F.max(F.when(F.col("ended"), F.col("total") - F.col("run"))).over(so_far)
-    ).withColumn("open", F.col("total") - F.coalesce("base", F.lit(0)))
-    fresh = (F.col("run") > 0) & (
-        F.col("ended") | (F.coalesce(F.lag("open").over(order), F.lit(0)) == 0))
-    started = counted.withColumn(
-        "start", F.when(fresh, F.struct("start_seq", "start_time"))
-    ).withColumn("start", F.last("start", ignorenulls=True).over(so_far))
+    counted = blocks.select(
+        "sensor_id", "_block", "_run", "_open", "_start", F.sum("_run").over(so_far).alias("total"),
+    ).withColumn(
+        "base", F.max(F.when(~F.col("_open"), F.col("total") - F.col("_run"))).over(so_far)
+    ).withColumn("length", F.col("total") - F.coalesce("base", F.lit(0)))
+    fresh = (F.col("_run") > 0) & (
+        ~F.col("_open") | (F.coalesce(F.lag("length").over(order), F.lit(0)) == 0))
+    started = counted.withColumn("start", F.when(fresh, F.col("_start"))).withColumn(
+        "start", F.last("start", ignorenulls=True).over(so_far))
     return started.select(
         "sensor_id", "_block",
-        F.coalesce(F.lag("open").over(order), F.lit(0)).alias("carry"),
-        F.lag("start.start_seq").over(order).alias("carry_seq"),
-        F.lag("start.start_time").over(order).alias("carry_time"))
+        F.coalesce(F.lag("length").over(order), F.lit(0)).alias("carry"),
+        F.lag("start.seq").over(order).alias("carry_seq"),
+        F.lag("start.event_time").over(order).alias("carry_time"))

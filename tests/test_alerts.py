@@ -54,7 +54,8 @@ def test_runs_across_blocks(spark, block):
 
 @pytest.mark.parametrize("seed,cooldown,block,block_ms", [
     (2, 30_000, 7, 40_000), (3, 30_000, 50, 120_000), (4, 200_000, 1 << 20, 60_000),
-    (5, 1_000, 16, 5_000), (6, 30_000, 1 << 20, None), (7, 0, 9, 10_000)])
+    (5, 1_000, 16, 5_000), (6, 30_000, 1 << 20, None), (7, 0, 9, 10_000),
+    (8, 30_000, 5, 30_000), (9, 30_000, 5, 7_000), (10, 5_000, 11, 60_000)])
 def test_alerts_across_blocks(spark, seed, cooldown, block, block_ms):
     rows = random_readings(seed)
     got = sustained_alerts(events(spark, rows), metadata(spark), cooldown_ms=cooldown,
