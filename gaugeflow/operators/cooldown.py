@@ -28,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gaugeflow.schema import COOLDOWN_MS
+from gaugeflow.session import materialize
 
 MIN_BLOCK_MS = 3_600_000
 BATCH = 10_000
@@ -55,6 +56,7 @@ def suppress(candidates: DataFrame, cooldown_ms: int = COOLDOWN_MS,
     first = (candidates.filter(F.col("event_ms") > cooldown_ms)
              .groupBy("sensor_id", "event_ms").agg(F.min("seq").alias("seq"))
              .withColumn("_block", F.expr(f"event_ms div {block_ms}")))
+    first = materialize(first, "cooldown")  # three of the steps below read it
     order = Window.partitionBy("sensor_id").orderBy("_block")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     after = order.rowsBetween(1, Window.unboundedFollowing)

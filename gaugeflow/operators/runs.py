@@ -14,6 +14,7 @@ from gaugeflow.schema import MIN_CONSECUTIVE
 from gaugeflow.session import materialize
 
 BLOCK = 1 << 20
+START = "struct<seq:bigint,event_time:timestamp>"
 
 
 def breach_runs(events: DataFrame, min_consecutive: int = MIN_CONSECUTIVE,
@@ -50,15 +51,17 @@ def breach_runs(events: DataFrame, min_consecutive: int = MIN_CONSECUTIVE,
     # results and the last reading of each block.
     possible = F.col("breach") & (F.col("_open") | (F.col("_run") >= min_consecutive))
     kept = materialize(local.filter(possible | F.col("_last")), "runs")
-    joined = kept.filter(possible).join(_carry(kept.filter("_last")), keys, "left")
-    continues = F.col("_open") & (F.col("carry") > 0)
-    return joined.select(
+    # only readings before a block's first normal one depend on earlier blocks
+    closed = kept.filter(possible & ~F.col("_open")).withColumns({
+        "carry": F.lit(0).cast("long"), "carry_start": F.lit(None).cast(START)})
+    opened = kept.filter(possible & F.col("_open")).join(
+        _carry(kept.filter("_last")), keys, "left").withColumn(
+        "carry", F.coalesce("carry", F.lit(0)))
+    start = F.when(F.col("carry") > 0, F.col("carry_start")).otherwise(F.col("_start"))
+    return closed.unionByName(opened).select(
         "sensor_id", "seq", "event_time", "_rest.*",
-        (F.col("_run") + F.when(continues, F.col("carry")).otherwise(0))
-        .cast("int").alias("consecutive_breaches"),
-        F.when(continues, F.col("carry_seq")).otherwise(F.col("_start.seq")).alias("run_seq"),
-        F.when(continues, F.col("carry_time")).otherwise(F.col("_start.event_time"))
-        .alias("run_since"),
+        (F.col("_run") + F.col("carry")).cast("int").alias("consecutive_breaches"),
+        start["seq"].alias("run_seq"), start["event_time"].alias("run_since"),
     ).filter(F.col("consecutive_breaches") >= min_consecutive)
 
 
@@ -80,5 +83,4 @@ def _carry(blocks: DataFrame) -> DataFrame:
     return started.select(
         "sensor_id", "_block",
         F.coalesce(F.lag("length").over(order), F.lit(0)).alias("carry"),
-        F.lag("start.seq").over(order).alias("carry_seq"),
-        F.lag("start.event_time").over(order).alias("carry_time"))
+        F.lag("start").over(order).alias("carry_start"))

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from gaugeflow import schema as S
 
@@ -32,6 +35,14 @@ class Metadata:
     thresholds: Dimension
 
 
+def fixed_rows(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A small constant table the optimizer can read, unlike rows held by Python."""
+    columns = list(zip(*rows)) if rows else [[] for _ in schema.fields]
+    table = pa.table([pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, schema)],
+                     names=schema.names)
+    return spark.createDataFrame(table, schema)
+
+
 def load_metadata(spark: SparkSession, path: str) -> Metadata:
     """Sensors and per-type thresholds of a metadata file.
 
@@ -44,8 +55,8 @@ def load_metadata(spark: SparkSession, path: str) -> Metadata:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return Metadata(
-            as_dimension(spark.createDataFrame([], S.SENSORS), "sensor_id"),
-            as_dimension(spark.createDataFrame(S.DEFAULT_THRESHOLDS, S.THRESHOLDS), "sensor_type"))
+            as_dimension(fixed_rows(spark, [], S.SENSORS), "sensor_id"),
+            as_dimension(fixed_rows(spark, S.DEFAULT_THRESHOLDS, S.THRESHOLDS), "sensor_type"))
     sensors = file.select(F.explode("sensors").alias("sensor_id", "s")).select("sensor_id", "s.*")
     thresholds = (file.select(F.explode("default_thresholds").alias("sensor_type", "t"))
                   .select("sensor_type", "t.*"))
@@ -53,11 +64,10 @@ def load_metadata(spark: SparkSession, path: str) -> Metadata:
 
 
 def sensor_types(spark: SparkSession) -> Dimension:
-    return as_dimension(spark.createDataFrame(S.TYPE_LABELS, S.SENSOR_TYPES), "sensor_type")
+    return as_dimension(fixed_rows(spark, S.TYPE_LABELS, S.SENSOR_TYPES), "sensor_type")
 
 
 def view_groups(spark: SparkSession, groups=S.VIEW_GROUPS) -> Dimension:
     """Bridge of view groups and their sensors; a sensor may be in several groups."""
-    lists = spark.createDataFrame(groups, "group_name string, sensors array<string>")
-    return as_dimension(
-        lists.select("group_name", F.explode("sensors").alias("sensor_id")), "sensor_id")
+    pairs = [(name, sensor) for name, sensors in groups for sensor in sensors]
+    return as_dimension(fixed_rows(spark, pairs, S.GROUPS), "sensor_id")
