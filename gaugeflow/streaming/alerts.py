@@ -3,7 +3,7 @@
 No watermark: a late reading still counts. The state of a sensor is the length
 of the open run and the time of the last alert.
 
-A micro-batch is reduced before it reaches the state. Its readings are cut into
+A micro-batch is reduced before it reaches the state. Its readings are spread by
 (sensor, block of arrival numbers); each block keeps only breaches that can
 still become alerts, plus its last reading. A sensor that sends a third of the
 data is therefore worked on by many tasks, and its single state update sees
@@ -17,9 +17,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import (
+    BooleanType, IntegerType, LongType, StringType, StructField, StructType)
 
 from gaugeflow.functions.parsing import accepted, parse_events
 from gaugeflow.operators.alerts import as_reading
@@ -28,7 +30,12 @@ from gaugeflow.schema import ALERT, COOLDOWN_MS, MIN_CONSECUTIVE, UNKNOWN_ID
 from gaugeflow.sources.metadata import Metadata
 from gaugeflow.streaming.start import start_files
 
-STREAM_BLOCK = 1 << 16
+STREAM_BLOCK = 1 << 20
+OUT = StructType([StructField("sensor_id", StringType()), StructField("seq", LongType()),
+                  StructField("consecutive_breaches", IntegerType()),
+                  StructField("reading", StringType())])
+READING = ("value double, threshold double, severity string, sensor_type string, "
+           "location string, timestamp string, critical_threshold double, event_us bigint")
 STATE = StructType([StructField("breach_count", IntegerType()),
                     StructField("last_alert_ms", LongType())])
 
@@ -38,29 +45,40 @@ def reduce_blocks(readings: DataFrame, min_consecutive: int, block: int) -> Data
 
     Adds ``run`` (breaches since the block's last normal reading), ``open`` (no
     normal reading in the block so far, so an earlier run goes on) and ``last``.
+    A stream cannot be sorted by Spark, so a task sorts its share of the
+    micro-batch; the source's cap per trigger bounds it.
     """
     out = StructType(readings.schema.fields + [
         StructField("run", LongType()), StructField("open", BooleanType()),
         StructField("last", BooleanType())])
 
-    def reduce(rows: pa.Table) -> pa.Table:
-        rows = rows.drop_columns("_block").sort_by("seq")
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share = list(batches)
+        if not share:
+            return
+        rows = pa.Table.from_batches(share).sort_by(
+            [("sensor_id", "ascending"), ("_block", "ascending"), ("seq", "ascending")])
+        size = len(rows)
+        if not size:
+            return
+        names, blocks = rows.column("sensor_id"), rows.column("_block")
+        differs = pc.or_(pc.not_equal(names.slice(1), names.slice(0, size - 1)),
+                         pc.not_equal(blocks.slice(1), blocks.slice(0, size - 1))).to_numpy()
+        begins, ends = np.r_[True, differs], np.r_[differs, True]
         breach = rows.column("breach").to_numpy()
-        count = np.cumsum(breach)
-        before = np.maximum.accumulate(np.where(breach, -1, count))
-        is_open = before < 0
-        run = count - np.maximum(before, 0)
-        keep = breach & (is_open | (run >= min_consecutive))
-        keep[-1] = True
-        at = np.flatnonzero(keep)
-        reduced = rows.take(at)
-        for name, values in (("run", run[at]), ("open", is_open[at]),
-                             ("last", at == len(run) - 1)):
-            reduced = reduced.append_column(name, pa.array(values))
-        return reduced
+        place, count = np.arange(size), np.cumsum(breach)
+        begin = np.maximum.accumulate(np.where(begins, place, 0))
+        normal = np.maximum.accumulate(np.where(breach, -1, place))
+        is_open = normal < begin
+        run = count - np.where(is_open, count[begin] - breach[begin], count[normal])
+        at = np.flatnonzero((breach & (is_open | (run >= min_consecutive))) | ends)
+        reduced = rows.drop_columns("_block").take(at)
+        for name, values in (("run", run), ("open", is_open), ("last", ends)):
+            reduced = reduced.append_column(name, pa.array(values[at]))
+        yield from reduced.to_batches(max_chunksize=10_000)
 
     blocks = readings.withColumn("_block", F.expr(f"seq div {block}"))
-    return blocks.groupBy("sensor_id", "_block").applyInArrow(reduce, out)
+    return blocks.repartition("sensor_id", "_block").mapInArrow(reduce, out)
 
 
 class SustainedAlerts(StatefulProcessor):
@@ -75,21 +93,27 @@ class SustainedAlerts(StatefulProcessor):
         self._state = handle.getValueState("breaches", STATE, self._ttl)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("seq", ignore_index=True)
-        run, is_open = batch["run"].to_numpy().copy(), batch["open"].to_numpy()
-        carry, last = self._state.get() if self._state.exists() else (0, 0)
+        parts = list(rows)
+        batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        order = np.argsort(batch["seq"].to_numpy())
+        run, is_open, breach, times = (
+            batch[c].to_numpy()[order] for c in ("run", "open", "breach", "event_ms"))
+        run = run.copy()
+        before = self._state.get() if self._state.exists() else (0, 0)
+        carry, last = before
         begin = 0
-        for end in np.flatnonzero(batch["last"].to_numpy()):
+        for end in np.flatnonzero(batch["last"].to_numpy()[order]).tolist():
+            # readings before the block's first normal one continue the open run
             run[begin:end + 1] += np.where(is_open[begin:end + 1], carry, 0)
             carry, begin = int(run[end]), end + 1
-        due = batch.assign(run=run)[batch["breach"].to_numpy() & (run >= self._min)]
-        picked = pick_alerts(due["event_ms"].to_numpy(), last, self._cooldown)
+        due = np.flatnonzero(breach & (run >= self._min))
+        picked = due[pick_alerts(times[due], last, self._cooldown)]
         if len(picked):
-            last = int(due["event_ms"].iloc[picked[-1]])
-        self._state.update((carry, last))
-        alerts = due.iloc[picked]
-        if len(alerts):
-            yield alerts.assign(consecutive_breaches=alerts["run"])[ALERT.names]
+            last = int(times[picked[-1]])
+            yield batch.iloc[order[picked]].assign(
+                consecutive_breaches=run[picked].astype(np.int32))[OUT.names]
+        if (carry, last) != tuple(before):
+            self._state.update((carry, last))
 
     def close(self) -> None:
         pass
@@ -99,13 +123,27 @@ def stream_alerts(events: DataFrame, metadata: Metadata, min_consecutive: int =
                   cooldown_ms: int = COOLDOWN_MS, ttl_ms: int | None = None,
                   block: int = STREAM_BLOCK) -> DataFrame:
     """Alerts with the same rows as ``sustained_alerts`` on the stored events."""
-    readings = as_reading(events, metadata).withColumns({
-        "event_ms": F.unix_millis("event_time"),
-        "sensor_type": F.coalesce("sensor_type", F.lit(UNKNOWN_ID)),
-        "location": F.coalesce("location", F.lit(UNKNOWN_ID))})
-    return reduce_blocks(readings, min_consecutive, block).groupBy(
+    readings = as_reading(events, metadata)
+    # One text column instead of eight: the state function is called once per sensor, and
+    # each further column costs every call. A normal reading only ends a run, so nothing
+    # else of it is moved.
+    slim = readings.select(
+        "sensor_id", "seq", F.unix_millis("event_time").alias("event_ms"), "breach",
+        F.when(F.col("breach"), F.to_json(F.struct(
+            "value", "threshold", "severity", "sensor_type", "location", "timestamp",
+            F.nullif("critical_threshold", F.lit(float("inf"))).alias("critical_threshold"),
+            F.unix_micros("event_time").alias("event_us")))).alias("reading"))
+    alerts = reduce_blocks(slim, min_consecutive, block).groupBy(
         "sensor_id").transformWithStateInPandas(
-        SustainedAlerts(min_consecutive, cooldown_ms, ttl_ms), ALERT, "Append", "None")
+        SustainedAlerts(min_consecutive, cooldown_ms, ttl_ms), OUT, "Append", "None")
+    full = alerts.select("sensor_id", "seq", "consecutive_breaches",
+                         F.from_json("reading", READING).alias("r"))
+    return full.select("sensor_id", "seq", "consecutive_breaches", "r.*").withColumns({
+        "sensor_type": F.coalesce("sensor_type", F.lit(UNKNOWN_ID)),
+        "location": F.coalesce("location", F.lit(UNKNOWN_ID)),
+        "critical_threshold": F.coalesce("critical_threshold", F.lit(float("inf"))),
+        "event_time": F.timestamp_micros("event_us"),
+    }).select(*ALERT.names)
 
 
 def alert_job(envelope: DataFrame, metadata: Metadata, path: str, checkpoint: str,
