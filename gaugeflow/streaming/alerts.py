@@ -99,7 +99,7 @@ class SustainedAlerts(StatefulProcessor):
         run, is_open, breach, times = (
             batch[c].to_numpy()[order] for c in ("run", "open", "breach", "event_ms"))
         run = run.copy()
-        before = self._state.get() if self._state.exists() else (0, 0)
+        before = self._state.get() or (0, 0)
         carry, last = before
         begin = 0
         for end in np.flatnonzero(batch["last"].to_numpy()[order]).tolist():

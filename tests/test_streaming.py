@@ -1,4 +1,5 @@
 import json
+import os
 import random
 
 import pytest
@@ -8,12 +9,14 @@ from model import alerts_of
 from gaugeflow.functions.parsing import accepted, parse_events
 from gaugeflow.operators.alerts import sustained_alerts
 from gaugeflow.operators.windows import window_aggregates
-from gaugeflow.schema import ALERT
+from gaugeflow.jobs import main
+from gaugeflow.schema import AGGREGATES_TOPIC, ALERT, ALERTS_TOPIC
 from gaugeflow.sources import archive
 from gaugeflow.sources.events import file_events
-from gaugeflow.streaming.aggregates import aggregate_job
-from gaugeflow.streaming.alerts import alert_job
+from gaugeflow.streaming.aggregates import aggregate_job, stream_aggregates
+from gaugeflow.streaming.alerts import alert_job, stream_alerts
 from gaugeflow.streaming.progress import ProgressCounters
+from gaugeflow.streaming.results import publish_job, result_tables_job
 from gaugeflow.streaming.start import finish
 
 
@@ -26,7 +29,9 @@ def write_batch(folder, number, rows):
                             "value": value, "unit": "u", "location": place})
         lines.append(json.dumps({"value": value, "topic": "sensor-events", "partition": partition,
                                  "offset": seq, "timestamp": at(9999).isoformat()}))
-    (folder / f"{number:04d}.json").write_text("\n".join(lines) + "\n")
+    file = folder / f"{number:04d}.json"
+    file.write_text("\n".join(lines) + "\n")
+    os.utime(file, (1_700_000_000 + number,) * 2)  # the source takes files by their time
 
 
 def source(spark, folder):
@@ -128,3 +133,33 @@ def test_archive_stream_after_restart(spark, tmp_path):
     want = sorted(r.value for r in file_events(spark, str(tmp_path / "in")).collect())
     got = sorted(r.value for r in archive.read_archive(spark, str(tmp_path / "raw")).collect())
     assert got == want and len(got) == 2
+
+
+def test_results_through_topics(spark, tmp_path):
+    rows = [event("a", i, t, 90) for i, t in enumerate([1, 2, 3, 500])]
+    write_batch(tmp_path / "in", 0, rows)
+    events_stream = accepted(parse_events(source(spark, tmp_path / "in")))
+    out = tmp_path / "records"
+    finish(publish_job(stream_aggregates(events_stream), AGGREGATES_TOPIC, str(out / "one"),
+                       str(tmp_path / "c1"), None, 2), 300)
+    finish(publish_job(stream_alerts(events_stream, metadata(spark)), ALERTS_TOPIC,
+                       str(out / "two"), str(tmp_path / "c2"), None, 2), 300)
+    records = file_events(spark, str(out / "*"), stream=True)
+    for query in result_tables_job(records, str(tmp_path / "tables"), str(tmp_path / "c3"), None):
+        finish(query, 300)
+    aggs = spark.read.parquet(str(tmp_path / "tables" / AGGREGATES_TOPIC)).collect()
+    alerts = spark.read.parquet(str(tmp_path / "tables" / ALERTS_TOPIC)).collect()
+    assert [(r.window_start_label, r.event_count) for r in aggs] == [("00:00", 3)]
+    assert [(r.seq, r.consecutive_breaches) for r in alerts] == [(2, 3), (3, 4)]
+
+
+def test_job_from_the_command_line(spark, tmp_path):
+    write_batch(tmp_path / "in", 0, [event("a", i, t, 90) for i, t in enumerate([1, 2, 3])])
+    common = ["--files", str(tmp_path / "in"), "--out", str(tmp_path / "out"),
+              "--checkpoint", str(tmp_path / "check"), "--metadata", str(tmp_path / "none.json"),
+              "--once"]
+    for job in ("aggregates", "alerts", "archive"):
+        main([job, *common])
+    assert spark.read.parquet(str(tmp_path / "out" / "alerts")).count() == 1
+    assert archive.archive_status(spark, str(tmp_path / "out" / "archive")).first()[
+        "events_archived"] == 3
