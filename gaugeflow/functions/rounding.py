@@ -25,5 +25,5 @@ def round_exact(col: Column, places: int = 2, ties: str = "even") -> Column:
     up = (beyond > 0) | ((beyond == 0) & (error > 0)) | (
         (beyond == 0) & (error == 0) & tie_up)
     rounded = (base + up.cast("double")) / F.lit(scale)
-    # from 2**50 on the scaled value has no room for a fraction
-    return F.when(F.abs(product) < F.lit(float(2 ** 50)), rounded).otherwise(col)
+    # from 2**52 on the scaled value has no fraction left; such numbers stay as they are
+    return F.when(F.abs(product) < F.lit(float(2 ** 52)), rounded).otherwise(col)
