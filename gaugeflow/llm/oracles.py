@@ -26,3 +26,24 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)
 """
+
+ORACLES["op3_ngram_jaccard_join"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS p
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM d
+            WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (p) GROUP BY ALL),
+near AS (SELECT a, b, c = na.n AND c = nb.n AS same FROM pairs
+            JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+            WHERE 5 * c >= 4 * (na.n + nb.n - c)),
+copies AS (SELECT a AS doc_id, min(b) AS copy_id, count(*) AS n_copies FROM near WHERE same GROUP BY a),
+reach AS (SELECT a, b FROM near UNION SELECT r.a, x.b FROM reach r JOIN near x ON r.b = x.a),
+class AS (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a),
+links AS (SELECT a AS doc_id, count(DISTINCT copy_id) AS n_links
+          FROM near JOIN copies ON copies.doc_id = b WHERE NOT same GROUP BY a)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(copy_id, doc_id) AS copy_id,
+       coalesce(n_copies, 1) AS n_copies, coalesce(n_links, 0) AS n_links,
+       coalesce(class_id, doc_id) = doc_id AS kept
+FROM d LEFT JOIN class USING (doc_id) LEFT JOIN copies USING (doc_id) LEFT JOIN links USING (doc_id)
+"""

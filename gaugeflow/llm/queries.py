@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeflow.llm.decontamination import contamination
+from gaugeflow.llm.minhash_forest import jaccard_join
+from gaugeflow.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,6 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document with the calibrated trees."""
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, copies and links of every document at a similarity of 0.8 over word 5-grams."""
+    return jaccard_join(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 @query
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a shared window, and the items found."""
