@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from gaugeflow.llm.bpe import encoded_documents
 from gaugeflow.llm.decontamination import contamination
 from gaugeflow.llm.minhash_forest import jaccard_join
+from gaugeflow.llm.quality import quality_scores
 from gaugeflow.llm.toxicity import toxicity_scores
 
+#: The public tokenizer's ranks; a parameter of the operators.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -35,6 +41,18 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents")).drop("text_key")
 
 
+@query
+def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode and decode every document; digests of the ids and of the decoded bytes."""
+    return encoded_documents(table(spark, sf_dir, "documents"), RANKS)
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document with the factorisation machine."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a shared window, and the items found."""

@@ -1,13 +1,13 @@
 """Toxicity: gradient-boosted trees over dense features, calibrated by isotonic regression.
 
-Features of a whole text: densities of fixed and learned lexicons, how close
+Features of a whole text: densities of fixed lexicons and of learned stems, how close
 their words stand to second-person words, rates of capitals, punctuation and
 obfuscation (listed words that only show after undoing letter substitutions,
 symbols inside words, runs of one character, words with digits).
 
 Training uses at most SAMPLE_ROWS labelled rows outside the held-out fold. Their
-folds do different work, so that nothing is judged on rows it was fitted to: one
-learns the lexicon, two fit the trees, one calibrates. Scores are then computed
+folds do different work, so that nothing is judged on rows it was fitted to: two
+learn the stems, one fits the trees, one calibrates. Scores are then computed
 in one pass over the documents without a shuffle.
 
 Null and empty texts have zero features and get a score like any other; without
@@ -56,8 +56,9 @@ euch euer ihr tú ti contigo usted ustedes vosotros
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s",
                "!": "i", "*": "i"}
 
-#: A learned word stands in at least so many toxic texts of its fold, and is so many times likelier there.
-LEARNED_TEXTS, LEARNED_LIFT, LEARNED_WORDS = 4, 8.0, 256
+#: A learned stem (a word's first bytes) is so many times likelier in toxic texts of its folds than
+#: in others, and the logarithm of that ratio is so many standard errors above 0.
+STEM_BYTES, LEARNED_LIFT, LEARNED_ERRORS, LEARNED_STEMS = 5, 3.0, 4.0, 256
 NEAR_WORDS = 5
 TREES, TREE_DEPTH, STEP = 20, 3, 0.3
 
@@ -92,7 +93,7 @@ def features(block: T.Block, learned: np.ndarray) -> np.ndarray:
     n_words = np.maximum(np.diff(found.offsets), 1)
     insult, obscene, threat, second = (
         _member(found.hashes, word_hashes(x)) for x in (INSULTS, OBSCENE, THREATS, SECOND))
-    taught = _member(found.hashes, learned)
+    taught = _member(stems(block, found), learned)
     listed = insult | obscene | threat | taught
     places = np.flatnonzero(second)
     near = np.zeros(len(listed), dtype=bool)
@@ -104,7 +105,7 @@ def features(block: T.Block, learned: np.ndarray) -> np.ndarray:
             close = (np.abs(places[side] - hits) <= NEAR_WORDS) & (row_of[places[side]] == row_of[hits])
             near[hits] |= close
     undone, starts = _undone(block)
-    bad = np.union1d(np.union1d(word_hashes(INSULTS), word_hashes(OBSCENE)), learned)
+    bad = np.union1d(word_hashes(INSULTS), word_hashes(OBSCENE))
     hidden = _member(undone, bad) & ~_member(starts, found.starts[listed])
     hidden_rows = np.bincount(np.searchsorted(block.offsets, starts[hidden], side="right") - 1,
                               minlength=block.rows)[:block.rows]
@@ -118,33 +119,42 @@ def features(block: T.Block, learned: np.ndarray) -> np.ndarray:
     return np.stack(columns + [shape[x] for x in names], axis=1)
 
 
-def learn_lexicon(texts: DataFrame) -> np.ndarray:
-    """Hashes of words much likelier in toxic texts; at most LEARNED_WORDS, so they may be collected."""
+def stems(block: T.Block, found: T.Words) -> np.ndarray:
+    """Hashes of the words' first bytes."""
+    return T.span_hashes(T.lower_table()[block.data], found.starts,
+                         np.minimum(found.ends, found.starts + STEM_BYTES))
 
-    def distinct(batches):
+
+def learn_stems(texts: DataFrame) -> np.ndarray:
+    """Hashes of stems far commoner in toxic texts; at most LEARNED_STEMS, so they may be collected."""
+
+    def present(batches):
         for batch in batches:
             toxic = batch.column(0).to_numpy()
             for block in T.blocks(batch.column(2)):
                 found = T.words(block)
                 rows = np.repeat(np.arange(block.rows), np.diff(found.offsets))
-                order = np.lexsort((found.hashes, rows))
-                h, r = found.hashes[order], rows[order]
+                hashes = stems(block, found)
+                order = np.lexsort((hashes, rows))
+                h, r = hashes[order], rows[order]
                 fresh = np.ones(len(h), dtype=bool)
                 fresh[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
                 yield pa.record_batch(
-                    [pa.array(h[fresh].view(np.int64)), pa.array(toxic[block.first:block.last][r[fresh]])],
-                    names=["word", "toxic"])
+                    [pa.array(h[fresh].view(np.int64)),
+                     pa.array(toxic[block.first:block.last][r[fresh]])], names=["stem", "toxic"])
 
+    texts = texts.dropDuplicates(["text"])
     kinds = {row.label: row.n for row in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(kinds) < 2:
         return np.zeros(0, np.uint64)
-    lift = ((F.col("bad") + 0.5) / kinds[1.0]) / ((F.col("good") + 0.5) / kinds[0.0])
-    rows = (texts.mapInArrow(distinct, "word long, toxic double").groupBy("word")
-            .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-            .where(F.col("bad") >= LEARNED_TEXTS).withColumn("lift", lift)
-            .where(F.col("lift") >= LEARNED_LIFT)
-            .orderBy(F.desc("bad"), "word").limit(LEARNED_WORDS).collect())
-    return np.unique(np.array([row.word for row in rows], np.int64).view(np.uint64))
+    lift = (F.col("bad") / kinds[1.0]) / (F.col("good") / kinds[0.0])
+    rows = (texts.mapInArrow(present, "stem long, toxic double").groupBy("stem")
+            .agg((F.sum("toxic") + 0.5).alias("bad"), (F.sum(1 - F.col("toxic")) + 0.5).alias("good"))
+            .withColumn("lift", lift)
+            .withColumn("errors", F.log("lift") / F.sqrt(1 / F.col("bad") + 1 / F.col("good")))
+            .where((F.col("lift") >= LEARNED_LIFT) & (F.col("errors") >= LEARNED_ERRORS))
+            .orderBy(F.desc("errors"), "stem").limit(LEARNED_STEMS).collect())
+    return np.unique(np.array([row.stem for row in rows], np.int64).view(np.uint64))
 
 
 class ToxicityModel:
@@ -207,9 +217,9 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> T
     total = sum(seen.values())
     toxic = sum(n for (_, label), n in seen.items() if label == 1.0)
     base = toxic / total if total else 0.0
-    if any(not (seen.get((2, y), 0) + seen.get((3, y), 0)) for y in (0.0, 1.0)):
+    if any(not seen.get((3, y), 0) for y in (0.0, 1.0)):
         return ToxicityModel(np.zeros(0, np.uint64), base=base)
-    learned = learn_lexicon(texts.where("fold = 1"))
+    learned = learn_stems(texts.where("fold IN (1, 2)"))
 
     def run(batches):
         for batch in batches:
@@ -225,7 +235,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> T
                .withColumn("vector", array_to_vector("features")))
     trees = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=TREE_DEPTH,
                           stepSize=STEP, minInstancesPerNode=3, seed=7).fit(
-        rows_of.where("fold IN (2, 3)").coalesce(4))
+        rows_of.where("fold = 3").coalesce(4))
     model = ToxicityModel(learned, trees, None, base)
     if any(not seen.get((4, y), 0) for y in (0.0, 1.0)):
         return model
