@@ -118,7 +118,7 @@ def candidate_windows(documents: DataFrame, keys, short: list[int], span: int =
         kind = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int32()),
                                    ("phrase", pa.string())]))
         for batch in batches:
-            for block in T.blocks(batch.column(2)):
+            for block in T.blocks(batch.column(3)):
                 found = T.words(block)
                 total = len(found.starts)
                 ends = found.row_ends()
@@ -157,26 +157,47 @@ def candidate_windows(documents: DataFrame, keys, short: list[int], span: int =
                         lists.append(mine[i:i + CHUNK])
                 take = pa.array(source, pa.int64())
                 yield pa.record_batch(
-                    [batch.column(0).take(take), batch.column(1).take(take),
+                    [*[batch.column(i).take(take) for i in range(3)],
                      pa.array(count, pa.int64()), pa.array(lists, kind)],
-                    names=["row", "doc_id", "n_words", "windows"])
+                    names=["row", "doc_id", "text_key", "n_words", "windows"])
 
+    text = F.col("text").cast("string")
     return (documents.select(F.monotonically_increasing_id().alias("row"),
-                             F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(run, f"row long, doc_id long, n_words long, windows {WINDOW}"))
+                             F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_key"),
+                             text.alias("text"))
+            .mapInArrow(run, f"row long, doc_id long, text_key long, n_words long, windows {WINDOW}"))
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, span: int = SPAN,
-                  gram: int = GRAM) -> DataFrame:
-    """One row per document row: words, words hit, items found and their digest."""
+def _scan(documents: DataFrame, benchmark: DataFrame, span: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """The scanned documents, and the distinct (item_id, phrase) of the benchmark."""
     items = materialize(item_windows(benchmark, span, gram), "decontamination-items")
     short = [r.words for r in items.where(F.col("words") < span).select("words")
              .distinct().collect()]
     keys = build_filter(items.select(F.explode("prints").alias("print")), "print")
     scanned = materialize(candidate_windows(documents, keys, sorted(short), span, gram),
                           "decontamination-windows")
+    return scanned, items.select("item_id", F.explode("phrases").alias("phrase")).distinct()
+
+
+def without_contaminated(documents: DataFrame, benchmark: DataFrame, span: int = SPAN,
+                         gram: int = GRAM) -> DataFrame:
+    """The document rows, with all their columns, in which no window of the benchmark stands."""
+    scanned, owners = _scan(documents, benchmark, span, gram)
+    hit = materialize(
+        scanned.select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key"),
+                       F.inline("windows"))
+        .join(owners.select("phrase").distinct(), "phrase", "left_semi")
+        .select("hit_id", "hit_key").distinct(), "decontamination-hits")
+    same = (documents["doc_id"].cast("long").eqNullSafe(hit["hit_id"])
+            & (F.xxhash64(documents["text"].cast("string")) == hit["hit_key"]))
+    return documents.join(hit, same, "left_anti")
+
+
+def contamination(documents: DataFrame, benchmark: DataFrame, span: int = SPAN,
+                  gram: int = GRAM) -> DataFrame:
+    """One row per document row: words, words hit, items found and their digest."""
+    scanned, owners = _scan(documents, benchmark, span, gram)
     windows = scanned.select("row", F.inline("windows"))
-    owners = items.select("item_id", F.explode("phrases").alias("phrase")).distinct()
     hits = windows.join(owners.select("phrase").distinct(), "phrase", "left_semi")
     order = Window.partitionBy("row").orderBy("start", "words")
     before = order.rowsBetween(Window.unboundedPreceding, -1)

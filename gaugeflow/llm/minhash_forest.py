@@ -357,3 +357,16 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD, size: int =
                 F.when(F.col("grams") > 0, F.col("row") == F.col("kept_row.row"))
                 .otherwise(True).alias("kept"),
                 "text_key"))
+
+
+def one_per_class(documents: DataFrame, **settings) -> DataFrame:
+    """The document rows, with all their columns, that are kept: one of each class."""
+    kept = materialize(jaccard_join(documents, **settings).where("kept")
+                       .select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
+                       .distinct(), "forest-kept")
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    keyed = documents.withColumns({"__id": F.col("doc_id").cast("long"),
+                                   "__key": F.xxhash64(F.col("text").cast("string"))})
+    same = keyed["__id"].eqNullSafe(kept["kept_id"]) & (keyed["__key"] == kept["kept_key"])
+    # rows that are repeated as they stand share a key; one of them stays
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["__id", "__key"]).select(*columns)

@@ -47,3 +47,21 @@ SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(copy_id, doc_id)
        coalesce(class_id, doc_id) = doc_id AS kept
 FROM d LEFT JOIN class USING (doc_id) LEFT JOIN copies USING (doc_id) LEFT JOIN links USING (doc_id)
 """
+
+ORACLES["op7_exact_topk"] = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, e.vec_id, list_inner_product(q.v, e.v)::BIGINT AS score
+      FROM e q JOIN e ON q.vec_id <> e.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+ORACLES["op8_warc_chunks"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+f AS (SELECT payload, min(page_id) AS first FROM p WHERE strlen(payload) >= 100 GROUP BY payload)
+SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload)
+"""
