@@ -6,11 +6,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeflow.schema import UNKNOWN_ID
 
-# ---- Fixed values: field names of the two event dialects, ISO time form ----
+# ---- Fixed values: field names of the two event dialects, forms of times and numbers ----
 REQUIRED = ["sensor_id", "sensor_type", "value", "unit", "location"]
 OTHER_NAME = {"event_time": "timestamp", "sensor_type": "type"}
 ISO_TIME = (r"^\d{4}-\d{2}-\d{2}"
-            r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$")
+            r"([T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?)?$")
+HOUR_ONLY = r"^(.{10}[T ]\d{2})(Z|[+-]\d{2}:?\d{2})?$"
+MINUTE_ONLY = r"^(.{10}[T ]\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})?$"
+NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 # ---------------------------------------------------------------------------
 
 
@@ -29,8 +32,28 @@ def _text(name: str, strict: bool) -> Column:
 
 
 def parse_iso_time(text: Column) -> Column:
-    """Instant of an ISO-8601 text, NULL for anything else; naive text is session time."""
-    return F.when(text.rlike(ISO_TIME), F.try_to_timestamp(text))
+    """Instant of an ISO-8601 text, NULL for anything else; naive text is session time.
+
+    An hour alone is that hour's beginning; digits beyond the microsecond are cut off.
+    """
+    plain = F.regexp_replace(text, r"(\.\d{6})\d+", "$1")
+    plain = F.regexp_replace(F.regexp_replace(plain, HOUR_ONLY, "$1:00$2"), MINUTE_ONLY, "$1:00$2")
+    return F.when(text.rlike(ISO_TIME), F.try_to_timestamp(plain))
+
+
+def parse_number(text: Column) -> Column:
+    """A decimal number in JSON's form or as text; NULL for names, suffixes and hex forms,
+    which Spark's own cast would take."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
+def last_of_each(fields: Column) -> Column:
+    """A decoded map in which the last of several equal names counts."""
+    entries = F.map_entries(fields)
+    latest = F.filter(entries, lambda e, i: ~F.exists(
+        F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
+    twice = F.size(F.array_distinct(F.map_keys(fields))) < F.size(fields)
+    return F.when(twice, F.map_from_entries(latest)).otherwise(fields)
 
 
 def _reject_reason(value: Column, strict: bool) -> Column:
@@ -62,7 +85,8 @@ def parse_events(envelope: DataFrame, strict: bool = False, keep: tuple[str, ...
         "value", F.col("partition"), F.col("offset").alias("seq"),
         F.col("timestamp").alias("record_time"), *keep,
         F.explode_outer(F.array(F.from_json("value", "map<string,string>"))).alias("fields"))
-    number = F.expr("try_cast(element_at(fields, 'value') AS double)")
+    decoded = decoded.withColumn("fields", last_of_each(F.col("fields")))
+    number = parse_number(F.element_at("fields", F.lit("value")))
     sensor = _text("sensor_id", strict)
     if strict:
         number = F.when(_has("value", strict), number).otherwise(F.lit(0.0))

@@ -10,25 +10,39 @@ from __future__ import annotations
 
 import argparse
 
-from gaugeflow.schema import EVENTS_TOPIC
+from gaugeflow.functions.parsing import accepted, parse_events
+from gaugeflow.schema import AGGREGATES_TOPIC, ALERTS_TOPIC, EVENTS_TOPIC
 from gaugeflow.session import build_session, ship_code
 from gaugeflow.sources.archive import archive_job
 from gaugeflow.sources.events import file_events, kafka_events
 from gaugeflow.sources.metadata import load_metadata
-from gaugeflow.streaming.aggregates import aggregate_job
-from gaugeflow.streaming.alerts import alert_job
+from gaugeflow.streaming.aggregates import aggregate_job, stream_aggregates
+from gaugeflow.streaming.alerts import alert_job, stream_alerts
+from gaugeflow.streaming.results import publish_job, result_tables_job
 from gaugeflow.streaming.start import finish
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+
+# what one micro-batch takes unless told otherwise; the rest waits, nothing is dropped
+RECORDS_PER_TRIGGER = 5_000_000
+FILES_PER_TRIGGER = 1_000
 
 
 def arguments(args: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("job", choices=["aggregates", "alerts", "archive"])
+    parser.add_argument("job", choices=["aggregates", "alerts", "archive", "publish-aggregates",
+                                        "publish-alerts", "tables"])
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers", help="addresses of the broker")
     source.add_argument("--files", help="folder of JSON files with the broker's columns")
     parser.add_argument("--topic", default=EVENTS_TOPIC)
     parser.add_argument("--starting", default="latest")
-    parser.add_argument("--max-per-trigger", type=int)
+    parser.add_argument("--max-per-trigger", type=int,
+                        help=f"records of the broker ({RECORDS_PER_TRIGGER}) or files "
+                             f"({FILES_PER_TRIGGER}) in a micro-batch")
+    parser.add_argument("--state-partitions", type=int,
+                        help="state stores of a new checkpoint")
     parser.add_argument("--metadata", default="metadata.json")
     parser.add_argument("--out", required=True)
     parser.add_argument("--checkpoint", required=True)
@@ -41,22 +55,35 @@ def main(args: list[str] | None = None) -> None:
     opts = arguments(args)
     spark = build_session(f"sensor-{opts.job}")
     ship_code()
+    topic = [AGGREGATES_TOPIC, ALERTS_TOPIC] if opts.job == "tables" else opts.topic
     if opts.servers:
-        source = kafka_events(spark, opts.servers, opts.topic, opts.starting,
-                              opts.max_per_trigger)
+        source = kafka_events(spark, opts.servers, topic, opts.starting,
+                              opts.max_per_trigger or RECORDS_PER_TRIGGER)
     else:
         source = file_events(spark, opts.files, stream=True,
-                             max_files_per_trigger=opts.max_per_trigger)
+                             max_files_per_trigger=opts.max_per_trigger or FILES_PER_TRIGGER)
+    for query in start(spark, opts, source):
+        finish(query) if opts.once else query.awaitTermination()
+
+
+def start(spark: SparkSession, opts: argparse.Namespace, source: DataFrame) -> list[StreamingQuery]:
     out, checkpoint = f"{opts.out}/{opts.job}", f"{opts.checkpoint}/{opts.job}"
     when = {"interval": None} if opts.once else {}
+    kept = when | {"state_partitions": opts.state_partitions}
+    if opts.job == "tables":
+        return result_tables_job(source, out, checkpoint, **when)
+    if opts.job == "archive":
+        return [archive_job(source, out, checkpoint, **when)]
     if opts.job == "aggregates":
-        query = aggregate_job(source, out, checkpoint, opts.strict, **when)
-    elif opts.job == "alerts":
-        query = alert_job(source, load_metadata(spark, opts.metadata), out, checkpoint,
-                          opts.strict, **when)
-    else:
-        query = archive_job(source, out, checkpoint, **when)
-    finish(query) if opts.once else query.awaitTermination()
+        return [aggregate_job(source, out, checkpoint, opts.strict, **kept)]
+    if opts.job == "alerts":
+        metadata = load_metadata(spark, opts.metadata)
+        return [alert_job(source, metadata, out, checkpoint, opts.strict, **kept)]
+    events = accepted(parse_events(source, opts.strict))
+    if opts.job == "publish-aggregates":
+        return [publish_job(stream_aggregates(events), AGGREGATES_TOPIC, out, checkpoint, **kept)]
+    alerts = stream_alerts(events, load_metadata(spark, opts.metadata))
+    return [publish_job(alerts, ALERTS_TOPIC, out, checkpoint, **kept)]
 
 
 if __name__ == "__main__":

@@ -24,6 +24,7 @@ def _as_alert(rows: DataFrame, *more) -> DataFrame:
     return rows.withColumns({
         "sensor_type": F.coalesce("sensor_type", F.lit(UNKNOWN_ID)),
         "location": F.coalesce("location", F.lit(UNKNOWN_ID)),
+        "event_date": F.to_date("event_time"),
     }).select(*ALERT_COLUMNS, *more)
 
 

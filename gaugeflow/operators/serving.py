@@ -14,11 +14,11 @@ DIMENSIONS = {"type": "sensor_type", "sensor": "sensor_id", "group": "group_name
 RECENT_ROWS = 15
 
 
-def latest_n(rows: DataFrame, limit: int, bound: int, order: list[str]) -> DataFrame:
-    """The newest ``limit`` rows, oldest first; never more than ``bound``."""
+def latest_n(rows: DataFrame, limit: int, order: list[str]) -> DataFrame:
+    """The newest ``limit`` rows, oldest first."""
     if limit < 1:
         raise ValueError("limit must be at least 1")
-    newest = rows.orderBy(*[F.desc(c) for c in order]).limit(min(limit, bound))
+    newest = rows.orderBy(*[F.desc(c) for c in order]).limit(limit)
     return newest.orderBy(*order)
 
 
@@ -31,10 +31,11 @@ def latest_window(aggs: DataFrame) -> DataFrame:
 
 
 def events_per_minute(aggs: DataFrame) -> DataFrame:
-    """The newest window and its number of events."""
+    """The newest window and its number of events; none and 0 if there is no window."""
     per_window = aggs.groupBy("window_start").agg(F.sum("event_count").alias("events"))
-    return per_window.agg(F.max("window_start").alias("latest_window"),
-                          F.max_by("events", "window_start").alias("events_per_min"))
+    return per_window.agg(
+        F.max("window_start").alias("latest_window"),
+        F.coalesce(F.max_by("events", "window_start"), F.lit(0)).alias("events_per_min"))
 
 
 def alert_counts(alerts: DataFrame) -> DataFrame:
@@ -51,11 +52,27 @@ def dashboard_kpis(aggs: DataFrame, alerts: DataFrame) -> DataFrame:
     return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
 
 
+def _option_rows(aggs: DataFrame, dimension: str, groups: Dimension | None) -> DataFrame:
+    """Options with their place: the declared one for groups, none for the others."""
+    if dimension == "group":
+        return groups.rows.groupBy(F.col("group_name").alias("option")).agg(
+            F.min("position").alias("position"))
+    return aggs.select(F.col(DIMENSIONS[dimension]).alias("option")).distinct().withColumn(
+        "position", F.lit(0))
+
+
 def option_list(aggs: DataFrame, dimension: str, groups: Dimension | None = None) -> DataFrame:
-    """What can be selected in a dimension, sorted."""
-    source = groups.rows if dimension == "group" else aggs
-    column = DIMENSIONS[dimension]
-    return source.select(F.col(column).alias("option")).distinct().orderBy("option")
+    """What can be selected in a dimension: groups as declared, the others sorted."""
+    return _option_rows(aggs, dimension, groups).orderBy("position", "option").select("option")
+
+
+def _selected(aggs: DataFrame, dimension: str, groups: Dimension | None,
+              selection: str | None) -> str | None:
+    """The selection if it is an option, else the first option, in one pass."""
+    row = _option_rows(aggs, dimension, groups).agg(
+        F.max(F.when(F.col("option") == F.lit(selection), F.col("option"))).alias("wanted"),
+        F.min_by("option", F.struct("position", "option")).alias("first")).first()
+    return row["wanted"] or row["first"]
 
 
 def in_group(rows: DataFrame, groups: Dimension, name: str) -> DataFrame:
@@ -129,9 +146,7 @@ def sensor_view(aggs: DataFrame, dimension: str, types: Dimension,
     The unit is blank for a group, because its sensors may differ in type.
     """
     options = option_list(aggs, dimension, groups)
-    found = options.filter(F.col("option") == selection).take(1) if selection else []
-    found = found or options.take(1)
-    current = found[0]["option"] if found else None
+    current = _selected(aggs, dimension, groups, selection)
     rows = select_rows(aggs, dimension, current, groups)
     table = recent_table(rows)
     table = (table.withColumn("unit", F.lit("")) if dimension == "group"

@@ -18,24 +18,12 @@ def window_aggregates(events: DataFrame, size: str = WINDOW, watermark: str | No
     sends most of the data costs each task one row per window. ``watermark``
     bounds the state of a streaming query; late rows are then dropped by Spark.
     """
-    if watermark:
-        events = events.withWatermark("event_time", watermark)
-    last_type = F.expr("max_by(sensor_type, seq) FILTER (WHERE sensor_type IS NOT NULL)")
-    last_place = F.expr("max_by(location, seq) FILTER (WHERE location IS NOT NULL)")
-    window = F.window("event_time", size)
-    # The type and the location make Spark aggregate by sorting, and a plain timestamp
-    # sorts faster than a struct. Only the struct carries a stream's watermark.
-    by = window if events.isStreaming else window["start"].alias("start")
-    stats = events.groupBy(by, "sensor_id").agg(
-        F.avg("value").alias("avg_value"), F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"), F.count(F.lit(1)).alias("event_count"),
-        last_type.alias("sensor_type"), last_place.alias("location"))
+    stats = _stream_stats(events, size, watermark) if events.isStreaming else _stats(events, size)
 
     def rounded(name):
         return F.col(name) if places is None else round_exact(F.col(name), places).alias(name)
 
-    start = F.col("window.start" if events.isStreaming else "start")
-    end = F.col("window.end") if events.isStreaming else start + F.expr(f"INTERVAL {size}")
+    start, end = F.col("start"), F.col("end")
     return stats.select(
         start.alias("window_start"), end.alias("window_end"),
         clock_label(start).alias("window_start_label"),
@@ -45,3 +33,34 @@ def window_aggregates(events: DataFrame, size: str = WINDOW, watermark: str | No
         F.coalesce("location", F.lit(UNKNOWN_ID)).alias("location"),
         rounded("avg_value"), rounded("min_value"), rounded("max_value"), "event_count",
         F.to_date(start).alias("event_date"))
+
+
+def _stats(events: DataFrame, size: str) -> DataFrame:
+    """Stored events: numbers are combined by hash per window, sensor, type and location.
+    A sensor has few of those per window, so the step that picks the last type and
+    location, which Spark can only do by sorting, sees about one row per window."""
+    fine = events.groupBy(
+        F.window("event_time", size)["start"].alias("start"), "sensor_id", "sensor_type",
+        "location",
+    ).agg(F.sum("value").alias("total"), F.min("value").alias("low"), F.max("value").alias("high"),
+          F.count(F.lit(1)).alias("rows"), F.max("seq").alias("seq"))
+    return fine.groupBy("start", "sensor_id").agg(
+        (F.sum("total") / F.sum("rows")).alias("avg_value"), F.min("low").alias("min_value"),
+        F.max("high").alias("max_value"), F.sum("rows").alias("event_count"), *_last_attributes(),
+    ).withColumn("end", F.col("start") + F.expr(f"INTERVAL {size}"))
+
+
+def _stream_stats(events: DataFrame, size: str, watermark: str | None) -> DataFrame:
+    """A stream aggregates once, by the window struct that carries its watermark."""
+    if watermark:
+        events = events.withWatermark("event_time", watermark)
+    return events.groupBy(F.window("event_time", size), "sensor_id").agg(
+        F.avg("value").alias("avg_value"), F.min("value").alias("min_value"),
+        F.max("value").alias("max_value"), F.count(F.lit(1)).alias("event_count"),
+        *_last_attributes(),
+    ).withColumns({"start": F.col("window.start"), "end": F.col("window.end")})
+
+
+def _last_attributes():
+    return [F.expr(f"max_by({name}, seq) FILTER (WHERE {name} IS NOT NULL)").alias(name)
+            for name in ("sensor_type", "location")]

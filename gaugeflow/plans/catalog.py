@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from gaugeflow import schema as S
-from gaugeflow.functions.display import alert_key
+from gaugeflow.functions.display import alert_key, archive_folder
 from gaugeflow.functions.parsing import accepted, ingest_result, parse_events, rejected
 from gaugeflow.operators import serving
 from gaugeflow.operators.alerts import duration_alerts, sustained_alerts
@@ -17,7 +17,7 @@ from gaugeflow.operators.lateness import late_counts, split_late
 from gaugeflow.operators.runs import breach_runs
 from gaugeflow.operators.windows import window_aggregates
 from gaugeflow.plans import events_adapter as A
-from gaugeflow.session import shared_dir
+from gaugeflow.session import materialize, shared_dir
 from gaugeflow.sources import archive, results
 from gaugeflow.sources.events import file_events, jsonl_events
 from gaugeflow.streaming.aggregates import stream_aggregates
@@ -28,6 +28,10 @@ DAY_MS = 86_400_000
 PIVOT_IDS = [f"sensor-{n:04d}" for n in range(8)]
 VIEW_GROUP, VIEW_TYPE, VIEW_SENSOR = "ASIA", "click", "sensor-0005"
 HISTORY = ("2024-01-10", "2024-01-19")
+FORM_VALUES = ['1.5', '"2.5"', '" 3.5 "', '"12d"', '"0x1p3"', '"NaN"', '1,"value":2', '"-.5e1"',
+               '"1_000"', 'true', '1e400']
+FORM_TIMES = ["2024-01-02T10", "2024-01-02T10+02:00", "2024-01-02T10:11:12.123456789Z",
+              "2024-01-02", "10:11", "2024-01-02T03:04"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -131,6 +135,24 @@ def invalid_events(spark, sf_dir):
         F.count(F.lit(1)).alias("events"))
 
 
+def _forms() -> Column:
+    """Forms of numbers and times, one per residue of the arrival number."""
+    def event(value: str = "1.5", time: str = "2024-01-02T03:04:05Z") -> str:
+        return (f'{{"sensor_id":"s","event_time":"{time}","sensor_type":"t","value":{value},'
+                f'"unit":"u","location":"l"}}')
+    texts = [event(v) for v in FORM_VALUES] + [event(time=t) for t in FORM_TIMES]
+    return F.element_at(F.array(*map(F.lit, texts)),
+                        (F.col("seq") % len(texts) + 1).cast("int"))
+
+
+@query
+def decode_forms(spark, sf_dir):
+    """What each form of a number or time becomes, or why it is rejected."""
+    return _parsed(spark, sf_dir, _forms()).select(
+        "seq", "value", "reject_reason",
+        F.when(F.col("reject_reason").isNull(), F.col("event_time")).alias("event_time"))
+
+
 # ---- lookups ---------------------------------------------------------------
 
 @query
@@ -181,6 +203,17 @@ def window_stats_1m(spark, sf_dir):
     return _aggregates(spark, sf_dir)
 
 
+@query
+def window_stats_gaps(spark, sf_dir):
+    """Most readings carry no type and no place; the last that does names the window.
+    Quarters add up exactly, whatever the order."""
+    events = A.sensor_events(spark, sf_dir).withColumns({
+        "value": F.floor(F.col("value") * 4) / 4,
+        "sensor_type": F.when(F.col("seq") % 3 == 0, F.col("sensor_type")),
+        "location": F.when(F.col("seq") % 5 == 0, F.concat("location", F.lit("-"), "sensor_type"))})
+    return window_aggregates(events, "1 day")
+
+
 @query
 def window_stats_1h(spark, sf_dir):
     return _aggregates(spark, sf_dir, "1 hour")
@@ -275,6 +308,14 @@ def sustained_alerts_stream_1d(spark, sf_dir):
     return _alert_stream(spark, sf_dir, DAY_MS)
 
 
+@query
+def sustained_alerts_hot_stream(spark, sf_dir):
+    """All events as readings of one sensor that is always above its threshold."""
+    events = A.sensor_event_stream(spark, sf_dir).withColumns({
+        "sensor_id": F.lit("hot"), "sensor_type": F.lit("click"), "value": F.lit(70.0)})
+    return _streamed(spark, stream_alerts(events, A.metadata(spark, sf_dir)), "alerts")
+
+
 @query
 def duration_alerts_1h(spark, sf_dir):
     return duration_alerts(A.sensor_events(spark, sf_dir), A.metadata(spark, sf_dir), 3600)
@@ -284,13 +325,18 @@ def duration_alerts_1h(spark, sf_dir):
 
 @query
 def latest_aggregates(spark, sf_dir):
-    return serving.latest_n(_aggregates(spark, sf_dir), 100, S.AGGREGATES_BOUND,
-                            ["window_start", "sensor_id"])
+    return serving.latest_n(_aggregates(spark, sf_dir), 100, ["window_start", "sensor_id"])
+
+
+@query
+def latest_many(spark, sf_dir):
+    """More rows than a reader usually asks for; all of them come."""
+    return serving.latest_n(_aggregates(spark, sf_dir), 5000, ["window_start", "sensor_id"])
 
 
 @query
 def latest_alerts(spark, sf_dir):
-    return serving.latest_n(_alerts(spark, sf_dir, S.COOLDOWN_MS), 50, S.ALERTS_BOUND, ["seq"])
+    return serving.latest_n(_alerts(spark, sf_dir, S.COOLDOWN_MS), 50, ["seq"])
 
 
 @query
@@ -316,7 +362,10 @@ def sensor_options(spark, sf_dir):
 
 @query
 def group_options(spark, sf_dir):
-    return serving.option_list(A.sensor_events(spark, sf_dir), "group", A.groups(spark, sf_dir))
+    """In the declared order, which the position shows."""
+    options = serving.option_list(A.sensor_events(spark, sf_dir), "group", A.groups(spark, sf_dir))
+    place = Window.orderBy(F.monotonically_increasing_id())
+    return options.select("option", F.row_number().over(place).alias("position"))
 
 
 @query
@@ -350,6 +399,38 @@ def sensor_page(spark, sf_dir):
     return view.table
 
 
+def _page(spark, sf_dir, dimension: str, selection: str | None = None) -> serving.SensorView:
+    return serving.sensor_view(_aggregates(spark, sf_dir, "1 hour"), dimension, A.units(spark),
+                               A.groups(spark, sf_dir), selection)
+
+
+@query
+def group_page(spark, sf_dir):
+    """The recent table of the first declared group."""
+    return _page(spark, sf_dir, "group").table
+
+
+@query
+def group_page_chart(spark, sf_dir):
+    return _page(spark, sf_dir, "group").chart
+
+
+@query
+def group_page_count(spark, sf_dir):
+    view = _page(spark, sf_dir, "group", "no such group")
+    return view.sensor_count.select(F.lit(view.selection).alias("selection"), "sensor_count")
+
+
+@query
+def one_sensor_page(spark, sf_dir):
+    return _page(spark, sf_dir, "sensor", VIEW_SENSOR).table
+
+
+@query
+def one_sensor_chart(spark, sf_dir):
+    return _page(spark, sf_dir, "sensor", VIEW_SENSOR).chart
+
+
 @query
 def pivot_by_window(spark, sf_dir):
     """The selected sensors side by side."""
@@ -382,11 +463,14 @@ def alert_keys(spark, sf_dir):
 
 @query
 def publish_roundtrip(spark, sf_dir):
-    """Events published as keyed records to files, read back as a source and parsed."""
-    events = A.sensor_events(spark, sf_dir)
+    """Events published as keyed records to files, read back as a source and parsed. Files
+    have no broker that gives numbers, so these go beside the value."""
+    events = A.sensor_events(spark, sf_dir).withColumns({
+        "unit": F.lit("°C"), "offset": F.col("seq"), "timestamp": F.col("event_time")})
     out = shared_dir(spark, "published")
-    records = A.as_envelope(events, _api_json())
-    records.write.json(out)
+    results.write_records(results.publish_events(
+        events.drop("event_time_text", "seq"), S.EVENTS_TOPIC,
+        envelope=("partition", "offset", "timestamp")), out)
     parsed = accepted(parse_events(file_events(spark, out), keep=("key",)))
     return parsed.select("key", *EVENT)
 
@@ -399,10 +483,31 @@ def jsonl_roundtrip(spark, sf_dir):
     return accepted(parse_events(jsonl_events(spark, out))).select(*EVENT)
 
 
+@query
+def jsonl_without_time(spark, sf_dir):
+    """Lines without a readable time get numbers of their own: as many as there are lines."""
+    out = shared_dir(spark, "lines")
+    kind = F.col("sensor_type")
+    line = (F.when(kind == "click", F.regexp_replace(_generator_json(), "timestamp", "moment"))
+            .when(kind == "view", F.lit('{"broken')).when(kind == "error", F.lit("[1]"))
+            .otherwise(_generator_json()))
+    A.sensor_events(spark, sf_dir).select(line.alias("value")).write.text(out)
+    rows = jsonl_events(spark, out).groupBy((F.col("offset") < 0).alias("without_time")).agg(
+        F.count(F.lit(1)).alias("lines"), F.count_distinct("offset").alias("numbers"))
+    return rows
+
+
 def _archive(spark, sf_dir) -> str:
+    """Whole events, broken ones, texts with line breaks and the mark, and missing ones."""
     out = shared_dir(spark, "archive")
-    line = F.format_string('{"seq":%d,"time":"%s","unit":"°C","other":null}', "seq",
-                           "event_time_text")
+    kind = F.col("sensor_type")
+    whole = F.format_string(
+        '{"sensor_id":"%s","event_time":"%s","sensor_type":"%s","value":%s,"unit":"°C",'
+        '"location":"%s","seq":%d,"other":null}', "sensor_id", "event_time_text", "sensor_type",
+        F.col("value").cast("string"), "location", "seq")
+    line = (F.when(kind == "view", F.concat(F.lit('{"broken\r\n\n'), F.col("seq").cast("string")))
+            .when(kind == "error", F.concat(F.lit("\u001e"), F.col("seq").cast("string"), F.lit("\n")))
+            .when(kind == "signup", F.lit(None).cast("string")).otherwise(whole))
     records = A.as_envelope(A.sensor_event_stream(spark, sf_dir), line)
     finish(archive.archive_job(records, out, shared_dir(spark, "archive-checkpoint"),
                                interval=None))
@@ -417,23 +522,84 @@ def archive_roundtrip(spark, sf_dir):
 
 @query
 def archive_counts(spark, sf_dir):
-    return archive.archive_status(spark, _archive(spark, sf_dir)).select("events_archived")
+    """Counted anew and from the counts of before, which reads no object twice."""
+    out = _archive(spark, sf_dir)
+    counted = materialize(archive.count_objects(spark, out), "archive-counts")
+    return archive.archive_status(spark, out, counted).select(
+        "events_archived", F.col("last_object_key").rlike(archive.HOUR_FOLDER).alias("in_its_folder"))
+
+
+@query
+def archive_folders(spark, sf_dir):
+    """Every event lies in the folder of the hour it was archived in."""
+    events = A.sensor_events(spark, sf_dir)
+    return events.select("seq", *archive_folder(F.col("event_time")))
 
 
 @query
 def results_split(spark, sf_dir):
-    """Both result streams through one set of records, and the aggregates back out."""
+    """Both results through files of records, one folder per topic, and out again with all
+    their columns."""
+    out = shared_dir(spark, "topics")
     aggs = results.to_records(_aggregates(spark, sf_dir, "1 hour"), S.AGGREGATES_TOPIC)
-    alerts = results.to_records(_alerts(spark, sf_dir, DAY_MS), S.ALERTS_TOPIC)
-    by_topic = results.split_by_topic(aggs.unionByName(alerts),
-                                      [S.AGGREGATES_TOPIC, S.ALERTS_TOPIC])
-    back = [results.from_records(by_topic[S.AGGREGATES_TOPIC], S.AGGREGATE).select(
-                F.lit(S.AGGREGATES_TOPIC).alias("topic"), "sensor_id", "sensor_type",
-                F.col("max_value").alias("value"), F.col("window_start").alias("at")),
-            results.from_records(by_topic[S.ALERTS_TOPIC], S.ALERT).select(
-                F.lit(S.ALERTS_TOPIC).alias("topic"), "sensor_id", "sensor_type", "value",
-                F.col("event_time").alias("at"))]
-    return back[0].unionByName(back[1])
+    results.write_records(aggs.unionByName(_alert_records(spark, sf_dir)), out)
+    by_topic = results.split_by_topic(file_events(spark, out), [S.AGGREGATES_TOPIC, S.ALERTS_TOPIC])
+    aggs = results.from_records(by_topic[S.AGGREGATES_TOPIC], S.AGGREGATE)
+    alerts = results.from_records(by_topic[S.ALERTS_TOPIC], S.ALERT)
+    return aggs.withColumn("topic", F.lit(S.AGGREGATES_TOPIC)).unionByName(
+        alerts.withColumn("topic", F.lit(S.ALERTS_TOPIC)), allowMissingColumns=True)
+
+
+def _alert_records(spark, sf_dir) -> DataFrame:
+    """JSON has no infinity: a sensor without a critical threshold has none in its record."""
+    alerts = _alerts(spark, sf_dir, DAY_MS).withColumn(
+        "critical_threshold", F.nullif("critical_threshold", F.lit(float("inf"))))
+    return results.to_records(alerts, S.ALERTS_TOPIC)
+
+
+@query
+def results_rejected(spark, sf_dir):
+    """Records that hold no result are kept apart as they came."""
+    events = A.sensor_events(spark, sf_dir)
+    kind = F.col("sensor_type")
+    value = (F.when(kind == "click", F.lit("not json")).when(kind == "view", F.lit("[1]"))
+             .when(kind == "error", F.lit(None).cast("string"))
+             .otherwise(F.to_json(F.struct("sensor_id", "value"))))
+    records = events.select("seq", value.alias("value"))
+    bad = results.rejected_records(records, S.ALERT).select("seq", F.col("value").alias("kept"))
+    good = results.from_records(records, S.ALERT).agg(F.count(F.lit(1)).alias("seq")).select(
+        "seq", F.lit("stored").alias("kept"))
+    return bad.unionByName(good)
+
+
+@query
+def alerts_history(spark, sf_dir):
+    """Alerts stored by date, then some of the dates read back."""
+    out = shared_dir(spark, "alerts")
+    results.write_results(_alerts(spark, sf_dir, S.COOLDOWN_MS), out)
+    return results.history(spark, out, *HISTORY)
+
+
+def _stored(spark, sf_dir) -> tuple[str, str]:
+    aggs, alerts = shared_dir(spark, "aggregates"), shared_dir(spark, "alerts")
+    results.write_results(_aggregates(spark, sf_dir), aggs)
+    results.write_results(_alerts(spark, sf_dir, S.COOLDOWN_MS), alerts)
+    return aggs, alerts
+
+
+@query
+def stored_latest_aggregates(spark, sf_dir):
+    """The newest rows of the stored table, from as many of its newest dates as hold them."""
+    aggs, _ = _stored(spark, sf_dir)
+    return results.stored_latest(spark, aggs, 5000, ["window_start", "sensor_id"])
+
+
+@query
+def stored_kpis(spark, sf_dir):
+    """Key figures of the newest date, read from its folder alone."""
+    aggs, alerts = _stored(spark, sf_dir)
+    return serving.dashboard_kpis(results.newest_dates(spark, aggs),
+                                  results.newest_dates(spark, alerts))
 
 
 @query

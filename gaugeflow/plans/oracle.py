@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from gaugeflow.plans import events_adapter as A
 from gaugeflow.plans.catalog import (
-    DAY_MS, HISTORY, PIVOT_IDS, VIEW_GROUP, VIEW_SENSOR, VIEW_TYPE)
+    DAY_MS, FORM_TIMES, FORM_VALUES, HISTORY, PIVOT_IDS, VIEW_GROUP, VIEW_SENSOR, VIEW_TYPE)
 
-_PLACES = ", ".join(f"'{place}'" for place in A.LOCATIONS)
 _TYPE_ROWS = ", ".join(f"('{t}', {w}::DOUBLE, {c}::DOUBLE)" for t, w, c in A.TYPE_THRESHOLDS)
 _UNIT_ROWS = ", ".join(f"('{t}', '{label}', '{unit}')" for t, label, unit in A.TYPE_UNITS)
 _ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
 
 EV = f"""ev AS (
   SELECT printf('sensor-%04d', user_id) AS sensor_id, ts AS event_time,
-         event_type AS sensor_type, value, [{_PLACES}][user_id % 12 + 1] AS location,
+         event_type AS sensor_type, value, 'place-' || user_id % {A.PLACES} AS location,
          event_id AS seq, user_id, {_ISO} AS iso
   FROM events)"""
 
@@ -41,6 +40,7 @@ marked AS (
 
 GROUPS = """grp AS (
   SELECT DISTINCT unnest([n_name, r_name]) AS group_name,
+         unnest([n_nationkey, 100 + r_regionkey]) AS place,
          printf('sensor-%04d', s_suppkey) AS sensor_id
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey)"""
@@ -58,7 +58,8 @@ runs AS (
 ALERT_COLUMNS = """sensor_id, sensor_type, location, value, threshold,
   CASE WHEN critical_threshold IS NULL THEN 'Infinity'::DOUBLE ELSE critical_threshold END
     AS critical_threshold,
-  iso AS "timestamp", event_time, severity, consecutive_breaches, seq"""
+  iso AS "timestamp", event_time, severity, consecutive_breaches, seq,
+  event_time::DATE AS event_date"""
 
 
 def _round(x: str, scale: int = 100, tie: str = "base % 2 <> 0") -> str:
@@ -75,7 +76,8 @@ def _round(x: str, scale: int = 100, tie: str = "base % 2 <> 0") -> str:
 def _windows(size: str, name: str = "aggs", source: str = "ev") -> str:
     return f"""{name}_raw AS (
   SELECT time_bucket(INTERVAL '{size}', event_time, TIMESTAMP '1970-01-01') AS window_start,
-         sensor_id, arg_max(sensor_type, seq) AS sensor_type, arg_max(location, seq) AS location,
+         sensor_id, arg_max(sensor_type, seq) FILTER (sensor_type IS NOT NULL) AS sensor_type,
+         arg_max(location, seq) FILTER (location IS NOT NULL) AS location,
          avg(value) AS a, min(value) AS lo, max(value) AS hi, count(*) AS event_count
   FROM {source} GROUP BY 1, 2),
 {name} AS (
@@ -116,6 +118,22 @@ _PIVOT = ", ".join(f"max(avg_value) FILTER (WHERE sensor_id = '{i}') AS \"{i}\""
 _REASONS = """CASE sensor_type WHEN 'view' THEN 'missing_unit' WHEN 'error' THEN 'null_value'
   WHEN 'purchase' THEN 'bad_value' WHEN 'signup' THEN 'bad_json' END"""
 
+# value, reason and time of each form; a bad time is the broker's: one second after the event
+_OK, _AT = "NULL", "'2024-01-02 03:04:05'"
+_VALUE_OUTCOMES = [("1.5", _OK), ("2.5", _OK), ("3.5", _OK), *[("NULL", "'bad_value'")] * 3,
+                   ("2.0", _OK), ("-5.0", _OK), *[("NULL", "'bad_value'")] * 2,
+                   ("NULL", "'bad_value'")]
+_TIME_OUTCOMES = ["'2024-01-02 10:00:00'", "'2024-01-02 08:00:00'", "'2024-01-02 10:11:12.123456'",
+                  "'2024-01-02 00:00:00'", "'record'", "'2024-01-02 03:04:00'"]
+_FORM_ROWS = ", ".join(
+    [f"({i}, {v}::DOUBLE, {r}, {_AT if r == _OK else 'NULL'})"
+     for i, (v, r) in enumerate(_VALUE_OUTCOMES)]
+    + [f"({len(FORM_VALUES) + i}, 1.5, NULL, {t})" for i, t in enumerate(_TIME_OUTCOMES)])
+assert len(_VALUE_OUTCOMES) == len(FORM_VALUES) and len(_TIME_OUTCOMES) == len(FORM_TIMES)
+
+_PAGE_GROUP = """(SELECT group_name FROM grp ORDER BY place LIMIT 1)"""
+_MEMBERS = f"sensor_id IN (SELECT sensor_id FROM grp WHERE group_name = {_PAGE_GROUP})"
+
 ORACLES: dict[str, str] = {
     "parse_events_api": _with(EV) + f"SELECT {_EVENT} FROM ev",
     "dialect_merge": _with(EV) + f"SELECT {_EVENT} FROM ev",
@@ -136,6 +154,11 @@ ORACLES: dict[str, str] = {
     "invalid_events": """
       SELECT 'missing_sensor_id' AS reject_reason, count(*) AS events FROM events
       WHERE json_type(props) = 'OBJECT' AND json_extract(props, '$.sensor_id') IS NULL""",
+    "decode_forms": _with(EV, f"""forms(form, value, reason, moment) AS (VALUES {_FORM_ROWS})""") + """
+      SELECT seq, forms.value, reason AS reject_reason,
+             CASE WHEN moment = 'record' THEN event_time + INTERVAL 1 SECOND
+                  ELSE try_cast(moment AS TIMESTAMP) END AS event_time
+      FROM ev JOIN forms ON seq % (SELECT count(*) FROM forms) = form""",
     "enrich_events": _with(EV, SENSORS) + """
       SELECT seq, sensor_id, location, value, coalesce(sensor_group, 'Unknown') AS sensor_group,
              coalesce(description, '') AS description
@@ -153,6 +176,14 @@ ORACLES: dict[str, str] = {
              count(*) AS events
       FROM events LEFT JOIN units ON event_type = sensor_type GROUP BY 1, 2, 3""",
     "window_stats_1m": _with(EV, _windows("1 minute")) + "SELECT * FROM aggs",
+    "window_stats_gaps": _with(EV, """gaps AS (
+      SELECT sensor_id, event_time, floor(value * 4) / 4 AS value, seq,
+             CASE WHEN seq % 3 = 0 THEN sensor_type END AS sensor_type,
+             CASE WHEN seq % 5 = 0 THEN location || '-' || sensor_type
+                  END AS location
+      FROM ev)""", _windows("1 day", source="gaps")) + """
+      SELECT * REPLACE (coalesce(sensor_type, 'unknown') AS sensor_type,
+                        coalesce(location, 'unknown') AS location) FROM aggs""",
     "window_stats_1h": _with(EV, _windows("1 hour")) + "SELECT * FROM aggs",
     "window_stats_1d": _with(EV, _windows("1 day")) + "SELECT * FROM aggs",
     # a stream gives the windows that its watermark has closed
@@ -185,12 +216,27 @@ ORACLES: dict[str, str] = {
         + "SELECT * FROM alerts",
     "sustained_alerts_stream": _with(_alerts(30_000), recursive=True) + "SELECT * FROM alerts",
     "sustained_alerts_stream_1d": _with(_alerts(DAY_MS), recursive=True) + "SELECT * FROM alerts",
+    "sustained_alerts_hot_stream": f"""
+      WITH RECURSIVE {EV}, c AS (
+        SELECT *, row_number() OVER (ORDER BY seq) AS n, epoch_us(event_time) // 1000 AS tms FROM ev),
+      chain(seq, tms) AS (
+        SELECT min(seq), arg_min(tms, seq) FROM c WHERE n >= 3
+        UNION ALL
+        SELECT min(c.seq), arg_min(c.tms, c.seq) FROM chain JOIN c
+          ON c.seq > chain.seq AND c.tms - chain.tms > 30000 GROUP BY chain.seq)
+      SELECT 'hot' AS sensor_id, 'click' AS sensor_type, location, 70.0::DOUBLE AS value,
+             60.0::DOUBLE AS threshold, 120.0::DOUBLE AS critical_threshold, iso AS "timestamp",
+             event_time, 'warning' AS severity, n::INTEGER AS consecutive_breaches, seq,
+             event_time::DATE AS event_date
+      FROM c WHERE seq IN (SELECT seq FROM chain)""",
     "duration_alerts_1h": _with(EV, RUNS) + f"""
       SELECT {ALERT_COLUMNS}, run_since FROM runs
       WHERE event_time - run_since >= INTERVAL 1 HOUR
       QUALIFY row_number() OVER (PARTITION BY sensor_id, run_seq ORDER BY seq) = 1""",
     "latest_aggregates": _with(EV, _windows("1 minute")) + """
       SELECT * FROM aggs ORDER BY window_start DESC, sensor_id DESC LIMIT 100""",
+    "latest_many": _with(EV, _windows("1 minute")) + """
+      SELECT * FROM aggs ORDER BY window_start DESC, sensor_id DESC LIMIT 5000""",
     "latest_alerts": _with(_alerts(30_000), recursive=True) + """
       SELECT * FROM alerts ORDER BY seq DESC LIMIT 50""",
     "kpis": _with(_alerts(30_000), _windows("1 minute"), recursive=True) + """
@@ -206,7 +252,9 @@ ORACLES: dict[str, str] = {
       FROM aggs GROUP BY 1 ORDER BY 1 DESC LIMIT 1""",
     "type_options": "SELECT DISTINCT event_type AS option FROM events ORDER BY 1",
     "sensor_options": _with(EV) + "SELECT DISTINCT sensor_id AS option FROM ev ORDER BY 1",
-    "group_options": _with(GROUPS) + "SELECT DISTINCT group_name AS option FROM grp ORDER BY 1",
+    "group_options": _with(GROUPS) + """
+      SELECT group_name AS option, row_number() OVER (ORDER BY min(place))::INTEGER AS position
+      FROM grp GROUP BY 1""",
     "group_view": _with(EV, _windows("1 hour"), GROUPS) + f"""
       SELECT * FROM aggs
       WHERE sensor_id IN (SELECT sensor_id FROM grp WHERE group_name = '{VIEW_GROUP}')""",
@@ -226,6 +274,26 @@ ORACLES: dict[str, str] = {
       SELECT window_start, window_end, sensor_id, sensor_type, location, event_count,
              {_TENTHS}, coalesce(unit, '') AS unit
       FROM top LEFT JOIN units USING (sensor_type)""",
+    "group_page": f"""
+      WITH {EV}, {_windows("1 hour")}, {GROUPS},
+      top AS (SELECT * FROM aggs WHERE {_MEMBERS} ORDER BY window_start DESC, sensor_id LIMIT 15)
+      SELECT window_start, window_end, sensor_id, sensor_type, location, event_count,
+             {_TENTHS}, '' AS unit FROM top""",
+    "group_page_chart": _with(EV, _windows("1 hour"), GROUPS) + f"""
+      SELECT window_start, sensor_id, avg_value FROM aggs WHERE {_MEMBERS}""",
+    "group_page_count": _with(EV, _windows("1 hour"), GROUPS) + f"""
+      SELECT {_PAGE_GROUP} AS selection, count(DISTINCT sensor_id) AS sensor_count
+      FROM aggs WHERE {_MEMBERS}""",
+    "one_sensor_page": f"""
+      WITH {EV}, {_windows("1 hour")}, units(sensor_type, label, unit) AS (VALUES {_UNIT_ROWS}),
+      top AS (SELECT * FROM aggs WHERE sensor_id = '{VIEW_SENSOR}'
+              ORDER BY window_start DESC LIMIT 15)
+      SELECT window_start, window_end, sensor_id, sensor_type, location, event_count,
+             {_TENTHS}, coalesce(unit, '') AS unit
+      FROM top LEFT JOIN units USING (sensor_type)""",
+    "one_sensor_chart": _with(EV, _windows("1 hour")) + f"""
+      SELECT window_start, avg_value, min_value, max_value FROM aggs
+      WHERE sensor_id = '{VIEW_SENSOR}'""",
     "pivot_by_window": _with(EV, _windows("1 day")) + f"""
       SELECT window_start, {_PIVOT} FROM aggs
       WHERE sensor_id IN ({", ".join(f"'{i}'" for i in PIVOT_IDS)})
@@ -244,15 +312,46 @@ ORACLES: dict[str, str] = {
     "publish_roundtrip": _with(EV) + f"SELECT sensor_id AS key, {_EVENT} FROM ev",
     "jsonl_roundtrip": _with(EV) + f"""
       SELECT {_EVENT.replace(", seq", "")}, epoch_us(event_time) AS seq FROM ev""",
+    "jsonl_without_time": """
+      SELECT without_time, count(*) AS lines,
+             CASE WHEN without_time THEN count(*) ELSE count(DISTINCT epoch_us(ts)) END AS numbers
+      FROM (SELECT event_type IN ('click', 'view', 'error') AS without_time, ts FROM events)
+      GROUP BY without_time""",
     "archive_roundtrip": _with(EV) + """
-      SELECT printf('{"seq":%d,"time":"%s","unit":"°C","other":null}', seq, iso) AS line
+      SELECT CASE sensor_type
+        WHEN 'view' THEN '{"broken' || chr(13) || chr(10) || chr(10) || seq
+        WHEN 'error' THEN chr(30) || seq || chr(10)
+        WHEN 'signup' THEN NULL
+        ELSE printf('{"sensor_id":"%s","event_time":"%s","sensor_type":"%s","value":%s,"unit":"°C","location":"%s","seq":%d,"other":null}',
+                    sensor_id, iso, sensor_type, value::VARCHAR, location, seq) END AS line
       FROM ev""",
-    "archive_counts": "SELECT count(*) AS events_archived FROM events",
+    "archive_counts": "SELECT count(*) AS events_archived, true AS in_its_folder FROM events",
+    "archive_folders": _with(EV) + """
+      SELECT seq, strftime(event_time, '%Y') AS year, strftime(event_time, '%m') AS month,
+             strftime(event_time, '%d') AS day, strftime(event_time, '%H') AS hour FROM ev""",
     "results_split": _with(_alerts(DAY_MS), _windows("1 hour"), recursive=True) + """
-      SELECT 'sensor-aggregates' AS topic, sensor_id, sensor_type, max_value AS value,
-             window_start AS at FROM aggs
+      SELECT 'sensor-aggregates' AS topic, * FROM aggs
+      UNION ALL BY NAME
+      SELECT 'sensor-alerts' AS topic, * REPLACE (nullif(critical_threshold, 'Infinity'::DOUBLE)
+        AS critical_threshold) FROM alerts""",
+    "results_rejected": _with(EV) + """
+      SELECT seq, CASE sensor_type WHEN 'click' THEN 'not json' WHEN 'view' THEN '[1]' END AS kept
+      FROM ev WHERE sensor_type IN ('click', 'view', 'error')
       UNION ALL
-      SELECT 'sensor-alerts', sensor_id, sensor_type, value, event_time FROM alerts""",
+      SELECT count(*), 'stored' FROM ev WHERE sensor_type NOT IN ('click', 'view', 'error')""",
+    "alerts_history": _with(_alerts(30_000), recursive=True) + f"""
+      SELECT * FROM alerts WHERE event_date BETWEEN '{HISTORY[0]}' AND '{HISTORY[1]}'""",
+    "stored_latest_aggregates": _with(EV, _windows("1 minute")) + """
+      SELECT * FROM aggs ORDER BY window_start DESC, sensor_id DESC LIMIT 5000""",
+    "stored_kpis": _with(_alerts(30_000), _windows("1 minute"), recursive=True) + """
+      , day AS (SELECT * FROM aggs WHERE event_date = (SELECT max(event_date) FROM aggs)),
+      raised AS (SELECT * FROM alerts WHERE event_date = (SELECT max(event_date) FROM alerts))
+      SELECT (SELECT count(*) FROM raised) AS active_alerts,
+             (SELECT count(*) FROM raised WHERE severity = 'critical') AS critical_alerts,
+             count(DISTINCT sensor_id) AS sensor_count, max(window_start) AS latest_window,
+             (SELECT sum(event_count)::BIGINT FROM day
+              WHERE window_start = (SELECT max(window_start) FROM day)) AS events_per_min
+      FROM day""",
     "results_history": _with(EV, _windows("1 hour")) + f"""
       SELECT * FROM aggs WHERE event_date BETWEEN '{HISTORY[0]}' AND '{HISTORY[1]}'""",
 }

@@ -39,6 +39,7 @@ SENSOR_TYPES = T.StructType([
 GROUPS = T.StructType([
     T.StructField("group_name", T.StringType()),
     T.StructField("sensor_id", T.StringType()),
+    T.StructField("position", T.IntegerType()),
 ])
 
 METADATA_FILE = T.StructType([
@@ -75,6 +76,7 @@ ALERT = T.StructType([
     T.StructField("severity", T.StringType()),
     T.StructField("consecutive_breaches", T.IntegerType()),
     T.StructField("seq", T.LongType()),
+    T.StructField("event_date", T.DateType()),
 ])
 
 # ---- Fixed values ---------------------------------------------------------
@@ -87,9 +89,6 @@ WATERMARK = "15 seconds"
 MIN_CONSECUTIVE = 3
 COOLDOWN_MS = 30_000
 ARCHIVE_INTERVAL = "60 seconds"
-ARCHIVE_BATCH = 500
-AGGREGATES_BOUND = 1000
-ALERTS_BOUND = 500
 
 UNKNOWN_ID = "unknown"
 UNKNOWN_GROUP = "Unknown"

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from gaugeflow.functions.parsing import last_of_each, parse_iso_time
 from gaugeflow.schema import ENVELOPE
 
 
@@ -38,18 +39,36 @@ def jsonl_events(spark: SparkSession, path: str, topic: str = "", stream: bool =
 
     Lines carry no arrival number. ``seq_field`` names an event field that holds
     one; otherwise the time of the event in microseconds is used, which is the
-    order a generator writes in. The file time stands in for the broker's.
+    order a generator writes in. Lines without either get negative numbers that
+    follow from file and text: distinct and repeatable on stored files (equal lines
+    of a file are told apart by counting them); on a stream, which cannot count,
+    equal lines of a file share one. The file time stands in for the broker's.
     """
     reader = spark.readStream if stream else spark.read
-    lines = reader.text(path).select("value", "_metadata.file_modification_time")
+    lines = reader.text(path).select(
+        "value", "_metadata.file_path", "_metadata.file_modification_time",
+        F.explode_outer(F.array(F.from_json("value", "map<string,string>"))).alias("fields"))
+    lines = lines.withColumn("fields", last_of_each(F.col("fields")))
+    field = lambda name: F.element_at("fields", F.lit(name))
     if seq_field:
-        seq = F.get_json_object("value", f"$.{seq_field}").try_cast("long")
+        seq = field(seq_field).try_cast("long")
     else:
-        text = F.coalesce(F.get_json_object("value", "$.event_time"),
-                          F.get_json_object("value", "$.timestamp"))
-        seq = F.unix_micros(F.try_to_timestamp(text))
+        seq = F.unix_micros(parse_iso_time(F.coalesce(field("event_time"), field("timestamp"))))
+    text_hash = F.xxhash64("file_path", "value")
+    if stream:
+        other = -F.shiftrightunsigned(text_hash, 1) - 1
+    else:
+        # 31 bits of the hash, then the place among the lines that share them
+        group = F.shiftrightunsigned(text_hash, 33)
+        place = F.row_number().over(Window.partitionBy("_group").orderBy("file_path", "value"))
+        lines = lines.withColumn("_seq", seq).withColumn("_numbered", F.col("_seq").isNotNull())
+        with_time = lines.where("_numbered").drop("_numbered")
+        without = lines.where("NOT _numbered").withColumn("_group", group).withColumn(
+            "_seq", -(F.shiftleft(F.col("_group"), 32) + place)).drop("_group", "_numbered")
+        lines = with_time.unionByName(without)
+        seq, other = F.col("_seq"), F.lit(None).cast("long")
     return lines.select(
-        F.get_json_object("value", "$.sensor_id").alias("key"), "value",
+        field("sensor_id").alias("key"), "value",
         F.lit(topic).alias("topic"), F.lit(0).alias("partition"),
-        F.coalesce(seq, F.lit(0)).alias("offset"),
+        F.coalesce(seq, other).alias("offset"),
         F.col("file_modification_time").alias("timestamp"))

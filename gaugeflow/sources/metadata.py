@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from gaugeflow import schema as S
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -24,9 +25,19 @@ class Dimension:
     small: bool
 
 
-def as_dimension(rows: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> Dimension:
-    """Check the size once; the count stops at the bound, however large the table is."""
-    return Dimension(rows, key, rows.select(key).limit(max_rows + 1).count() <= max_rows)
+def as_dimension(rows: DataFrame, key: str, max_rows: int = BROADCAST_ROWS,
+                 max_bytes: int = BROADCAST_BYTES, unique: bool = True) -> Dimension:
+    """Check rows, bytes and key once; the size check stops at the bound of rows.
+
+    A lookup on a repeated key would multiply facts, so it is an error; bridges say
+    ``unique=False``.
+    """
+    if unique and not rows.groupBy(key).count().where("count > 1").isEmpty():
+        raise ValueError(f"{key} is not unique in the dimension")
+    width = F.length(F.to_json(F.struct(*[F.col(c) for c in rows.columns])))
+    count, size = rows.select(width.alias("width")).limit(max_rows + 1).agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("width"), F.lit(0))).first()
+    return Dimension(rows, key, count <= max_rows and size <= max_bytes)
 
 
 @dataclass(frozen=True)
@@ -69,5 +80,6 @@ def sensor_types(spark: SparkSession) -> Dimension:
 
 def view_groups(spark: SparkSession, groups=S.VIEW_GROUPS) -> Dimension:
     """Bridge of view groups and their sensors; a sensor may be in several groups."""
-    pairs = [(name, sensor) for name, sensors in groups for sensor in sensors]
-    return as_dimension(fixed_rows(spark, pairs, S.GROUPS), "sensor_id")
+    pairs = [(name, sensor, place) for place, (name, sensors) in enumerate(groups)
+             for sensor in sensors]
+    return as_dimension(fixed_rows(spark, pairs, S.GROUPS), "sensor_id", unique=False)

@@ -2,32 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gaugeflow.functions.display import to_json_record
+from gaugeflow.sources.files import refuse_stream_output
 
+BROKEN = "_broken"
 
-def to_records(rows: DataFrame, topic: str, key: str | None = None) -> DataFrame:
-    """Rows as broker records: JSON value, topic, and a key only where one is named."""
+
+def to_records(rows: DataFrame, topic: str, key: str | None = None,
+               envelope: tuple[str, ...] = ()) -> DataFrame:
+    """Rows as broker records: JSON value, topic, and a key only where one is named.
+
+    ``envelope`` names columns that go beside the value, not into it: files have no
+    broker that would add an offset.
+    """
+    inside = [c for c in rows.columns if c not in envelope]
     return rows.select(
         (F.col(key) if key else F.lit(None)).cast("string").alias("key"),
-        to_json_record("*").alias("value"), F.lit(topic).alias("topic"))
+        to_json_record(*inside).alias("value"), F.lit(topic).alias("topic"), *envelope)
 
 
-def publish_events(events: DataFrame, topic: str) -> DataFrame:
+def publish_events(events: DataFrame, topic: str, envelope: tuple[str, ...] = ()) -> DataFrame:
     """Events keyed by sensor, so that a sensor stays in one partition and in order."""
-    return to_records(events, topic, key="sensor_id")
+    return to_records(events, topic, key="sensor_id", envelope=envelope)
 
 
 def split_by_topic(records: DataFrame, topics: list[str]) -> dict[str, DataFrame]:
     return {topic: records.filter(F.col("topic") == topic) for topic in topics}
 
 
+def _decoded(records: DataFrame, schema: StructType) -> DataFrame:
+    # as a generator's output the row is decoded once, whatever is asked of it
+    with_text = StructType([*schema.fields, StructField(BROKEN, StringType())])
+    row = F.from_json("value", with_text, {"columnNameOfCorruptRecord": BROKEN})
+    return records.select("*", F.explode_outer(F.array(row)).alias("row"))
+
+
+def _is_broken() -> Column:
+    return F.col("row").isNull() | F.col(f"row.{BROKEN}").isNotNull()
+
+
 def from_records(records: DataFrame, schema: StructType) -> DataFrame:
-    parsed = records.select(F.from_json("value", schema).alias("row"))
-    return parsed.filter(F.col("row").isNotNull()).select("row.*")
+    """Rows of the records that hold one; ``rejected_records`` has the others."""
+    return _decoded(records, schema).filter(~_is_broken()).select("row.*").drop(BROKEN)
+
+
+def rejected_records(records: DataFrame, schema: StructType) -> DataFrame:
+    """Records whose value is no JSON object of the schema, as they came."""
+    return _decoded(records, schema).filter(_is_broken()).drop("row")
 
 
 def write_kafka(records: DataFrame, servers: str, checkpoint: str | None = None
@@ -42,13 +67,16 @@ def write_kafka(records: DataFrame, servers: str, checkpoint: str | None = None
 
 def write_records(records: DataFrame, path: str) -> None:
     """Records to files with the broker's columns, one folder per topic."""
+    refuse_stream_output(records.sparkSession, path)
     records.write.mode("append").partitionBy("topic").json(path)
 
 
 def write_results(rows: DataFrame, path: str, partition: str = "event_date",
                   mode: str = "append") -> None:
     """A result table in folders per date. Rows are first brought together by date;
-    the rebalance splits a large date over several files and joins small ones."""
+    the rebalance splits a large date over several files and joins small ones. A stream's
+    own folder is refused, because its readers see only what the stream wrote."""
+    refuse_stream_output(rows.sparkSession, path)
     rows.hint("rebalance", partition).write.mode(mode).partitionBy(partition).parquet(path)
 
 
@@ -58,3 +86,34 @@ def history(spark: SparkSession, path: str, date_from: str, date_to: str,
     day = F.col(partition)
     return spark.read.parquet(path).filter(
         (day >= F.lit(date_from).cast("date")) & (day <= F.lit(date_to).cast("date")))
+
+
+def stored_latest(spark: SparkSession, path: str, limit: int, order: list[str],
+                  partition: str = "event_date") -> DataFrame:
+    """The newest rows of a stored table, oldest first, from its newest dates only.
+
+    Only folder names are read to learn the dates. Dates are added, newest first and
+    twice as many each time, until they hold enough rows; ``order`` must not go
+    against the dates.
+    """
+    if limit < 1:
+        raise ValueError("limit must be at least 1")
+    table = spark.read.parquet(path)
+    dates = [r[0] for r in table.select(partition).distinct().orderBy(F.desc(partition)).collect()]
+    take, rows = 1, table.limit(0)
+    while dates:
+        oldest = dates[min(take, len(dates)) - 1]
+        rows = table.filter(F.col(partition) >= F.lit(oldest))
+        if take >= len(dates) or rows.limit(limit).count() >= limit:
+            break
+        take *= 2
+    return rows.orderBy(*[F.desc(c) for c in order]).limit(limit).orderBy(*order)
+
+
+def newest_dates(spark: SparkSession, path: str, days: int = 1,
+                 partition: str = "event_date") -> DataFrame:
+    """Rows of the last ``days`` dates that a stored table holds."""
+    table = spark.read.parquet(path)
+    dates = table.select(partition).distinct().orderBy(F.desc(partition)).limit(days)
+    oldest = dates.agg(F.min(partition)).first()[0]
+    return table.filter(F.col(partition) >= F.lit(oldest)) if oldest else table.limit(0)

@@ -143,7 +143,7 @@ def stream_alerts(events: DataFrame, metadata: Metadata, min_consecutive: int =
         "location": F.coalesce("location", F.lit(UNKNOWN_ID)),
         "critical_threshold": F.coalesce("critical_threshold", F.lit(float("inf"))),
         "event_time": F.timestamp_micros("event_us"),
-    }).select(*ALERT.names)
+    }).withColumn("event_date", F.to_date("event_time")).select(*ALERT.names)
 
 
 def alert_job(envelope: DataFrame, metadata: Metadata, path: str, checkpoint: str,
@@ -151,4 +151,4 @@ def alert_job(envelope: DataFrame, metadata: Metadata, path: str, checkpoint: st
               state_partitions: int | None = None, **rules) -> StreamingQuery:
     events = accepted(parse_events(envelope, strict))
     return start_files(stream_alerts(events, metadata, **rules), path, checkpoint, interval,
-                       state_partitions=state_partitions)
+                       partition="event_date", state_partitions=state_partitions)

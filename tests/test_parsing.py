@@ -1,3 +1,4 @@
+import json
 from datetime import datetime
 
 import pytest
@@ -49,11 +50,30 @@ def test_strict_fills_instead_of_rejecting(spark):
 
 @pytest.mark.parametrize("text", [
     "2024-01-01T00:00:07Z", "2024-01-01T02:00:07+02:00", "2024-01-01T00:00:07",
-    "2024-01-01 00:00:07", "2024-01-01T00:00:07.000000+00:00"])
+    "2024-01-01 00:00:07", "2024-01-01T00:00:07.000000+00:00", "2024-01-01T00:00:07.000000999Z"])
 def test_forms_of_one_instant(spark, text):
     assert one(spark, without(event_time=text)).event_time == utc(7)
 
 
+@pytest.mark.parametrize("text", ["2024-01-01T01", "2024-01-01T01:00", "2024-01-01T03+02:00",
+                                  "2024-01-01T03:00+0200"])
+def test_hours_and_minutes_alone(spark, text):
+    assert one(spark, without(event_time=text)).event_time == utc(3600)
+
+
+@pytest.mark.parametrize("text,value", [("12d", None), ("0x1p3", None), ("1_000", None), (" 4.5 ", 4.5),
+                                        ("+1.", 1.0), ("-.5E1", -5.0), ("NaN", None), ("Infinity", None)])
+def test_forms_of_numbers(spark, text, value):
+    row = one(spark, without(value=text))
+    assert row.value == value and row.reject_reason == (None if value else "bad_value")
+
+
+def test_the_last_of_equal_names_counts(spark):
+    text = json.dumps(WHOLE)[:-1] + ',"value":7,"unit":"x","value":8}'
+    row = parse_events(envelope(spark, [text])).first()
+    assert (row.value, row.unit) == (8.0, "x")
+
+
 @pytest.mark.parametrize("text", ["bad", "", "12:30", "2024", "2024-01-01T00:00:07 Europe/Berlin",
                                   "2024-13-01T00:00:00Z"])
 def test_unreadable_time_takes_the_record_time(spark, text):

@@ -2,7 +2,7 @@ import pytest
 
 from gaugeflow.operators import serving
 from gaugeflow.operators.enrich import enrich, lookup, with_unit
-from gaugeflow.schema import AGGREGATE, AGGREGATES_BOUND, ALERT, ALERTS_BOUND, SENSORS
+from gaugeflow.schema import AGGREGATE, ALERT, SENSORS
 from gaugeflow.sources.metadata import as_dimension, sensor_types, view_groups
 from datetime import date
 from data import at, event, events
@@ -19,18 +19,17 @@ def aggs(spark, rows):
 
 
 def alert(seq, severity="warning"):
-    return ("a", "t", "l", 1.0, 1.0, 2.0, "", at(seq), severity, 3, seq)
+    return ("a", "t", "l", 1.0, 1.0, 2.0, "", at(seq), severity, 3, seq, date(2024, 1, 1))
 
 
 def test_latest_n(spark):
     rows = spark.range(2000).withColumnRenamed("id", "seq")
-    ids = [r.seq for r in serving.latest_n(rows, 3, AGGREGATES_BOUND, ["seq"]).collect()]
+    ids = [r.seq for r in serving.latest_n(rows, 3, ["seq"]).collect()]
     assert ids == [1997, 1998, 1999]
-    assert serving.latest_n(rows, 10_000, AGGREGATES_BOUND, ["seq"]).count() == 1000
-    assert serving.latest_n(rows, 501, ALERTS_BOUND, ["seq"]).count() == 500
+    assert serving.latest_n(rows, 1501, ["seq"]).count() == 1501
     for bad in (0, -1):
         with pytest.raises(ValueError):
-            serving.latest_n(rows, bad, ALERTS_BOUND, ["seq"])
+            serving.latest_n(rows, bad, ["seq"])
 
 
 def test_key_figures_across_midnight(spark):
@@ -44,7 +43,7 @@ def test_key_figures_across_midnight(spark):
 
 def test_key_figures_of_nothing(spark):
     row = serving.dashboard_kpis(aggs(spark, []), spark.createDataFrame([], ALERT)).first()
-    assert (row.active_alerts, row.sensor_count, row.events_per_min) == (0, 0, None)
+    assert (row.active_alerts, row.sensor_count, row.events_per_min) == (0, 0, 0)
 
 
 def test_groups(spark):
@@ -85,6 +84,11 @@ def test_sensor_view(spark):
     assert view.chart.count() == 3 and view.sensor_count.first().sensor_count == 1
     view = serving.sensor_view(table, "group", types, groups, "Cold Storage")
     assert {(r.sensor_id, r.unit) for r in view.table.collect()} == {("sensor-humi-0004", "")}
+    view = serving.sensor_view(table, "group", types, groups)
+    assert view.selection == "Machine 1 – Hall A"  # the first one declared
+    assert [r.option for r in view.options.collect()] == [
+        "Machine 1 – Hall A", "Machine 2 – Hall B", "Cold Storage", "Server Room"]
+    assert serving.sensor_view(aggs(spark, []), "sensor", types).selection is None
 
 
 def test_latest_per(spark):
@@ -108,6 +112,15 @@ def test_enrich_defaults(spark):
     assert got == {"a": ("g", ""), "b": ("Unknown", "d"), "c": ("Unknown", "")}
 
 
+def test_dimensions_are_checked(spark):
+    rows = spark.createDataFrame([("a", "x" * 500), ("b", "y")], "sensor_id string, note string")
+    assert as_dimension(rows, "sensor_id").small
+    assert not as_dimension(rows, "sensor_id", max_bytes=400).small
+    with pytest.raises(ValueError):
+        as_dimension(rows.union(rows), "sensor_id")
+    assert as_dimension(rows.union(rows), "sensor_id", unique=False).small
+
+
 def test_large_dimension_is_not_broadcast(spark):
     dim = as_dimension(spark.createDataFrame([(f"s{i}", i) for i in range(50)],
                                              "sensor_id string, n int"), "sensor_id", max_rows=10)

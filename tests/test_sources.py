@@ -87,15 +87,63 @@ LINES = ['{"sensor_id":"a","unit":"°C","other":[1, 2]}', "{bad", '{"x":1}   ']
 
 def test_archive_round_trip(spark, tmp_path):
     path = str(tmp_path / "raw")
-    archive.archive_batch(envelope(spark, LINES + ['{"a":\n1}']), path)
+    odd = ['{"a":\n1}', "{broken\r\n\n", "\u001e", "\u001eabc", "", "\r", "é\n日"]
+    archive.archive_batch(envelope(spark, LINES + odd + [None]), path, rows_per_file=4)
     rows = archive.read_archive(spark, path).collect()
-    assert sorted(r.value for r in rows) == sorted(LINES + ['{"a": 1}'])
+    assert sorted(map(repr, (r.value for r in rows))) == sorted(map(repr, LINES + odd + [None]))
     assert all(len(r.year) == 4 and len(r.hour) == 2 for r in rows)
     status = archive.archive_status(spark, path).first()
-    assert status.events_archived == 4
+    assert status.events_archived == 11 and status.objects_written >= 3
     assert status.last_object_key.endswith(".txt")
     hours = archive.read_archive_hours(spark, path)
-    assert hours.filter(F.col("month") == rows[0].month).count() == 4
+    assert hours.filter(F.col("month") == rows[0].month).count() == 11
+    per_object = archive.count_objects(spark, path)
+    assert max(r.events for r in per_object.collect()) <= 4
+    counted = spark.createDataFrame(per_object.collect(), per_object.schema)
+    archive.archive_batch(envelope(spark, LINES), path)
+    assert archive.archive_status(spark, path, counted).first().events_archived == 14
+    assert "binaryFile" in archive.archive_objects(spark, path)._jdf.queryExecution().toString()
+
+
+def test_a_stream_keeps_its_folder(spark, tmp_path):
+    (tmp_path / "raw" / "_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError):
+        archive.archive_batch(envelope(spark, LINES), str(tmp_path / "raw"))
+    with pytest.raises(ValueError):
+        results.write_results(spark.range(1), str(tmp_path / "raw"), "id")
+
+
+def test_broken_records_are_kept_apart(spark):
+    good = '{"sensor_id":"a","value":1.5}'
+    records = envelope(spark, [good, "not json", "[1]", "", None, "1", '{"value":"x"}'])
+    assert [r.sensor_id for r in results.from_records(records, S.ALERT).collect()] == ["a"]
+    bad = [r.value for r in results.rejected_records(records, S.ALERT).orderBy("offset").collect()]
+    assert bad == ["not json", "[1]", "", None, "1", '{"value":"x"}']
+    plan = results.from_records(records, S.ALERT)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_the_newest_rows_come_from_the_newest_dates(spark, tmp_path):
+    rows = events(spark, [event("a", d * 10 + i, d * 86_400 + i * 60, 1) for d in range(8) for i in range(3)])
+    path = str(tmp_path / "aggregates")
+    results.write_results(window_aggregates(rows), path)
+    for limit in (1, 3, 4, 20, 100):
+        got = results.stored_latest(spark, path, limit, ["window_start"])
+        assert got.count() == min(limit, 24)
+        assert got.collect() == sorted(got.collect(), key=lambda r: r.window_start)
+    few = results.stored_latest(spark, path, 2, ["window_start"])._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in few
+    assert results.newest_dates(spark, path, 2).count() == 6
+
+
+def test_lines_without_a_time_get_numbers_of_their_own(spark, tmp_path):
+    texts = ["{broken", "{broken", "[1]", "", '{"sensor_id":"a","event_time":"bad"}',
+             '{"sensor_id":"a","event_time":"2024-01-01T00:00:01Z"}']
+    for name in ("x", "y"):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(texts) + "\n")
+    numbers = [sorted(r.offset for r in jsonl_events(spark, str(tmp_path)).collect()) for _ in range(2)]
+    assert numbers[0] == numbers[1] and len(numbers[0]) == 12
+    assert sum(n < 0 for n in numbers[0]) == 10 and len({n for n in numbers[0] if n < 0}) == 10
 
 
 def test_archive_of_another_program(spark, tmp_path):

@@ -94,7 +94,7 @@ def test_alert_stream_equals_stored_events(spark, tmp_path, batches, block):
     assert {(r.sensor_id, r.seq): r.consecutive_breaches for r in got.collect()} == want
     stored = sustained_alerts(stored_events(spark, tmp_path / "in"), metadata(spark))
     key = lambda r: r.seq
-    assert sorted(map(tuple, got.collect()), key=lambda t: t[-1]) == [
+    assert sorted(map(tuple, got.collect()), key=lambda t: t[-2]) == [
         tuple(r) for r in sorted(stored.collect(), key=key)]
 
 
@@ -151,6 +151,7 @@ def test_results_through_topics(spark, tmp_path):
     alerts = spark.read.parquet(str(tmp_path / "tables" / ALERTS_TOPIC)).collect()
     assert [(r.window_start_label, r.event_count) for r in aggs] == [("00:00", 3)]
     assert [(r.seq, r.consecutive_breaches) for r in alerts] == [(2, 3), (3, 4)]
+    assert (tmp_path / "tables" / ALERTS_TOPIC / "event_date=2024-01-01").is_dir()
 
 
 def test_job_from_the_command_line(spark, tmp_path):
@@ -158,8 +159,18 @@ def test_job_from_the_command_line(spark, tmp_path):
     common = ["--files", str(tmp_path / "in"), "--out", str(tmp_path / "out"),
               "--checkpoint", str(tmp_path / "check"), "--metadata", str(tmp_path / "none.json"),
               "--once"]
-    for job in ("aggregates", "alerts", "archive"):
-        main([job, *common])
+    for job in ("aggregates", "alerts", "archive", "publish-alerts"):
+        main([job, *common, "--state-partitions", "2"])
+    (tmp_path / "out" / "publish-alerts" / "broken.json").write_text(
+        json.dumps({"value": "[1]", "topic": ALERTS_TOPIC}) + "\n")
+    records = tmp_path / "records"
+    records.mkdir()
+    for file in (tmp_path / "out" / "publish-alerts").glob("*.json"):
+        (records / file.name).write_text(file.read_text())
+    main(["tables", "--files", str(records), *common[2:]])
+    tables = tmp_path / "out" / "tables"
+    assert spark.read.parquet(str(tables / ALERTS_TOPIC)).count() == 1
+    assert spark.read.json(str(tables / f"{ALERTS_TOPIC}-rejected")).first()["value"] == "[1]"
     assert spark.read.parquet(str(tmp_path / "out" / "alerts")).count() == 1
     assert archive.archive_status(spark, str(tmp_path / "out" / "archive")).first()[
         "events_archived"] == 3
