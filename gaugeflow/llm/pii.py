@@ -79,8 +79,10 @@ LABELLED = re.compile(
     r"(?i)(?<!\w)(?:api[_-]?key|access[_-]?key|secret|token|password|passwd|pwd)\s*[=:]\s*[\"']?([^\s\"']{6,})")
 MIXED = re.compile(r"(?<![\w-])[A-Za-z0-9_-]{20,}(?![\w-])")
 _UPPER = "A-ZÀ-ÖØ-ÞΑ-ΩΆ-ΏЀ-Я"
-_LOWER = "a-zß-öø-ÿα-ωά-ώа-ѿ'’-"
-_NAME = rf"[{_UPPER}](?:[{_LOWER}]+|[{_UPPER}'’-]+)"
+_LOWER = "a-zß-öø-ÿα-ωά-ώа-ѿ"
+# Thornbury, O'Neil, Smith-Jones, THORNBURY
+_NAME = (rf"[{_UPPER}](?:(?:['’][{_UPPER}])?[{_LOWER}]+(?:['’-][{_UPPER}]?[{_LOWER}]+)*"
+         rf"|[{_UPPER}]+(?:['’-][{_UPPER}]+)*|['’][{_UPPER}]{{2,}})")
 
 
 def _either(words) -> str:

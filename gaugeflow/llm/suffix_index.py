@@ -467,7 +467,8 @@ def duplicate_spans(ordered: DataFrame, length: int = LENGTH, key: int = KEY, ba
     buckets = 8
     while buckets * bucket_bytes < size and buckets < 1 << 16:
         buckets *= 2
-    cuts = ordered.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01)
+    cuts = (ordered.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01)
+            if batches > 1 else [])
     cuts = sorted({min(int(c), int(LARGEST) - 1) for c in cuts})
     family = SuffixFamily(spark, buckets, length, key)
     found = None

@@ -136,6 +136,9 @@ class ChunkParser:
             at = self.held.find(END.encode())
             if at < 0:
                 return False
+            if at == 0:  # the line reader ends a file's last line as if it had had a break
+                self._take(len(END))
+                return True
             self._header(self._take(at + len(END))[:at].decode("utf-8", "replace"))
         elif self.state == "http":
             at = self.held.find(END.encode())

@@ -1,0 +1,93 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeflow.llm import pii
+
+TEXTS = {
+    1: "Mail jo.81@mail3.example.com or JO.81@MAIL3.EXAMPLE.COM, not jo@home.",
+    2: "Call +1 (017) 555-7713 or (017) 555-7713; from 10.0.0.7 and 226.203.165.104.",
+    3: "Card 4111 1111 1111 1111 and 4111111111111111, odd 4948133168844009, SSN 123-45-6789.",
+    4: 'token = "908038b7daaf91e730d2f64001c52934d43d9336" IBAN DE89 3704 0044 0532 0130 00',
+    5: "Mrs Margaret Thornbury met Mr. Thornbury and Patrick O'Neil; Dr Иванова wrote to Анна Петрова.",
+    6: "Version 2.0 of 1999, chapter 3.4.5, 12 345 items. Mary had a lamb.",
+    7: "réé.45@mail1.example.com and jo.81@mail3.example.com again",
+}
+
+
+def detected(text):
+    return [(text[a:b], kind) for a, b, kind, _ in pii.detect(text)]
+
+
+def test_detection():
+    assert [k for _, k in detected(TEXTS[1])] == ["email", "email"]
+    assert [k for _, k in detected(TEXTS[2])] == ["phone", "phone", "ip", "ip"]
+    assert [k for _, k in detected(TEXTS[3])] == ["account", "account", "account", "social"]
+    assert [k for _, k in detected(TEXTS[4])] == ["secret", "iban"]
+    assert detected(TEXTS[5]) == [
+        ("Margaret", "given_latin_f"), ("Thornbury", "family_latin"), ("Thornbury", "family_latin"),
+        ("Patrick", "given_latin_m"), ("O'Neil", "family_latin"), ("Иванова", "family_cyrillic"),
+        ("Анна", "given_cyrillic_f"), ("Петрова", "family_cyrillic")]
+    assert detected(TEXTS[6]) == []
+
+
+def test_surrogates_keep_format_and_checks():
+    for kind, form in (("account", "4111111111111111"), ("account", "4948133168844009")):
+        new = pii.surrogate(kind, form, 0, "k")
+        assert new != form and len(new) == 16 and new[0] == "4"
+        assert (pii._luhn(new[:-1]) == int(new[-1])) == (pii._luhn(form[:-1]) == int(form[-1]))
+    iban = pii.surrogate("iban", "DE89370400440532013000", 0, "k")
+    assert iban[:2] == "DE" and pii._iban_check(iban) == iban[2:4] and iban[4:].isdigit()
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", pii.dressed(
+        "phone", "+1 (017) 555-7713", pii.surrogate("phone", "1|0175557713", 0, "k")))
+    assert pii.surrogate("email", "a@b.example.com", 0, "k") != pii.surrogate("email", "a@b.example.com", 0, "other")
+    for kind, names in (("given_cyrillic_f", pii.GIVEN["cyrillic", "f"]), ("given_latin_m", pii.GIVEN["latin", "m"])):
+        assert pii.dressed(kind, "Xx", pii.surrogate(kind, "x", 0, "k")) in names
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(d, t, len(t or ""), "m", 1) for d, t in rows],
+                                 "doc_id long, text string, n_chars long, mentions string, exceptions int").repartition(3)
+
+
+def test_replacement_is_consistent_and_keeps_columns(spark):
+    rows = [*TEXTS.items(), (8, None), (9, ""), (1, TEXTS[1]), (None, TEXTS[7]), (10, ("word " * 30_000) + TEXTS[1])]
+    documents = frame(spark, rows)
+    out = pii.pseudonymise(documents, "key", count="found")
+    assert out.columns == [*documents.columns, "found"]
+    got = out.collect()
+    by_id = {r.doc_id: r for r in got}
+    assert len(got) == len(rows) and by_id[6].text == TEXTS[6] and by_id[8].text is None and by_id[9].text == ""
+    low, high = re.findall(r"(?i)\S+@\S+\.com", by_id[1].text)
+    assert high == low.upper() and low in by_id[7].text and low in by_id[10].text and low not in TEXTS[1]
+    card = re.findall(r"\d{4} \d{4} \d{4} \d{4}", by_id[3].text)[0].replace(" ", "")
+    assert card in by_id[3].text
+    names = by_id[5].text.replace(";", "").replace(".", "").split()
+    assert names[2] == names[5] and names[0] == "Mrs" and names[1] in pii.GIVEN["latin", "f"]
+    assert all(r.n_chars == len(r.text or "") for r in got) and by_id[5].found == 8
+    left = {e for r in got for e in re.findall(r"[\w.]+@[\w.]+\w", r.text or "")}
+    assert not left & {e for _, t in rows for e in re.findall(r"[\w.]+@[\w.]+\w", t or "")} - {"jo@home"}
+    assert pii.pseudonymise(documents.limit(0)).count() == 0
+
+
+def test_collisions_are_drawn_again(spark):
+    names = [f"Mr {a}{b} Thornbury" for a in "ABDEFGHKLM" for b in ("ardan", "elwin", "ostrek", "undal")]
+    documents = frame(spark, list(enumerate(names)))
+    drawn = pii.assignments(pii.entities(documents), "key")
+    kinds = drawn.groupBy("kind").agg(F.count("*").alias("n"), F.countDistinct("surrogate").alias("d"),
+                                      F.max("attempt").alias("tries")).collect()
+    assert all(r.n == r.d for r in kinds) and max(r.tries for r in kinds) > 0
+    texts = [r.text for r in pii.pseudonymise(documents, "key").collect()]
+    assert len(set(texts)) == len(names)
+    want = {(r.kind, r.canonical): r.surrogate for r in drawn.collect()}
+    for before, after in sorted((r.doc_id, r.text) for r in pii.pseudonymise(documents, "key").collect()):
+        given = names[before].split()[1].lower()
+        assert after.split()[1].lower() == want["given_latin_m", given]
+
+
+def test_exhausted_lists_fail_loudly(spark, monkeypatch):
+    monkeypatch.setattr(pii, "ROUNDS", 1)
+    names = [f"Mr {a}{b} Thornbury" for a in "ABDEFGHKLM" for b in ("ardan", "elwin", "ostrek", "undal")]
+    with pytest.raises(RuntimeError):
+        pii.assignments(pii.entities(frame(spark, list(enumerate(names)))), "key")
