@@ -10,18 +10,17 @@ strings mark equal suffixes, so only marked ones, one in about 38, are indexed.
 suffix array orders them by the hash of their first KEY bytes; this is not the
 alphabet's order, but all a scan for matches needs: equal beginnings are
 neighbours. Full arrays of every byte's suffix would be several times the input.
+The strings that a suffix marks form a run; an entry holds the run's hash.
 
 Family. New batches get suffix arrays, split into buckets of the order. A new array
-is merge-scanned against every existing level for beginnings that occur again,
-and levels of equal rank merge into one of the next, so n batches leave log n
-levels and an entry is rewritten log n times. Levels are bucketed tables: scans
-and merges of two levels move no data between tasks.
-
-Matches. The strings that a suffix marks form a run. Runs with a repeated beginning
-are compared: equal runs at once by a hash of all their bytes, the others string by
-string. A beginning that occurs HOT times or more is compared by strings dealt out
-by their own hash, so no task gathers a crowd. Earlier occurrences are kept by
-minimum, first per task, so copies cost a row per task.
+is merge-scanned against every existing level, and levels of equal rank merge into
+one of the next, so n batches leave log n levels and an entry is rewritten log n
+times. Levels are bucketed tables: scans and merges move no data between tasks.
+Equal runs are settled by the scan. Where only the beginnings agree, the scan asks
+for the bytes of the runs on both sides; these, which lie at the ends of matches,
+are compared string by string. Beginnings asked for HOT times or more are compared
+by strings dealt out by their own hash, so no task gathers a crowd. Each task keeps
+only the first of equal runs, so copies cost a row per task.
 
 Null and empty texts and texts shorter than LENGTH lose nothing. A null doc_id
 counts as the largest. Rows that share a doc_id are judged as one document laid
@@ -41,14 +40,13 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm import text as T
 from gaugeflow.llm.groups import sorted_groups
-from gaugeflow.llm.keyfilter import KeyFilter, build_filter
 from gaugeflow.session import materialize
 
 LENGTH, KEY = 100, 24
-#: Occurrences from which a beginning's strings are dealt out one by one.
+#: Runs asked for from which a beginning's strings are dealt out one by one.
 HOT = 4096
 #: Batches of a whole table, bytes of text per bucket, suffixes held by a task.
-BATCHES, BUCKET_BYTES, HELD = 4, 32 << 20, 600_000
+BATCHES, BUCKET_BYTES, HELD = 3, 16 << 20, 600_000
 #: Bytes of text looked at once, strings compared at once.
 LOOK_BYTES, COMPARED = 256 << 10, 400_000
 LARGEST = np.iinfo(np.int64).max
@@ -122,6 +120,7 @@ class Marker:
 def _ordered(documents: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     return documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LARGEST))).alias("doc"),
         F.xxhash64(text).alias("text_key"), text.alias("text"))
 
@@ -147,165 +146,70 @@ def _column(table, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(parts), kind)
 
 
-ENTRY = {"keys": np.uint64, "docs": np.int64, "places": np.int32, "counts": np.uint16}
-ENTRIES = "bucket long, keys binary, docs binary, places binary, counts binary"
-
-
-def _merged(keys, docs, places, counts) -> list[np.ndarray]:
-    """Entries in order, one per key, with its first occurrence and (up to 65535) occurrences."""
-    order = np.lexsort((places, docs, keys))
-    keys = keys[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else order
-    total = np.add.reduceat(counts[order].astype(np.int64), first) if len(keys) else counts
-    return [c.astype(kind, copy=False) for c, kind in zip(
-        (keys[first], docs[order][first], places[order][first], np.minimum(total, 65535)),
-        ENTRY.values())]
-
-
-def suffix_array(documents: DataFrame, buckets: int, length: int, key: int) -> DataFrame:
-    """The suffix array of a batch: one row per bucket with entries in order."""
-
-    def mark(batches):
-        marker, held, count = Marker(length, key), [], 0
-
-        def flush():
-            columns = _merged(*[np.concatenate([h[i] for h in held]) for i in range(4)])
-            return _split(_bucket(columns[0], buckets), columns, list(ENTRY))
-
-        for batch in batches:
-            docs = batch.column(0).to_numpy()
-            for block in T.blocks(batch.column(1), LOOK_BYTES):
-                runs = marker.runs(block)
-                row = runs.row
-                held.append((runs.key, docs[block.first + row], runs.start - block.offsets[row],
-                             np.ones(len(row), np.int64)))
-                count += len(row)
-                if count >= HELD:
-                    yield flush()
-                    held, count = [], 0
-        if held:
-            yield flush()
-
-    return (documents.select("doc", "text").mapInArrow(mark, ENTRIES)
-            .groupBy("bucket").applyInArrow(_gather, ENTRIES))
-
-
-def _gather(table: pa.Table) -> pa.Table:
-    columns = _merged(*[_column(table, name, kind) for name, kind in ENTRY.items()])
-    return _entry_row(table.column("bucket")[0].as_py(), columns)
-
-
-def _entry_row(bucket: int, columns: list[np.ndarray]) -> pa.Table:
-    return pa.table({"bucket": pa.array([bucket], pa.int64())}
-                    | {name: pa.array([c.tobytes()], pa.binary()) for name, c in zip(ENTRY, columns)})
-
-
-class SuffixFamily:
-    """Levels of suffix arrays over the batches added so far; later batches come later in order."""
-
-    def __init__(self, spark: SparkSession, buckets: int, length: int = LENGTH, key: int = KEY) -> None:
-        self.spark, self.buckets, self.length, self.key = spark, buckets, length, key
-        self.levels: list[tuple[int, str]] = []
-        self.name = f"suffix_{uuid.uuid4().hex}"
-        self.made = 0
-
-    def _store(self, df: DataFrame) -> str:
-        name = f"{self.name}_{self.made}"
-        self.made += 1
-        (df.write.bucketBy(self.buckets, "bucket").sortBy("bucket").format("parquet")
-         .option("compression", "zstd").saveAsTable(name))
-        return name
-
-    def add(self, batch: DataFrame) -> DataFrame:
-        """Index a batch (doc, text); returns the keys (key, n) that now occur again."""
-        name = self._store(suffix_array(batch, self.buckets, self.length, self.key))
-        scans = [self._within(name)] + [self._against(name, level) for _, level in self.levels]
-        found = scans[0]
-        for scan in scans[1:]:
-            found = found.union(scan)
-        found = materialize(found, "suffix-matches")
-        rank = 0
-        while self.levels and self.levels[-1][0] == rank:
-            _, other = self.levels.pop()
-            merged = self._store(self._pairs(other, name, _merge_levels, ENTRIES))
-            self._drop(other, name)
-            name, rank = merged, rank + 1
-        self.levels.append((rank, name))
-        return found
+#: What travels of runs, strings and spans (whose end stands in the place of the strings).
+RUN = {"key": np.uint64, "whole": np.uint64, "doc": np.int64, "text_key": np.int64,
+       "start": np.int32, "strings": np.uint16}
+STRING = {"key": np.uint64, "whole": np.uint64, "doc": np.int64, "text_key": np.int64,
+          "start": np.int32}
+SPAN = {"doc": np.int64, "text_key": np.int64, "start": np.int32, "strings": np.int32}
+#: Kinds of rows: settled spans, runs of an array or with their bytes, strings, runs asked for.
+SPANS, RUNS, STRINGS, ASKED = range(4)
+COLUMNS = ("key", "whole", "doc", "text_key", "start", "strings", "bytes")
+DEALT = "kind int, bucket long, " + ", ".join(f"{c} binary" for c in COLUMNS)
 
-    def _within(self, name: str) -> DataFrame:
-        def repeated(batches):
-            for batch in batches:
-                keys, counts = _column(batch_table(batch), "keys", np.int64), _column(batch_table(batch), "counts", np.uint16)
-                again = counts > 1
-                yield pa.record_batch([pa.array(keys[again]), pa.array(counts[again].astype(np.int64))], names=["key", "n"])
 
-        return self.spark.table(name).select("keys", "counts").mapInArrow(repeated, "key long, n long")
+def _read(table, kinds: dict) -> dict[str, np.ndarray]:
+    """The joined columns of rows of one kind."""
+    return {c: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
+            for c, kind in kinds.items()}
 
-    def _against(self, name: str, level: str) -> DataFrame:
-        return self._pairs(level, name, _scan_levels, "key long, n long")
 
-    def _pairs(self, left: str, right: str, fn, schema: str) -> DataFrame:
-        """Apply fn to the two tables' parts of each bucket; no exchange, as both are bucketed."""
-        return (self.spark.table(left).groupBy("bucket")
-                .cogroup(self.spark.table(right).groupBy("bucket")).applyInArrow(fn, schema))
+def _picked(cols: dict, where: np.ndarray) -> dict[str, np.ndarray]:
+    return {c: v[where] for c, v in cols.items()}
 
-    def _drop(self, *names: str) -> None:
-        for name in names:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-    def drop(self) -> None:
-        self._drop(*[name for _, name in self.levels])
-        self.levels = []
 
+def _joined(parts: list[dict]) -> dict[str, np.ndarray]:
+    return {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
 
-def batch_table(batch: pa.RecordBatch) -> pa.Table:
-    return pa.Table.from_batches([batch])
 
+def _again(cols: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows repeat an earlier equal (key, whole); and the others, in order, each once."""
+    order = np.argsort(cols["key"])
+    out, keep = np.zeros(len(order), dtype=bool), np.ones(len(order), dtype=bool)
+    place = _mixed(cols["key"][order])
+    if not len(place):
+        return out, order
+    # most beginnings stand alone; only the others need a finer order
+    some = order[place]
+    some = some[np.lexsort([cols[c][some] for c in ("text_key", "start", "doc", "whole", "key")])]
+    order[place] = some
+    k, w, d, s, t = (cols[c][some] for c in ("key", "whole", "doc", "start", "text_key"))
+    head = np.append(True, (k[1:] != k[:-1]) | (w[1:] != w[:-1]))
+    at = np.flatnonzero(head)[np.cumsum(head) - 1]
+    later = (d != d[at]) | (s != s[at])
+    same = np.append(False, t[1:] == t[:-1]) & ~head & ~later
+    out[some] = later
+    keep[place] = ~later & ~same
+    return out, order[keep]
 
-def _scan_levels(old: pa.Table, new: pa.Table) -> pa.Table:
-    keys, mine = _column(old, "keys", np.uint64), _column(new, "keys", np.uint64)
-    if not len(keys) or not len(mine):
-        return pa.table({"key": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-    at = np.searchsorted(keys, mine)
-    at = np.minimum(at, len(keys) - 1)
-    hit = keys[at] == mine
-    n = (_column(old, "counts", np.uint16)[at[hit]].astype(np.int64)
-         + _column(new, "counts", np.uint16)[hit])
-    return pa.table({"key": pa.array(mine[hit].view(np.int64)), "n": pa.array(n)})
 
+def _held(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values stand in an ordered array."""
+    if not len(ordered):
+        return np.zeros(len(values), dtype=bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
-def _merge_levels(old: pa.Table, new: pa.Table) -> pa.Table:
-    both = [t for t in (old, new) if t.num_rows]
-    columns = _merged(*[np.concatenate([_column(t, name, kind) for t in both])
-                        for name, kind in ENTRY.items()])
-    return _entry_row(both[0].column("bucket")[0].as_py(), columns)
 
+def _run_spans(cols: dict, length: int) -> list[np.ndarray]:
+    """The bytes of whole runs as spans."""
+    start = cols["start"].astype(np.int64)
+    return [cols["doc"], cols["text_key"], start, start + cols["strings"] - 1 + length]
 
-# ---- matches -------------------------------------------------------------------
 
-RUN = {"key": np.uint64, "whole": np.uint64, "doc": np.int64, "text_key": np.int64,
-       "start": np.int64, "strings": np.int64}
-STRING = {"key": np.uint64, "whole": np.uint64, "doc": np.int64, "text_key": np.int64,
-          "start": np.int64}
-SPAN = {"doc": np.int64, "text_key": np.int64, "start": np.int64, "end": np.int64}
-DEALT = "kind int, bucket long, " + ", ".join(f"{c} binary" for c in
-                                              ("key", "whole", "doc", "text_key", "start", "strings", "bytes"))
-
-
-def _again(key, whole, doc, start) -> tuple[np.ndarray, np.ndarray]:
-    """Which rows repeat an earlier equal (key, whole), and which are first or level with it."""
-    order = np.lexsort((start, doc, whole, key))
-    k, w, d, s = key[order], whole[order], doc[order], start[order]
-    head = np.append(True, (k[1:] != k[:-1]) | (w[1:] != w[:-1])) if len(k) else np.zeros(0, bool)
-    group = np.cumsum(head) - 1
-    at = np.flatnonzero(head)
-    later = (d != d[at][group]) | (s != s[at][group])
-    out = np.empty(len(key), dtype=bool)
-    out[order] = later
-    heads = np.zeros(len(key), dtype=bool)
-    heads[order[at]] = True
-    return out, heads
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    """Places of a sorted array whose value stands there more than once."""
+    same = keys[1:] == keys[:-1]
+    return np.flatnonzero(np.append(False, same) | np.append(same, False))
 
 
 def _merge_spans(doc, text_key, start, end) -> list[np.ndarray]:
@@ -333,207 +237,343 @@ def _string_hashes(marker: Marker, data: np.ndarray, first: np.ndarray, strings:
     return marker.hashes(marker.sums(data), at, at + marker.length), run, number
 
 
-def _compare(marker: Marker, cols: dict, data: np.ndarray, length: int) -> list[np.ndarray]:
+def _string_spans(cols: dict, length: int) -> list[np.ndarray]:
+    start = cols["start"].astype(np.int64)
+    return [cols["doc"], cols["text_key"], start, start + length]
+
+
+def _strings(marker: Marker, cols: dict, data: np.ndarray, first: np.ndarray) -> dict:
+    """All strings of runs whose bytes begin at `first`, as columns."""
+    hashes, run, number = _string_hashes(marker, data, first, cols["strings"].astype(np.int64))
+    return {"key": cols["key"][run], "whole": hashes, "doc": cols["doc"][run],
+            "text_key": cols["text_key"][run],
+            "start": (cols["start"][run] + number).astype(np.int32)}
+
+
+def _compare(marker: Marker, cols: dict, data: np.ndarray) -> list[np.ndarray]:
     """Spans of all strings of runs that occur earlier among these runs."""
-    spans = []
-    later, heads = _again(cols["key"], cols["whole"], cols["doc"], cols["start"])
-    spans.append([cols["doc"][later], cols["text_key"][later], cols["start"][later],
-                  cols["start"][later] + cols["strings"][later] - 1 + length])
-    first = np.concatenate([[0], np.cumsum(cols["strings"] + length - 1)])[:-1]
-    keep = np.flatnonzero(heads)
-    keep = keep[np.argsort(cols["key"][keep], kind="stable")]
-    keys = cols["key"][keep]
-    n = np.searchsorted(keys, keys, side="right") - np.searchsorted(keys, keys, side="left")
-    keep = keep[n > 1]
-    keys = cols["key"][keep]
-    total = np.cumsum(cols["strings"][keep])
-    at = 0
-    while at < len(keep):
+    length = marker.length
+    first = np.concatenate([[0], np.cumsum(cols["strings"].astype(np.int64) + length - 1)])[:-1]
+    order = np.argsort(cols["key"], kind="stable")
+    keys, total = cols["key"][order], np.cumsum(cols["strings"][order].astype(np.int64))
+    spans, at = [], 0
+    while at < len(order):
         to = int(np.searchsorted(total, (total[at - 1] if at else 0) + COMPARED, side="right"))
         to = int(np.searchsorted(keys, keys[min(max(to - 1, at), len(keys) - 1)], side="right"))
-        part = keep[at:to]
-        strings = cols["strings"][part]
-        sizes = strings + length - 1
+        part = order[at:to]
+        sizes = cols["strings"][part].astype(np.int64) + length - 1
         offset = np.concatenate([[0], np.cumsum(sizes)])
         index = np.repeat(first[part] - offset[:-1], sizes) + np.arange(int(offset[-1]))
-        hashes, run, number = _string_hashes(marker, data[index], offset[:-1], strings)
-        doc, start = cols["doc"][part][run], cols["start"][part][run] + number
-        again, _ = _again(cols["key"][part][run], hashes, doc, start)
-        spans.append([doc[again], cols["text_key"][part][run][again], start[again],
-                      start[again] + length])
+        found = _strings(marker, _picked(cols, part), data[index], offset[:-1])
+        again, _ = _again(found)
+        spans.append(_string_spans(_picked(found, again), length))
         at = to
     return _merge_spans(*[np.concatenate([s[i] for s in spans]) for i in range(4)])
 
 
-def _dealt(kind: int, bucket: np.ndarray, cols: dict, order: list[str], data: list[bytes] | None) -> pa.RecordBatch:
-    """Rows of one kind (0 spans, 1 runs with their bytes, 2 strings), one per bucket."""
-    names = ["key", "whole", "doc", "text_key", "start", "strings", "bytes"]
+def _dealt(kind: int, bucket: np.ndarray, cols: dict, kinds: dict,
+           data: list[bytes] | None = None) -> pa.RecordBatch:
+    """Rows of one kind, one per bucket, which keep the order of their entries."""
     where = np.argsort(bucket, kind="stable")
     values, first = np.unique(bucket[where], return_index=True)
     ends = np.append(first[1:], len(where))
-    parts = {c: cols[c][where] for c in order}
     arrays = [pa.array(np.full(len(values), kind, np.int32)), pa.array(values)]
-    for name in names:
-        if name in parts:
-            arrays.append(pa.array([parts[name][a:b].tobytes() for a, b in zip(first, ends)], pa.binary()))
+    for name in COLUMNS:
+        if name in kinds:
+            part = cols[name][where].astype(kinds[name], copy=False)
+            arrays.append(pa.array([part[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()))
         elif name == "bytes" and data is not None:
             arrays.append(pa.array([b"".join([data[i] for i in where[a:b].tolist()])
                                     for a, b in zip(first, ends)], pa.binary()))
         else:
             arrays.append(pa.nulls(len(values), pa.binary()))
-    return pa.record_batch(arrays, names=["kind", "bucket", *names])
+    return pa.record_batch(arrays, names=["kind", "bucket", *COLUMNS])
 
 
 def _spans_batch(spans: list[np.ndarray], buckets: int) -> pa.RecordBatch:
-    doc, text_key, start, end = spans
-    # the end travels in the column of strings
-    cols = {"doc": doc, "text_key": text_key, "start": start, "strings": end}
-    where = _bucket(T.mix(doc.view(np.uint64)), buckets)
-    return _dealt(0, where, cols, ["doc", "text_key", "start", "strings"], None)
+    cols = dict(zip(SPAN, spans))
+    where = _bucket(T.mix(cols["doc"].view(np.uint64)), buckets)
+    return _dealt(SPANS, where, cols, SPAN)
 
 
-def repeated_runs(ordered: DataFrame, repeated, hot, buckets: int, length: int, key: int) -> DataFrame:
-    """Per task: spans settled there, and the first of each run, for comparison with other tasks."""
-    held = ordered.sparkSession.sparkContext.broadcast((repeated.bits, hot.bits))
+def _asked_batch(cols: dict, buckets: int) -> pa.RecordBatch:
+    return _dealt(ASKED, _bucket(cols["key"], buckets), cols, RUN)
 
-    def run(batches):
-        marker = Marker(length, key)
-        known, crowded = KeyFilter(held.value[0]), KeyFilter(held.value[1])
-        cols: dict[str, list] = {c: [] for c in RUN}
-        data: list[bytes] = []
-        count = 0
+
+def _empty() -> pa.RecordBatch:
+    return _dealt(RUNS, np.zeros(0, np.int64), {c: np.zeros(0, k) for c, k in RUN.items()}, RUN)
+
+
+# ---- arrays and levels ---------------------------------------------------------
+
+def suffix_array(batch: DataFrame, buckets: int, length: int, key: int) -> DataFrame:
+    """The suffix array of a batch, one row per bucket, with what it settles by itself."""
+
+    def mark(batches):
+        marker, held, count = Marker(length, key), [], 0
 
         def flush():
-            all_ = {c: np.concatenate(cols[c]).astype(kind, copy=False) for c, kind in RUN.items()}
-            later, heads = _again(all_["key"], all_["whole"], all_["doc"], all_["start"])
-            spans = [[all_["doc"][later], all_["text_key"][later], all_["start"][later],
-                      all_["start"][later] + all_["strings"][later] - 1 + length]]
-            crowd = crowded.passes(all_["key"])
-            few, many = np.flatnonzero(heads & ~crowd), np.flatnonzero(heads & crowd)
-            if len(few):
-                mine = {c: all_[c][few] for c in RUN}
-                yield _dealt(1, _bucket(mine["key"], buckets), mine, list(RUN),
-                             [data[i] for i in few.tolist()])
-            for at in range(0, len(many), COMPARED // 64):
-                part = many[at:at + COMPARED // 64]
-                strings = all_["strings"][part]
-                joined = np.frombuffer(b"".join([data[i] for i in part.tolist()]), np.uint8)
-                first = np.concatenate([[0], np.cumsum(strings + length - 1)])[:-1]
-                hashes, run_, number = _string_hashes(marker, joined, first, strings)
-                mine = {"key": all_["key"][part][run_], "whole": hashes,
-                        "doc": all_["doc"][part][run_], "text_key": all_["text_key"][part][run_],
-                        "start": all_["start"][part][run_] + number}
-                again, first_ones = _again(mine["key"], mine["whole"], mine["doc"], mine["start"])
-                spans.append([mine["doc"][again], mine["text_key"][again], mine["start"][again],
-                              mine["start"][again] + length])
-                mine = {c: v[first_ones] for c, v in mine.items()}
-                yield _dealt(2, _bucket(mine["whole"], buckets), mine, list(STRING), None)
-            joined = _merge_spans(*[np.concatenate([s[i] for s in spans]) for i in range(4)])
-            if len(joined[0]):
-                yield _spans_batch(joined, buckets)
+            cols = _joined(held)
+            later, first = _again(cols)
+            if later.any():
+                yield _spans_batch(_merge_spans(*_run_spans(_picked(cols, later), length)), buckets)
+            first = _picked(cols, first)
+            yield _dealt(RUNS, _bucket(first["key"], buckets), first, RUN)
 
         for batch in batches:
             docs, text_keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for block in T.blocks(batch.column(2), LOOK_BYTES):
                 runs = marker.runs(block)
-                good = np.flatnonzero(known.passes(runs.key))
-                if not len(good):
-                    continue
-                row, start = runs.row[good], runs.start[good]
-                cols["key"].append(runs.key[good])
-                cols["whole"].append(runs.whole[good])
-                cols["doc"].append(docs[block.first + row])
-                cols["text_key"].append(text_keys[block.first + row])
-                cols["start"].append(start - block.offsets[row])
-                cols["strings"].append(runs.strings[good])
-                raw = block.data.tobytes()
-                data += [raw[a:b] for a, b in zip(
-                    start.tolist(), (start + runs.strings[good] - 1 + length).tolist())]
-                count += len(good)
-                if count >= HELD // 4:
+                row = block.first + runs.row
+                held.append({"key": runs.key, "whole": runs.whole, "doc": docs[row],
+                             "text_key": text_keys[row],
+                             "start": (runs.start - block.offsets[runs.row]).astype(np.int32),
+                             "strings": runs.strings.astype(np.uint16)})
+                count += len(row)
+                if count >= HELD:
                     yield from flush()
-                    cols, data, count = {c: [] for c in RUN}, [], 0
+                    held, count = [], 0
         if count:
             yield from flush()
 
-    return ordered.mapInArrow(run, DEALT)
+    def gather(parts):
+        for group in sorted_groups(parts, 2):
+            if group.column(0)[0].as_py() == SPANS:
+                yield group
+                continue
+            cols = _read(group, RUN)
+            later, first = _again(cols)
+            if later.any():
+                yield _spans_batch(_merge_spans(*_run_spans(_picked(cols, later), length)), buckets)
+            first = _picked(cols, first)
+            asked = _mixed(first["key"])
+            if len(asked):
+                yield _asked_batch(_picked(first, asked), buckets)
+            yield _dealt(RUNS, np.full(len(first["key"]), group.column(1)[0].as_py()), first, RUN)
+
+    return (batch.select("doc", "text_key", "text").mapInArrow(mark, DEALT)
+            .repartition("kind", "bucket").sortWithinPartitions("kind", "bucket")
+            .mapInArrow(gather, DEALT))
+
 
+class SuffixFamily:
+    """Levels of suffix arrays over the batches added so far; later batches come later in order."""
 
-def duplicate_spans(ordered: DataFrame, length: int = LENGTH, key: int = KEY, batches: int = BATCHES,
+    def __init__(self, spark: SparkSession, buckets: int, length: int = LENGTH, key: int = KEY) -> None:
+        self.spark, self.buckets, self.length, self.key = spark, buckets, length, key
+        self.levels: list[tuple[int, str]] = []
+        self.name = f"suffix_{uuid.uuid4().hex}"
+        self.made = 0
+
+    def add(self, batch: DataFrame) -> DataFrame:
+        """Index a batch (doc, text_key, text); returns the spans and the runs asked for.
+
+        The rows are what the batch repeats of itself and of everything before it.
+        """
+        name = self._store(suffix_array(batch, self.buckets, self.length, self.key))
+        found = self.spark.table(name).where(F.col("kind") != RUNS).select("kind", "bucket", *COLUMNS)
+        for _, level in self.levels:
+            found = found.union(self._against(name, level))
+        found = materialize(found, "suffix-matches")
+        rank = 0
+        while self.levels and self.levels[-1][0] == rank:
+            _, other = self.levels.pop()
+            merged = self._store(self._pairs(other, name, _merger()))
+            self._drop(other, name)
+            name, rank = merged, rank + 1
+        self.levels.append((rank, name))
+        return found
+
+    def drop(self) -> None:
+        self._drop(*[name for _, name in self.levels])
+        self.levels = []
+
+    def _store(self, df: DataFrame) -> str:
+        name = f"{self.name}_{self.made}"
+        self.made += 1
+        (df.write.partitionBy("kind").bucketBy(self.buckets, "bucket").sortBy("bucket")
+         .format("parquet").option("parquet.enable.dictionary", "false").saveAsTable(name))
+        return name
+
+    def _against(self, name: str, level: str) -> DataFrame:
+        return self._pairs(level, name, _scanner(self.length, self.buckets))
+
+    def _pairs(self, left: str, right: str, fn) -> DataFrame:
+        """Apply fn to the two tables' parts of each bucket; no exchange, as both are bucketed."""
+        runs = lambda name: (self.spark.table(name).where(F.col("kind") == RUNS)
+                             .select("kind", "bucket", *COLUMNS).groupBy("bucket"))
+        return runs(left).cogroup(runs(right)).applyInArrow(fn, DEALT)
+
+    def _drop(self, *names: str) -> None:
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _scanner(length: int, buckets: int):
+    def scan(old: pa.Table, new: pa.Table) -> pa.Table:
+        """Runs of the new array that an older one has too, and those whose beginning it has."""
+        before, after = _read(old, RUN), _read(new, RUN)
+        shared = _held(before["key"], after["key"]), _held(after["key"], before["key"])
+        if not shared[0].any():
+            return pa.Table.from_batches([_empty()])
+        before, after = _picked(before, shared[1]), _picked(after, shared[0])
+        pair = np.concatenate
+        order = np.lexsort((np.repeat([0, 1], [len(before["key"]), len(after["key"])]),
+                            pair([before["whole"], after["whole"]]), pair([before["key"], after["key"]])))
+        key, whole = pair([before["key"], after["key"]])[order], pair([before["whole"], after["whole"]])[order]
+        head = np.append(True, (key[1:] != key[:-1]) | (whole[1:] != whole[:-1]))
+        old_first = order[np.flatnonzero(head)] < len(before["key"])
+        known = np.empty(len(order), dtype=bool)
+        known[order] = old_first[np.cumsum(head) - 1]
+        known = known[len(before["key"]):]
+        out = []
+        if known.any():
+            out.append(_spans_batch(_merge_spans(*_run_spans(_picked(after, known), length)), buckets))
+        asking = _picked(after, ~known)
+        if len(asking["key"]):
+            answer = _picked(before, _held(asking["key"], before["key"]))
+            out.append(_asked_batch(_joined([asking, answer]), buckets))
+        return pa.Table.from_batches(out)
+
+    return scan
+
+
+def _merger():
+    def merge(old: pa.Table, new: pa.Table) -> pa.Table:
+        parts = [t for t in (old, new) if t.num_rows]
+        cols = _joined([_read(t, RUN) for t in parts])
+        _, first = _again(cols)
+        bucket = parts[0].column("bucket")[0].as_py()
+        return pa.Table.from_batches(
+            [_dealt(RUNS, np.full(len(first), bucket), _picked(cols, first), RUN)])
+
+    return merge
+
+
+# ---- the table's own repeats ---------------------------------------------------
+
+def asked_bytes(rows: DataFrame, asked: DataFrame, buckets: int, length: int, key: int) -> DataFrame:
+    """The runs asked for with their bytes, dealt by key, or as strings where a key is crowded."""
+
+    def fetch(batches):
+        marker = Marker(length, key)
+        for batch in batches:
+            lists = batch.column(4)
+            owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+            flat = lists.flatten()
+            cols = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("key", "whole", "start", "strings")}
+            cols = {"key": cols["key"].view(np.uint64), "whole": cols["whole"].view(np.uint64),
+                    "doc": batch.column(0).to_numpy()[owner], "text_key": batch.column(1).to_numpy()[owner],
+                    "start": cols["start"].astype(np.int32), "strings": cols["strings"].astype(np.uint16)}
+            crowd = np.asarray(flat.field("crowd").to_numpy(zero_copy_only=False), dtype=bool)
+            text, offsets = T.utf8(batch.column(3))
+            begin = offsets[owner] + cols["start"]
+            end = begin + cols["strings"] - 1 + length
+            for at in range(0, len(owner), HELD // 8):
+                some = slice(at, at + HELD // 8)
+                data = [text[a:b].tobytes() for a, b in zip(begin[some].tolist(), end[some].tolist())]
+                part, full = _picked(cols, some), crowd[some]
+                few, many = np.flatnonzero(~full), np.flatnonzero(full)
+                if len(few):
+                    mine = _picked(part, few)
+                    yield _dealt(RUNS, _bucket(mine["key"], buckets), mine, RUN, [data[i] for i in few.tolist()])
+                for low in range(0, len(many), COMPARED // 64):
+                    mine = many[low:low + COMPARED // 64]
+                    joined = np.frombuffer(b"".join([data[i] for i in mine.tolist()]), np.uint8)
+                    mine = _picked(part, mine)
+                    first = np.concatenate([[0], np.cumsum(mine["strings"].astype(np.int64) + length - 1)])[:-1]
+                    found = _strings(marker, mine, joined, first)
+                    again, once = _again(found)
+                    if again.any():
+                        yield _spans_batch(_merge_spans(*_string_spans(_picked(found, again), length)), buckets)
+                    found = _picked(found, once)
+                    yield _dealt(STRINGS, _bucket(found["whole"], buckets), found, STRING)
+
+    wanted = asked.groupBy("doc", "text_key").agg(
+        F.collect_list(F.struct("key", "whole", "start", "strings", "crowd")).alias("runs"))
+    return (rows.join(wanted.hint("shuffle_hash"), ["doc", "text_key"])
+            .select("doc", "text_key", "doc_id", "text", "runs").mapInArrow(fetch, DEALT))
+
+
+def _unpack(batches):
+    for batch in batches:
+        cols = _read(batch, RUN)
+        yield pa.record_batch([pa.array(cols["key"].view(np.int64)), pa.array(cols["whole"].view(np.int64)),
+                               pa.array(cols["doc"]), pa.array(cols["text_key"]), pa.array(cols["start"]),
+                               pa.array(cols["strings"].astype(np.int32))], names=list(RUN))
+
+
+def duplicate_spans(rows: DataFrame, length: int = LENGTH, key: int = KEY, batches: int = BATCHES,
                     hot: int = HOT, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(doc, text_key, starts, ends): merged spans of repeated bytes of each document that has any."""
-    spark = ordered.sparkSession
-    size = ordered.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 8
-    while buckets * bucket_bytes < size and buckets < 1 << 16:
+    while buckets * bucket_bytes < size and buckets < 1 << 20:
         buckets *= 2
-    cuts = (ordered.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01)
+    cuts = (rows.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01)
             if batches > 1 else [])
     cuts = sorted({min(int(c), int(LARGEST) - 1) for c in cuts})
-    family = SuffixFamily(spark, buckets, length, key)
+    family = SuffixFamily(rows.sparkSession, buckets, length, key)
     found = None
     for low, high in zip([None, *cuts], [*cuts, None]):
-        batch = ordered
+        batch = rows
         if low is not None:
             batch = batch.where(F.col("doc") > low)
         if high is not None:
             batch = batch.where(F.col("doc") <= high)
         matches = family.add(batch)
         found = matches if found is None else found.union(matches)
-    repeated = build_filter(found.select("key").distinct(), "key")
-    crowded = build_filter(found.where(F.col("n") >= hot).select("key").distinct(), "key")
     family.drop()
-    dealt = repeated_runs(ordered, repeated, crowded, buckets, length, key)
+    asked = materialize(found.where(F.col("kind") == ASKED).select(*RUN).mapInArrow(
+        _unpack, "key long, whole long, doc long, text_key long, start int, strings int")
+        .distinct(), "suffix-asked")
+    crowds = materialize(asked.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= hot)
+                         .select("key", F.lit(True).alias("crowd")), "suffix-crowds")
+    asked = asked.join(crowds, "key", "left").withColumn("crowd", F.coalesce("crowd", F.lit(False)))
+    dealt = found.where(F.col("kind") == SPANS).union(
+        asked_bytes(rows, asked, buckets, length, key))
 
     def settle(parts):
         marker = Marker(length, key)
         for group in sorted_groups(parts, 2):
-            table, kind = batch_table(group), group.column(0)[0].as_py()
-            if kind == 0:
+            kind = group.column(0)[0].as_py()
+            if kind == SPANS:
                 yield group
                 continue
-            if kind == 1:
-                cols = {c: _column(table, c, kind) for c, kind in RUN.items()}
-                data = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
-                spans = _compare(marker, cols, data, length)
+            if kind == RUNS:
+                data = np.frombuffer(b"".join(group.column("bytes").to_pylist()), np.uint8)
+                spans = _compare(marker, _read(group, RUN), data)
             else:
-                cols = {c: _column(table, c, kind) for c, kind in STRING.items()}
-                again, _ = _again(cols["key"], cols["whole"], cols["doc"], cols["start"])
-                spans = _merge_spans(cols["doc"][again], cols["text_key"][again],
-                                     cols["start"][again], cols["start"][again] + length)
+                cols = _read(group, STRING)
+                spans = _merge_spans(*_string_spans(_picked(cols, _again(cols)[0]), length))
             if len(spans[0]):
                 yield _spans_batch(spans, buckets)
 
     def unite(parts):
-        kind = pa.list_(pa.int64())
         for group in sorted_groups(parts, 1):
-            table = batch_table(group)
-            cols = [_column(table, c, np.int64) for c in ("doc", "text_key", "start", "strings")]
-            doc, text_key, start, end = _merge_spans(*cols)
+            doc, text_key, start, end = _merge_spans(*_read(group, SPAN).values())
             head = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (text_key[1:] != text_key[:-1])))
             offsets = np.append(head, len(doc)).astype(np.int32)
             for at in range(0, len(head), 10_000):
                 some = head[at:at + 10_000]
                 bounds = offsets[at:at + len(some) + 1]
                 lo, hi = int(bounds[0]), int(bounds[-1])
-                lists = [pa.ListArray.from_arrays(pa.array(bounds - lo), pa.array(c[lo:hi]))
+                lists = [pa.ListArray.from_arrays(pa.array(bounds - lo), pa.array(c[lo:hi].astype(np.int64)))
                          for c in (start, end)]
-                yield pa.record_batch([pa.array(doc[some]), pa.array(text_key[some]),
-                                       *[x.cast(kind) for x in lists]],
+                yield pa.record_batch([pa.array(doc[some]), pa.array(text_key[some]), *lists],
                                       names=["doc", "text_key", "starts", "ends"])
 
     settled = (dealt.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket")
                .mapInArrow(settle, DEALT))
-    return (settled.select("bucket", "doc", "text_key", "start", "strings").repartition("bucket")
-            .sortWithinPartitions("bucket")
+    return (settled.select("bucket", *SPAN).repartition("bucket").sortWithinPartitions("bucket")
             .mapInArrow(unite, "doc long, text_key long, starts array<long>, ends array<long>"))
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, key: int = KEY,
                    batches: int = BATCHES, hot: int = HOT, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Per document row: bytes, bytes and spans removed, and the digest of the kept bytes."""
-    ordered = _ordered(documents)
-    spans = materialize(duplicate_spans(ordered, length, key, batches, hot, bucket_bytes), "suffix-spans")
+    rows = _ordered(documents)
+    spans = duplicate_spans(rows, length, key, batches, hot, bucket_bytes)
 
     def cut(parts):
         for batch in parts:
@@ -563,10 +603,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, key: int = KEY,
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     none = F.array().cast("array<long>")
-    rows = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LARGEST))).alias("doc"),
-        F.xxhash64(F.col("text").cast("string")).alias("text_key"))
+    # both joins read the rows dealt by (doc, text_key), which Spark deals once
     return (rows.join(spans.hint("shuffle_hash"), ["doc", "text_key"], "left")
             .select("doc_id", "text", F.coalesce("starts", none).alias("starts"),
                     F.coalesce("ends", none).alias("ends"))
