@@ -19,11 +19,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import unicodedata
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,16 +44,11 @@ CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 @lru_cache(maxsize=1)
 def char_classes() -> np.ndarray:
     """The class of each code point: white space, letter, number or other."""
-    try:
-        import regex
-
-        of = {"L": regex.compile(r"\p{L}"), "N": regex.compile(r"\p{N}")}
-        kind = lambda c: next((k for k, p in of.items() if p.match(c)), "")
-    except ImportError:
-        kind = lambda c: unicodedata.category(c)[0]
+    letter, number = regex.compile(r"\p{L}"), regex.compile(r"\p{N}")
     table = np.full(0x110000, OTHER, np.uint8)
     for point in range(0x110000):
-        table[point] = {"L": LETTER, "N": NUMBER}.get(kind(chr(point)), OTHER)
+        char = chr(point)
+        table[point] = LETTER if letter.match(char) else NUMBER if number.match(char) else OTHER
     table[WHITE] = SPACE
     return table
 
