@@ -1,17 +1,20 @@
-"""Sustained-threshold alerts on a stream, with state per sensor.
+"""Sustained-threshold alerts on a stream, with state per bucket of sensors.
 
 No watermark: a late reading still counts. The state of a sensor is the length
-of the open run and the time of the last alert.
+of the open run and the time of the last alert; a bucket of sensors keeps its
+states together, so one read and one write serve all of them.
 
 A micro-batch is reduced before it reaches the state. Its readings are spread by
-(sensor, block of arrival numbers); each block keeps only breaches that can
-still become alerts, plus its last reading. A sensor that sends a third of the
-data is therefore worked on by many tasks, and its single state update sees
-few rows.
+(sensor, block of arrival numbers). A block becomes one row: the breaches that can
+still become alerts, and how the open run stands at its end. Of those breaches the
+ones are left out that are no later than an earlier sure one, for whether that one
+alerts or is suppressed, they are suppressed. A sensor that sends a third of the
+data is therefore worked on by many tasks, and its state sees one row per block.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.sql.types import (
-    BooleanType, IntegerType, LongType, StringType, StructField, StructType)
+    ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType)
 
 from gaugeflow.functions.parsing import accepted, parse_events
 from gaugeflow.operators.alerts import as_reading
@@ -30,59 +33,87 @@ from gaugeflow.schema import ALERT, COOLDOWN_MS, MIN_CONSECUTIVE, UNKNOWN_ID
 from gaugeflow.sources.metadata import Metadata
 from gaugeflow.streaming.start import start_files
 
-STREAM_BLOCK = 1 << 20
+# readings of a sensor that one task sorts, and states that are kept together
+STREAM_BLOCK = 1 << 16
+BUCKETS = 256
 OUT = StructType([StructField("sensor_id", StringType()), StructField("seq", LongType()),
                   StructField("consecutive_breaches", IntegerType()),
                   StructField("reading", StringType())])
 READING = ("value double, threshold double, severity string, sensor_type string, "
            "location string, timestamp string, critical_threshold double, event_us bigint")
-STATE = StructType([StructField("breach_count", IntegerType()),
-                    StructField("last_alert_ms", LongType())])
-
-
-def reduce_blocks(readings: DataFrame, min_consecutive: int, block: int) -> DataFrame:
-    """Per (sensor, block): possible alerts and the last reading.
-
-    Adds ``run`` (breaches since the block's last normal reading), ``open`` (no
-    normal reading in the block so far, so an earlier run goes on) and ``last``.
-    A stream cannot be sorted by Spark, so a task sorts its share of the
-    micro-batch; the source's cap per trigger bounds it.
+BLOCK_ROW = StructType([
+    StructField("bucket", LongType()), StructField("sensor_id", StringType()),
+    StructField("block", LongType()), StructField("tail_run", LongType()),
+    StructField("tail_open", BooleanType()), StructField("seqs", ArrayType(LongType())),
+    StructField("times", ArrayType(LongType())), StructField("runs", ArrayType(LongType())),
+    StructField("opens", ArrayType(BooleanType())), StructField("readings", ArrayType(StringType()))])
+STATE = StructType([
+    StructField("sensors", ArrayType(StringType())), StructField("runs", ArrayType(LongType())),
+    StructField("last_alerts", ArrayType(LongType())), StructField("touched", ArrayType(LongType()))])
+
+
+def reduce_blocks(readings: DataFrame, min_consecutive: int, block: int, buckets: int,
+                  partitions: int | None = None) -> DataFrame:
+    """One row per (sensor, block): possible alerts and the run at the block's end.
+
+    ``runs`` counts breaches since the block's last normal reading; ``opens`` tells
+    that there was none, so an earlier run goes on. A stream cannot be sorted by
+    Spark, so a task sorts its share of the micro-batch: its part of the source's cap,
+    but never more than ``block`` readings of one sensor for one block.
     """
-    out = StructType(readings.schema.fields + [
-        StructField("run", LongType()), StructField("open", BooleanType()),
-        StructField("last", BooleanType())])
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        share = list(batches)
+        share = [b for b in batches if b.num_rows]
         if not share:
             return
         rows = pa.Table.from_batches(share).sort_by(
             [("sensor_id", "ascending"), ("_block", "ascending"), ("seq", "ascending")])
         size = len(rows)
-        if not size:
-            return
         names, blocks = rows.column("sensor_id"), rows.column("_block")
         differs = pc.or_(pc.not_equal(names.slice(1), names.slice(0, size - 1)),
                          pc.not_equal(blocks.slice(1), blocks.slice(0, size - 1))).to_numpy()
         begins, ends = np.r_[True, differs], np.r_[differs, True]
-        breach = rows.column("breach").to_numpy()
+        group = np.cumsum(begins) - 1
+        breach, times = rows.column("breach").to_numpy(), rows.column("event_ms").to_numpy()
         place, count = np.arange(size), np.cumsum(breach)
         begin = np.maximum.accumulate(np.where(begins, place, 0))
         normal = np.maximum.accumulate(np.where(breach, -1, place))
         is_open = normal < begin
         run = count - np.where(is_open, count[begin] - breach[begin], count[normal])
-        at = np.flatnonzero((breach & (is_open | (run >= min_consecutive))) | ends)
-        reduced = rows.drop_columns("_block").take(at)
-        for name, values in (("run", run), ("open", is_open), ("last", ends)):
-            reduced = reduced.append_column(name, pa.array(values[at]))
-        yield from reduced.to_batches(max_chunksize=10_000)
-
-    blocks = readings.withColumn("_block", F.expr(f"seq div {block}"))
-    return blocks.repartition("sensor_id", "_block").mapInArrow(reduce, out)
+        sure = breach & (run >= min_consecutive)
+        # each block's times are lifted above all earlier ones, so one running maximum serves all
+        lift = group * (int(times.max()) - int(times.min()) + 2)
+        lifted = times - int(times.min()) + 1 + lift
+        newest = np.r_[0, np.maximum.accumulate(np.where(sure, lifted, lift))[:-1]]
+        kept = np.flatnonzero((sure | (breach & is_open)) & (lifted > np.maximum(newest, lift)))
+        last = np.flatnonzero(ends)
+        bounds = np.r_[0, np.cumsum(np.bincount(group[kept], minlength=len(last)))].astype(np.int32)
+        some = rows.take(kept)
+
+        def lists(values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(bounds), values)
+
+        heads = rows.take(last)
+        table = pa.table({
+            "bucket": heads.column("_bucket"), "sensor_id": heads.column("sensor_id"),
+            "block": heads.column("_block"), "tail_run": pa.array(run[last]),
+            "tail_open": pa.array(is_open[last]),
+            "seqs": lists(some.column("seq").combine_chunks()),
+            "times": lists(pa.array(times[kept])), "runs": lists(pa.array(run[kept])),
+            "opens": lists(pa.array(is_open[kept])),
+            "readings": lists(some.column("reading").combine_chunks())})
+        yield from table.to_batches(max_chunksize=1_000)
+
+    spread = readings.withColumns({
+        "_block": F.expr(f"seq div {block}"),
+        "_bucket": F.pmod(F.xxhash64("sensor_id"), F.lit(buckets).cast("long"))})
+    dealt = (spread.repartition(partitions, "sensor_id", "_block") if partitions
+             else spread.repartition("sensor_id", "_block"))
+    return dealt.mapInArrow(reduce, BLOCK_ROW)
 
 
 class SustainedAlerts(StatefulProcessor):
-    """Continues a sensor's run and cooldown over micro-batches."""
+    """Continues the runs and cooldowns of a bucket's sensors over micro-batches."""
 
     def __init__(self, min_consecutive: int, cooldown_ms: int, ttl_ms: int | None):
         self._min = min_consecutive
@@ -90,30 +121,45 @@ class SustainedAlerts(StatefulProcessor):
         self._ttl = ttl_ms
 
     def init(self, handle) -> None:
-        self._state = handle.getValueState("breaches", STATE, self._ttl)
+        self._state = handle.getValueState("breaches", STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        parts = list(rows)
-        batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        order = np.argsort(batch["seq"].to_numpy())
-        run, is_open, breach, times = (
-            batch[c].to_numpy()[order] for c in ("run", "open", "breach", "event_ms"))
-        run = run.copy()
-        before = self._state.get() or (0, 0)
-        carry, last = before
-        begin = 0
-        for end in np.flatnonzero(batch["last"].to_numpy()[order]).tolist():
+        now = int(time.time() * 1000)
+        states = self._read(now)
+        blocks = pd.concat(list(rows), ignore_index=True).sort_values(["sensor_id", "block"])
+        found = []
+        for row in blocks.itertuples(index=False):
+            carry, last, _ = states.get(row.sensor_id, (0, 0, now))
+            runs = np.asarray(row.runs, np.int64)
             # readings before the block's first normal one continue the open run
-            run[begin:end + 1] += np.where(is_open[begin:end + 1], carry, 0)
-            carry, begin = int(run[end]), end + 1
-        due = np.flatnonzero(breach & (run >= self._min))
-        picked = due[pick_alerts(times[due], last, self._cooldown)]
-        if len(picked):
-            last = int(times[picked[-1]])
-            yield batch.iloc[order[picked]].assign(
-                consecutive_breaches=run[picked].astype(np.int32))[OUT.names]
-        if (carry, last) != tuple(before):
-            self._state.update((carry, last))
+            runs = runs + np.where(np.asarray(row.opens, bool), carry, 0)
+            due = np.flatnonzero(runs >= self._min)
+            times = np.asarray(row.times, np.int64)[due]
+            picked = pick_alerts(times, last, self._cooldown)
+            if len(picked):
+                last = int(times[picked[-1]])
+                at = due[picked]
+                found.append(pd.DataFrame({
+                    "sensor_id": row.sensor_id, "seq": np.asarray(row.seqs, np.int64)[at],
+                    "consecutive_breaches": runs[at].astype(np.int32),
+                    "reading": np.asarray(row.readings, object)[at]}))
+            carry = int(row.tail_run) + (carry if row.tail_open else 0)
+            states[row.sensor_id] = (carry, last, now)
+        self._write(states)
+        if found:
+            yield pd.concat(found, ignore_index=True)
+
+    def _read(self, now: int) -> dict[str, tuple[int, int, int]]:
+        kept = self._state.get()
+        if not kept:
+            return {}
+        return {sensor: (run, last, touched) for sensor, run, last, touched in zip(*kept)
+                if self._ttl is None or now - touched <= self._ttl}
+
+    def _write(self, states: dict[str, tuple[int, int, int]]) -> None:
+        # a sensor without a run and without an alert is like an unknown one
+        kept = {s: v for s, v in states.items() if v[0] or v[1]}
+        self._state.update((list(kept), *([v[i] for v in kept.values()] for i in range(3))))
 
     def close(self) -> None:
         pass
@@ -121,20 +167,24 @@ class SustainedAlerts(StatefulProcessor):
 
 def stream_alerts(events: DataFrame, metadata: Metadata, min_consecutive: int = MIN_CONSECUTIVE,
                   cooldown_ms: int = COOLDOWN_MS, ttl_ms: int | None = None,
-                  block: int = STREAM_BLOCK) -> DataFrame:
-    """Alerts with the same rows as ``sustained_alerts`` on the stored events."""
+                  block: int = STREAM_BLOCK, buckets: int = BUCKETS,
+                  partitions: int | None = None) -> DataFrame:
+    """Alerts with the same rows as ``sustained_alerts`` on the stored events.
+
+    ``buckets`` belongs to the checkpoint; a call serves one bucket, so large fleets
+    want more of them. ``partitions`` spreads a micro-batch over more, smaller tasks.
+    """
     readings = as_reading(events, metadata)
-    # One text column instead of eight: the state function is called once per sensor, and
-    # each further column costs every call. A normal reading only ends a run, so nothing
-    # else of it is moved.
+    # One text column instead of eight, as each column costs every call of the state
+    # function. A normal reading only ends a run, so nothing else of it is moved.
     slim = readings.select(
         "sensor_id", "seq", F.unix_millis("event_time").alias("event_ms"), "breach",
         F.when(F.col("breach"), F.to_json(F.struct(
             "value", "threshold", "severity", "sensor_type", "location", "timestamp",
             F.nullif("critical_threshold", F.lit(float("inf"))).alias("critical_threshold"),
             F.unix_micros("event_time").alias("event_us")))).alias("reading"))
-    alerts = reduce_blocks(slim, min_consecutive, block).groupBy(
-        "sensor_id").transformWithStateInPandas(
+    alerts = reduce_blocks(slim, min_consecutive, block, buckets, partitions).groupBy(
+        "bucket").transformWithStateInPandas(
         SustainedAlerts(min_consecutive, cooldown_ms, ttl_ms), OUT, "Append", "None")
     full = alerts.select("sensor_id", "seq", "consecutive_breaches",
                          F.from_json("reading", READING).alias("r"))

@@ -3,6 +3,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from data import at, event, events, metadata
 from model import alerts_of
 
@@ -14,7 +15,7 @@ from gaugeflow.schema import AGGREGATES_TOPIC, ALERT, ALERTS_TOPIC
 from gaugeflow.sources import archive
 from gaugeflow.sources.events import file_events
 from gaugeflow.streaming.aggregates import aggregate_job, stream_aggregates
-from gaugeflow.streaming.alerts import alert_job, stream_alerts
+from gaugeflow.streaming.alerts import alert_job, reduce_blocks, stream_alerts
 from gaugeflow.streaming.progress import ProgressCounters
 from gaugeflow.streaming.results import publish_job, result_tables_job
 from gaugeflow.streaming.start import finish
@@ -81,14 +82,15 @@ def plain(rows):
     return [(r[0], r[1], int(r[2].timestamp() * 1000), r[3] >= 60) for r in rows]
 
 
-@pytest.mark.parametrize("batches,block", [(1, 1 << 16), (2, 16), (6, 5)])
-def test_alert_stream_equals_stored_events(spark, tmp_path, batches, block):
+@pytest.mark.parametrize("batches,block,buckets", [(1, 1 << 16, 256), (2, 16, 1), (6, 5, 3)])
+def test_alert_stream_equals_stored_events(spark, tmp_path, batches, block, buckets):
     rows = readings(batches)
     size = -(-len(rows) // batches)
     for number in range(batches):
         write_batch(tmp_path / "in", number, rows[number * size:(number + 1) * size])
     finish(alert_job(source(spark, tmp_path / "in"), metadata(spark), str(tmp_path / "out"),
-                     str(tmp_path / "check"), interval=None, state_partitions=2, block=block), 300)
+                     str(tmp_path / "check"), interval=None, state_partitions=2, block=block,
+                     buckets=buckets), 300)
     got = spark.read.schema(ALERT).parquet(str(tmp_path / "out"))
     want = alerts_of(plain(rows))
     assert {(r.sensor_id, r.seq): r.consecutive_breaches for r in got.collect()} == want
@@ -98,6 +100,19 @@ def test_alert_stream_equals_stored_events(spark, tmp_path, batches, block):
         tuple(r) for r in sorted(stored.collect(), key=key)]
 
 
+def test_a_hot_sensor_sends_one_row_per_block(spark):
+    """A sensor that never stops: its state sees blocks, and only times that rise."""
+    rows = [event("hot", i, i * 0.5 if i % 3 else 0, 90) for i in range(900)]
+    slim = events(spark, rows).select(
+        "sensor_id", "seq", F.unix_millis("event_time").alias("event_ms"),
+        F.lit(True).alias("breach"), F.lit("{}").alias("reading"))
+    got = reduce_blocks(slim, 3, 100, 8).collect()
+    assert len(got) == 9 and len({r.bucket for r in got}) == 1
+    assert all(r.tail_run == 100 and r.tail_open for r in got)
+    assert all(len(r.seqs) <= 70 for r in got)  # a third of the readings is older than a sure one
+    assert sum(len(r.seqs) for r in got) < 640
+
+
 def test_restart_keeps_state(spark, tmp_path):
     rows = readings(11)
     for number in range(4):
