@@ -15,7 +15,9 @@ parallel:
   alert. The block is described by the last alert that follows from each.
 
 Linked blocks are described in parallel, the descriptions of a sensor are then
-chained in order, row by row, and all blocks replay their part in parallel.
+chained in order, row by row, and all blocks replay their part in parallel. Blocks
+are read Arrow batch by Arrow batch: a replay holds one time, a description the
+possible first alerts of one cooldown, however many readings the block has.
 """
 
 from __future__ import annotations
@@ -77,34 +79,43 @@ def suppress(candidates: DataFrame, cooldown_ms: int = COOLDOWN_MS,
         F.col("later_arrival").isNull() | (F.col("seq") < F.col("later_arrival")))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The last alert that follows from each possible first one. Only these are held,
+        and of those with the same outcome only the latest is passed on."""
         def rows():
-            for sensor, block, cols in _blocks(batches):
-                times = np.unique(np.maximum.accumulate(cols["event_ms"]))
-                entries = times[:np.searchsorted(times, times[0] + cooldown_ms, "right") + 1]
-                following = np.searchsorted(times, times + cooldown_ms, "right")
-                at = np.arange(len(entries))
-                moving = following[at] < len(times)
-                while moving.any():
-                    at = np.where(moving, following[at], at)
-                    moving = following[at] < len(times)
-                yield (sensor, block, cols["newest"][0], cols["linked"][0], entries, times[at])
+            block = None
+            for sensor, number, fresh, cols in _pieces(batches):
+                if fresh:
+                    if block is not None:
+                        yield block.row()
+                    block = _Outcomes(sensor, number, cols["newest"][0], cols["linked"][0], cooldown_ms)
+                block.add(cols["event_ms"])
+            if block is not None:
+                yield block.row()
         return _emit(rows(), ["sensor_id", "_block", "newest", "linked", "entry", "exit"])
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            sensor, last = None, 0
-            for here, block, cols in _blocks(batches):
-                if here != sensor or not cols["linked"][0]:
-                    sensor, last = here, int(cols["newest"][0])
-                yield sensor, block, np.array([last])
+            sensor, last, after = None, 0, 0
+            for here, block, fresh, cols in _pieces(batches):
+                if fresh:
+                    last = after
+                    if here != sensor or not cols["linked"][0]:
+                        sensor, last = here, int(cols["newest"][0])
+                    after = last
+                    yield sensor, block, np.array([last])
                 at = np.searchsorted(cols["entry"], last + cooldown_ms, "right")
-                last = int(cols["exit"][at]) if at < len(cols["exit"]) else last
+                if after == last and at < len(cols["exit"]):
+                    after = int(cols["exit"][at])
         return _emit(rows(), ["sensor_id", "_block", "last"])
 
     def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for sensor, _, cols in _blocks(batches):
-                picked = pick_alerts(cols["event_ms"], int(cols["last"][0]), cooldown_ms)
+            last = 0
+            for sensor, _, fresh, cols in _pieces(batches):
+                last = int(cols["last"][0]) if fresh else last
+                picked = pick_alerts(cols["event_ms"], last, cooldown_ms)
+                if len(picked):
+                    last = int(cols["event_ms"][picked[-1]])
                 yield sensor, cols["seq"][picked]
         return _emit(rows(), ["sensor_id", "seq"])
 
@@ -122,10 +133,43 @@ def suppress(candidates: DataFrame, cooldown_ms: int = COOLDOWN_MS,
     return candidates.join(chosen, ["sensor_id", "seq"], "left_semi")
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]
-            ) -> Iterator[tuple[str, int, dict[str, np.ndarray]]]:
-    """Sorted batches as one (sensor, block, columns) after the other."""
-    here, parts = None, []
+class _Outcomes:
+    """Follows every possible first alert of a block to the last alert it leads to."""
+
+    def __init__(self, sensor: str, block: int, newest: int, linked: bool, cooldown: int):
+        self.head = (sensor, block, newest, linked)
+        self.cooldown = cooldown
+        self.entries = self.at = np.zeros(0, np.int64)
+        self.top, self.limit, self.complete = -1, None, False
+
+    def add(self, arrived: np.ndarray) -> None:
+        times = np.unique(np.maximum.accumulate(arrived))
+        times = times[times > self.top]
+        if not len(times):
+            return
+        self.top = int(times[-1])
+        if self.limit is None:
+            self.limit = int(times[0]) + self.cooldown
+        if not self.complete:
+            inside = int(np.searchsorted(times, self.limit, "right"))
+            more = times[:inside + 1]
+            self.complete = inside < len(times)
+            self.entries = np.concatenate([self.entries, more])
+            self.at = np.concatenate([self.at, more])
+        moving = np.flatnonzero(self.at < self.top - self.cooldown)
+        while len(moving):
+            self.at[moving] = times[np.searchsorted(times, self.at[moving] + self.cooldown, "right")]
+            moving = moving[self.at[moving] < self.top - self.cooldown]
+
+    def row(self) -> tuple:
+        latest = np.append(self.at[1:] != self.at[:-1], True) if len(self.at) else np.zeros(0, bool)
+        return (*self.head, self.entries[latest], self.at[latest])
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]
+            ) -> Iterator[tuple[str, int, bool, dict[str, np.ndarray]]]:
+    """Sorted batches as pieces of one (sensor, block) each; the first piece of a block is marked."""
+    here = None
     for batch in batches:
         rows = len(batch)
         if not rows:
@@ -138,19 +182,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]
                 for name in batch.schema.names if name not in ("sensor_id", "_block")}
         for low, high in zip([0, *cuts], [*cuts, rows]):
             key = (names[low].as_py(), blocks[low].as_py())
-            if key != here:
-                if parts:
-                    yield *here, _joined(parts)
-                here, parts = key, []
-            parts.append({name: col[low:high] for name, col in cols.items()})
-    if parts:
-        yield *here, _joined(parts)
-
-
-def _joined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
-    if len(parts) == 1:
-        return parts[0]
-    return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
+            yield *key, key != here, {name: col[low:high] for name, col in cols.items()}
+            here = key
 
 
 def _emit(rows: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from hypothesis import given, settings, strategies as st
 from model import alerts_of, runs_of
 
 from gaugeflow.operators.alerts import duration_alerts, sustained_alerts
-from gaugeflow.operators.cooldown import pick_alerts
+from gaugeflow.operators.cooldown import _Outcomes, pick_alerts
 from gaugeflow.operators.enrich import mark_breaches
 from gaugeflow.operators.runs import breach_runs
 
@@ -93,6 +93,23 @@ def test_duration(spark):
         assert sorted((r.seq, r.consecutive_breaches) for r in got) == [(2, 3), (7, 3)]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 3_000), min_size=1, max_size=60), st.integers(0, 900),
+       st.integers(1, 12), st.integers(0, 4_000))
+def test_outcomes_of_a_block_in_pieces(times, cooldown, size, last):
+    rising = np.unique(np.maximum.accumulate(np.array(times, dtype=np.int64)))
+    block = _Outcomes("a", 0, 0, True, cooldown)
+    for low in range(0, len(times), size):
+        block.add(np.array(times[low:low + size], dtype=np.int64))
+    entry, outcome = block.row()[-2:]
+    assert (np.diff(entry) > 0).all() and (np.diff(outcome) != 0).all()
+    last = min(last, int(rising[0]))  # the last alert before a block is no later than its beginning
+    picked = pick_alerts(rising, last, cooldown)
+    at = int(np.searchsorted(entry, last + cooldown, "right"))
+    assert (int(rising[picked[-1]]) if len(picked) else None) == (
+        int(outcome[at]) if at < len(outcome) else None)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 200_000), max_size=60), st.integers(0, 100_000),
        st.integers(0, 60_000))
