@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import gaugeflow
+from gaugeflow.sources.files import delete_folder
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +39,27 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# folders made since each open ``scratch`` began
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Own the intermediate folders that are made inside, and delete them at the end.
+
+    Results read them lazily, so whatever is to last has to be written or collected
+    before. Several operators write intermediate tables while they are being built.
+    """
+    folders: list[str] = []
+    _SCRATCH.append(folders)
+    try:
+        yield
+    finally:
+        _SCRATCH.remove(folders)
+        for folder in folders:
+            delete_folder(spark, folder)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
@@ -49,7 +73,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="gaugeflow-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/gaugeflow/{name}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/gaugeflow/{name}-{uuid.uuid4().hex}"
+    if _SCRATCH:
+        _SCRATCH[-1].append(folder)
+    return folder
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gaugeflow import schema as S
 from gaugeflow.functions.parsing import accepted, parse_events
 from gaugeflow.operators.windows import window_aggregates
+from gaugeflow.session import materialize, scratch
 from gaugeflow.sources import archive, results
 from gaugeflow.sources.events import file_events, jsonl_events, kafka_events
 from gaugeflow.sources.metadata import load_metadata
@@ -105,6 +106,15 @@ def test_archive_round_trip(spark, tmp_path):
     assert "binaryFile" in archive.archive_objects(spark, path)._jdf.queryExecution().toString()
 
 
+def test_scratch_folders_go(spark):
+    with scratch(spark):
+        kept = materialize(spark.range(5), "numbers")
+        folder = kept.inputFiles()[0].rsplit("/", 1)[0]
+        assert kept.count() == 5
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(folder)
+
+
 def test_a_stream_keeps_its_folder(spark, tmp_path):
     (tmp_path / "raw" / "_spark_metadata").mkdir(parents=True)
     with pytest.raises(ValueError):
