@@ -37,6 +37,18 @@ def classes() -> dict[str, np.ndarray]:
     }
 
 
+def byte_counts(block: T.Block) -> np.ndarray:
+    """How often each byte value stands in each row."""
+    rows = np.repeat(np.arange(block.rows) * 256, np.diff(block.offsets))
+    rows += block.data
+    return np.bincount(rows, minlength=block.rows * 256).reshape(block.rows, 256)
+
+
+def _row_sums(places: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many of the sorted places lie in each row."""
+    return np.diff(np.searchsorted(places, offsets)).astype(np.float64)
+
+
 def structure(block: T.Block, found: T.Words) -> dict[str, np.ndarray]:
     """Rates of byte classes, word shapes, repetition and size, each between 0 and about 1."""
     data, offsets = block.data, block.offsets
@@ -44,36 +56,41 @@ def structure(block: T.Block, found: T.Words) -> dict[str, np.ndarray]:
     count = np.diff(found.offsets)
     n_words = np.maximum(count, 1).astype(np.float64)
     kinds = classes()
-    masks = {name: table[data] for name, table in kinds.items()}
-    rate = {name: per_row(mask, offsets) / size for name, mask in masks.items()}
-    run = np.zeros(len(data), dtype=bool)
-    run[2:] = (data[2:] == data[1:-1]) & (data[2:] == data[:-2]) & ~masks["space"][2:]
-    inner = np.zeros(len(data), dtype=bool)
-    inner[1:-1] = masks["symbol"][1:-1] & masks["letter"][:-2] & masks["letter"][2:]
-    letters = np.concatenate([[0], np.cumsum(masks["letter"])])
-    digits = np.concatenate([[0], np.cumsum(masks["digit"])])
-    uppers = np.concatenate([[0], np.cumsum(masks["upper"])])
-    of = lambda sums: sums[found.ends] - sums[found.starts]
-    length = (found.ends - found.starts).astype(np.float64)
-    shout = (of(uppers) == length) & (length > 1)
-    mixed = (of(letters) > 0) & (of(digits) > 0)
+    bytes_of = byte_counts(block)
+    total = {name: bytes_of[:, table].sum(axis=1).astype(np.float64) for name, table in kinds.items()}
+    rate = {name: value / size for name, value in total.items()}
+    thrice = np.flatnonzero((data[2:] == data[1:-1]) & (data[2:] == data[:-2])) + 2
+    thrice = thrice[~kinds["space"][data[thrice]]]
+    symbols = np.flatnonzero(kinds["symbol"][data])
+    symbols = symbols[(symbols > 0) & (symbols < len(data) - 1)]
+    inner = symbols[kinds["letter"][data[symbols - 1]] & kinds["letter"][data[symbols + 1]]]
+    # letters, digits and capitals of a word from one running sum
+    step = (kinds["letter"].astype(np.int64) + (kinds["digit"].astype(np.int64) << 21)
+            + (kinds["upper"].astype(np.int64) << 42))
+    sums = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(step[data], out=sums[1:])
+    inside = sums[found.ends] - sums[found.starts]
+    letters, digits, uppers = inside & 0x1FFFFF, inside >> 21 & 0x1FFFFF, inside >> 42
+    length = found.ends - found.starts
+    shout = (uppers == length) & (length > 1)
+    mixed = (letters > 0) & (digits > 0)
     same = np.zeros(len(found.hashes), dtype=bool)
     same[1:] = found.hashes[1:] == found.hashes[:-1]
-    rows = np.repeat(np.arange(block.rows), count)
-    order = np.lexsort((found.hashes, rows))
-    h, r = found.hashes[order], rows[order]
-    fresh = np.ones(len(h), dtype=bool)
-    fresh[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
+    # 40 bits of a word's hash tell the words of a row apart well enough for a rate
+    rows = np.repeat(np.arange(block.rows, dtype=np.uint64), count)
+    words = np.sort(rows << np.uint64(40) | found.hashes >> np.uint64(24))
+    fresh = words[np.append(True, words[1:] != words[:-1])] if len(words) else words
+    different = np.bincount((fresh >> np.uint64(40)).astype(np.int64), minlength=block.rows)
     share = lambda mask: per_row(mask, found.offsets) / n_words
     return {
-        "upper": per_row(masks["upper"], offsets) / np.maximum(per_row(masks["letter"], offsets), 1),
+        "upper": total["upper"] / np.maximum(total["letter"], 1),
         "shout": share(shout), "exclaim": np.minimum(rate["exclaim"] * 10, 1),
         "mark": np.minimum(rate["mark"] * 5, 1), "symbol": np.minimum(rate["symbol"] * 5, 1),
-        "digit": rate["digit"], "inner": np.minimum(per_row(inner, offsets) / n_words, 1),
-        "run": np.minimum(per_row(run, offsets) / n_words, 1), "mixed": share(mixed),
+        "digit": rate["digit"], "inner": np.minimum(_row_sums(inner, offsets) / n_words, 1),
+        "run": np.minimum(_row_sums(thrice, offsets) / n_words, 1), "mixed": share(mixed),
         "space": rate["space"], "line": np.minimum(rate["line"] * 20, 1), "repeat": share(same),
-        "fresh": np.bincount(r[fresh], minlength=block.rows) / n_words,
-        "words": np.log1p(count) / 12, "length": np.minimum(per_row(length, found.offsets) / n_words / 20, 1),
+        "fresh": different / n_words, "words": np.log1p(count) / 12,
+        "length": np.minimum(per_row(length, found.offsets) / n_words / 20, 1),
     }
 
 
