@@ -65,3 +65,25 @@ SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_dig
        CASE WHEN first <> page_id THEN first END AS refers_to
 FROM p LEFT JOIN f USING (payload)
 """
+
+# bytes as hex digits, so that strings can be cut at any byte
+ORACLES["op2_suffix_array_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS m
+      FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM d WHERE n >= 100)),
+f AS (SELECT m, min({'d': doc_id, 'i': i}) AS first FROM w GROUP BY m HAVING count(*) > 1),
+dup AS (SELECT doc_id, i FROM w JOIN f USING (m) WHERE doc_id <> first.d OR i <> first.i),
+s AS (SELECT doc_id, i, max(i + 100) OVER (PARTITION BY doc_id ORDER BY i
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM dup),
+g AS (SELECT doc_id, i, sum(CASE WHEN i <= reached THEN 0 ELSE 1 END)
+             OVER (PARTITION BY doc_id ORDER BY i) AS span FROM s),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM g GROUP BY doc_id, span),
+cuts AS (SELECT doc_id, b AS lo, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS hi
+         FROM (SELECT doc_id, a, b FROM spans UNION ALL SELECT doc_id, -1, 0 FROM d)),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * lo + 1, 2 * (coalesce(hi, n) - lo)), '' ORDER BY lo) AS h
+         FROM cuts JOIN d USING (doc_id) GROUP BY doc_id),
+gone AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""
