@@ -12,6 +12,7 @@ import public_tokenizers
 from gaugeflow.llm.bpe import encoded_documents
 from gaugeflow.llm.decontamination import without_contaminated
 from gaugeflow.llm.minhash_forest import one_per_class
+from gaugeflow.llm.names import free_name
 from gaugeflow.llm.pii import pseudonymise
 from gaugeflow.llm.toxicity import train
 from gaugeflow.session import materialize
@@ -31,9 +32,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, trained on the labelled ones, does not reject."""
     model = train(spark.read.parquet(f"{sf_dir}/documents.parquet"),
                   spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    score = "__score"
-    while score in docs.columns:
-        score = f"_{score}"
+    score = free_name("toxicity", docs.columns)
     return model.scored(docs, score).where(F.col(score) < TOXIC).drop(score)
 
 

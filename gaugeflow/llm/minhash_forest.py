@@ -36,6 +36,7 @@ from gaugeflow.llm import text as T
 from gaugeflow.llm.components import connected_components
 from gaugeflow.llm.groups import components, sorted_groups
 from gaugeflow.llm.keyfilter import KeyFilter, build_filter
+from gaugeflow.llm.names import free_name
 from gaugeflow.session import materialize
 
 SHINGLE = 5
@@ -365,8 +366,9 @@ def one_per_class(documents: DataFrame, **settings) -> DataFrame:
                        .select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
                        .distinct(), "forest-kept")
     columns = [F.col(f"`{c}`") for c in documents.columns]
-    keyed = documents.withColumns({"__id": F.col("doc_id").cast("long"),
-                                   "__key": F.xxhash64(F.col("text").cast("string"))})
-    same = keyed["__id"].eqNullSafe(kept["kept_id"]) & (keyed["__key"] == kept["kept_key"])
+    ident, key = (free_name(n, documents.columns) for n in ("doc_key", "text_key"))
+    keyed = documents.withColumns({ident: F.col("doc_id").cast("long"),
+                                   key: F.xxhash64(F.col("text").cast("string"))})
+    same = keyed[ident].eqNullSafe(kept["kept_id"]) & (keyed[key] == kept["kept_key"])
     # rows that are repeated as they stand share a key; one of them stays
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["__id", "__key"]).select(*columns)
+    return keyed.join(kept, same, "left_semi").dropDuplicates([ident, key]).select(*columns)

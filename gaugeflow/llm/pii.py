@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from gaugeflow.llm import text as T
 from gaugeflow.llm.keyfilter import KeyFilter, build_filter
 from gaugeflow.llm.features import per_row
+from gaugeflow.llm.names import free_name
 from gaugeflow.session import materialize
 
 #: For tests and local runs; give your own in production.
@@ -349,8 +350,8 @@ def pseudonymise(documents: DataFrame, key: str = DEFAULT_KEY, count: str | None
     redrawn = materialize(drawn.where("attempt > 0").select("kind", "canonical", "hash", "attempt"),
                           "pii-exceptions")
     kept = [c for c in documents.columns if c != count]
-    copy, extra = _free("text_copy", kept), _free("exceptions", kept)
-    mine, row_key = _free("mentions", kept), _free("text_key", kept)
+    copy, extra = free_name("text_copy", kept), free_name("exceptions", kept)
+    mine, row_key = free_name("mentions", kept), free_name("text_key", kept)
     source = documents.select(*[F.col(f"`{c}`") for c in kept], F.col("text").cast("string").alias(copy))
     if redrawn.isEmpty():
         source = source.withColumn(extra, F.lit(None).cast("string"))
@@ -403,13 +404,6 @@ def pseudonymise(documents: DataFrame, key: str = DEFAULT_KEY, count: str | None
     return result.withColumnRenamed(mine, count) if count else result.drop(mine)
 
 
-def _free(name: str, taken) -> str:
-    low = {t.lower() for t in taken}
-    while name in low:
-        name = f"_{name}"
-    return name
-
-
 def _mentions(documents: DataFrame, redrawn: DataFrame) -> DataFrame:
     """Per text that mentions entities with a later draw, the list of them."""
     held = documents.sparkSession.sparkContext.broadcast(build_filter(redrawn, "hash").bits)

@@ -30,6 +30,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 from gaugeflow.llm import text as T
 from gaugeflow.llm.features import (
     SAMPLE_ROWS, fold, labelled_sample, labelled_texts, per_row, structure)
+from gaugeflow.llm.names import free_name
 from gaugeflow.session import materialize
 
 # General lexicons, lower case.
@@ -176,7 +177,7 @@ class ToxicityModel:
             return documents.withColumn(column, F.lit(float(self.base)))
         kept = [c for c in documents.columns if c != column]
         learned = self.learned
-        hidden = _free_name("features", kept)
+        hidden = free_name("features", kept)
 
         def run(batches):
             for batch in batches:
@@ -188,14 +189,14 @@ class ToxicityModel:
                         + [pa.array(list(rows), pa.list_(pa.float64()))],
                         names=part.schema.names[:-1] + [hidden])
 
-        text = _free_name("text_copy", kept)
+        text = free_name("text_copy", kept)
         source = documents.select(*[F.col(f"`{c}`") for c in kept], F.col("text").cast("string").alias(text))
         schema = documents.select(*[F.col(f"`{c}`") for c in kept]).schema
         schema = type(schema)(list(schema.fields)).add(hidden, ArrayType(DoubleType()))
         return self._apply(source.mapInArrow(run, schema), hidden, column).select(*[F.col(f"`{c}`") for c in kept], column)
 
     def _apply(self, df: DataFrame, hidden: str, column: str) -> DataFrame:
-        names = {n: _free_name(n, df.columns) for n in ("vector", "raw", "probability", "label")}
+        names = {n: free_name(n, df.columns) for n in ("vector", "raw", "probability", "label")}
         trees = (self.trees.setFeaturesCol(names["vector"]).setPredictionCol(names["label"])
                  .setRawPredictionCol(names["raw"]).setProbabilityCol(names["probability"]))
         df = trees.transform(df.withColumn(names["vector"], array_to_vector(hidden)))
@@ -203,18 +204,11 @@ class ToxicityModel:
         df = df.drop(names["raw"], names["label"], names["vector"], column).withColumn(column, share)
         if self.calibration is None:
             return df
-        out = _free_name("calibrated", df.columns)
+        out = free_name("calibrated", df.columns)
         df = self.calibration.setFeaturesCol(column).setPredictionCol(out).transform(df)
         return df.drop(column).withColumn(column, F.least(F.greatest(out, F.lit(0.0)), F.lit(1.0)))
 
 
-def _free_name(name: str, taken) -> str:
-    lower = {t.lower() for t in taken}
-    while name in lower:
-        name = f"_{name}"
-    return name
-
-
 def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """Fit on at most `rows` labelled documents outside the held-out fold."""
     texts = materialize(labelled_texts(documents, labelled_sample(labels, "toxic", rows)),

@@ -62,7 +62,7 @@ def corpus():
 
 def frame(spark, docs):
     return spark.createDataFrame([(d, t, 5, b"s", 0) for d, t in docs],
-                                 "doc_id long, text string, node long, sketch binary, kept int").repartition(4)
+                                 "doc_id long, text string, text_key long, doc_key binary, kept int").repartition(4)
 
 
 def rows_of(df):

@@ -7,6 +7,7 @@ import public_tokenizers
 import tiktoken
 from __spark_entry__ import oracle_sql, queries
 from gaugeflow.llm import bpe, pii
+from pyspark.sql import functions as F
 from gaugeflow.llm.queries import QUERIES
 from gaugeflow.llm.toxicity import train
 from test_decontamination import brute as contaminated
@@ -44,6 +45,8 @@ def test_stages_keep_the_columns(spark):
         [(1, "a clean text " * 20, "en", "s", 1, "x"), (1, "a clean text " * 20, "en", "s", 1, "x"),
          (2, None, None, None, None, None), (None, "", "en", "s", 0, "y")],
         "doc_id long, text string, lang string, source string, n_chars long, score string").coalesce(1)
+    docs = docs.withColumns({c: F.lit(c) for c in (
+        "toxicity", "features", "vector", "doc_key", "text_key", "kept_id", "hit_id", "text_copy", "mentions")})
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns and 3 <= out.count() <= 4
