@@ -179,8 +179,9 @@ class Search:
     def visit(self, pages: list[tuple]) -> None:
         """Visit pages (cell, radius, to_cell, center, ids, vectors, distances), best first."""
         everyone = np.arange(len(self.ids))
-        bounds = [self.cell_scores[:, p[0]].max(initial=0) if not len(everyone) else
-                  float((self.cell_scores[:, p[0]] + self.norms * (p[1] + p[2])).max()) for p in pages]
+        if not len(everyone):
+            return
+        bounds = [float((self.cell_scores[:, p[0]] + self.norms * (p[1] + p[2])).max()) for p in pages]
         for i in np.argsort(-np.array(bounds), kind="stable").tolist():
             cell, radius, to_cell, center, ids, v, d = pages[i]
             far = self.cell_scores[:, cell] + self.norms * (to_cell + radius)
@@ -193,8 +194,8 @@ class Search:
             if not len(who):
                 continue
             # vectors are ordered by falling distance to the centre; their bounds fall with them
-            need = (self.floor[who] - middle) / np.maximum(self.norms[who], SLACK)
-            use = int((d + SLACK * (np.abs(d) + 1) >= need.min() * (1 - np.sign(need.min()) * 1e-6)).sum())
+            need = float(((self.floor[who] - middle) / np.maximum(self.norms[who], SLACK)).min())
+            use = int((d + SLACK * (d + 1) + 1e-6 * abs(need) >= need).sum())
             if not use:
                 continue
             scores = inner(self.queries[who], v[:use])
