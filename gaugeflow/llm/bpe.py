@@ -151,6 +151,7 @@ class PrefixEncoder:
     """Tables of a vocabulary and the dynamic programme over prefixes."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.ranks = ranks
         self.tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
@@ -245,12 +246,7 @@ class PrefixEncoder:
         return self.lengths[token] == 1 or self.left[token] != token
 
     def rank_of(self, piece: bytes) -> int:
-        node = 0
-        for byte in piece:
-            node = int(self.children(np.array([node << 8 | byte], np.int64))[0])
-            if node < 0:
-                return -1
-        return int(self.ends[node])
+        return self.ranks.get(piece, -1)
 
     def piece_ids(self, piece: bytes, last: list[int] | None = None) -> list[int]:
         whole = self.rank_of(piece)
