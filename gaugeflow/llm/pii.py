@@ -1,9 +1,12 @@
 """Personal data replaced by keyed surrogates.
 
-Detected entities: e-mail addresses, IPv4 addresses, phone numbers, account and
-card numbers (13 to 19 digits), social security numbers, IBANs, secrets (labelled
-ones, and long mixtures of letters and digits), and person names after a title or
-a known given name. An entity's surrogate follows from HMAC-SHA256 of its kind and
+Detected entities: e-mail addresses, IPv4 addresses, phone numbers (with a country
+code after + or 00, with a leading 0, in North American form, or after a label such
+as "Tel."), account and card numbers (13 to 19 digits), social security numbers,
+IBANs, secrets (labelled ones of 6 characters or more, keys that begin with a known
+prefix, and mixtures of 20 or more characters with three letters and three digits),
+and person names after a title or a known given name. Phone numbers without any of
+those signs are not told from other numbers and stay. An entity's surrogate follows from HMAC-SHA256 of its kind and
 canonical form under a key, so every mention in every document gets the same one.
 It keeps the kind and the format: letters, digits, case, length and punctuation,
 country codes, check digits (valid stays valid), the script of a name, and its
@@ -31,6 +34,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,14 +74,42 @@ LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежз
 
 EMAIL = re.compile(r"(?<![\w.%+-])[\w.%+-]{1,64}@[\w-]+(?:\.[\w-]+)+")
 IP = re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d|[A-Za-z])")
-PHONE = re.compile(
-    r"(?<![\w+])\+\d{1,3}[^\w\n]{1,8}\d{2,4}(?:[^\w\n]{1,8}\d{2,4}){2}(?!\d)"
-    r"|(?<![\w+])\(\d{3}\)[^\w\n]{1,8}\d{3}[-. ]\d{4}(?!\d)|(?<![\w.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w-])")
+# what may stand between the digit groups of a phone number; a group ends before a letter or is long
+_GAP = r"(?:[-‐‑–./]|[ \t\xa0 ]{1,2}| [-–] | ?\(|\)[-./ \xa0]?)"
+_MORE = rf"(?:{_GAP}(?:\d{{3,}}|\d+(?![^\W_])))"
+PLUS = re.compile(rf"(?<![\w+])\+\(?\d+{_MORE}*")
+# groups that other signs stand between, as junk does
+PLUS_WIDE = re.compile(r"(?<![\w+])\+\d{1,3}[^\w\n]{1,8}\d{2,4}(?:[^\w\n]{1,8}\d{2,4}){2,}(?!\d)")
+AMERICAN = re.compile(
+    r"(?<![\w+])\(\d{3}\)[^\w\n]{0,8}\d{3}[-. ]\d{4}(?!\d)"
+    r"|(?<![\w.-])(?:1[-. ])?(?:\(\d{3}\) ?|\d{3}[-. ])\d{3}[-. ]\d{4}(?![\w-])")
+# not dates such as 05/17/2023
+TRUNK = re.compile(
+    rf"(?<![\w.,+/-])(?!\d{{1,2}}([./-])\d{{1,2}}\1\d{{2,4}}(?!\d|\1\d))(?:\(0\d{{1,5}}\)|0\d{{1,5}}(?!\d)){_MORE}+"
+    rf"|(?<![\w.,+/-])(?:\(0\d{{1,5}}\))\d{{3,}}{_MORE}*")
+CALLED = re.compile(
+    rf"(?i)(?<!\w)(?:tel|phone|telephone|telefone?|t[ée]l[ée]phone|tel[ée]fono|fax|mobile?|handy)"
+    rf"(?: ?(?:no|nr|number))?\.?\s?[:=#]?\s?(\(?\d+{_MORE}*)")
+# digits of a mention that stand for no part of the number: 00 before a country code, (0) after one
+_IDLE = re.compile(r"^00(?=[1-9])|(?<=\d)\(0\)|(?<=\d[ \xa0])\(0\)")
+# country codes of one and two digits; all others have three
+CODE = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{1,3}")
 ACCOUNT = re.compile(r"(?<!\w)\d(?:[ -]?\d){12,18}(?!\w)")
 SOCIAL = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
+_LABEL = r"(?:api[_-]?key|access[_-]?key|private[_-]?key|secret|token|password|passwd|pwd)[\"']?\s*[=:]"
 LABELLED = re.compile(
-    r"(?i)(?<!\w)(?:api[_-]?key|access[_-]?key|secret|token|password|passwd|pwd)\s*[=:]\s*[\"']?([^\s\"']{6,})")
+    rf"(?i)(?<![^\W_]){_LABEL}\s*(?:\"([^\"\n]{{6,200}})\"|'([^'\n]{{6,200}})'|[\"']?([^\s\"']{{6,}}))")
+# keys that services mark by a prefix; the prefix stays
+_KEY_PREFIX = (r"AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|sk-|[spr]k_(?:live|test)_|xox[abeoprs]-|AIza|hf_|npm_"
+               r"|ya29\.|eyJ")
+KEY_PREFIX = re.compile(_KEY_PREFIX)
+PREFIXED = re.compile(
+    r"(?<![\w-])(?:(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)|(?:gh[pousr]_|github_pat_|glpat-|sk-|hf_|npm_)[\w-]{16,}"
+    r"|(?:[spr]k_(?:live|test)_|xox[abeoprs]-)[\w-]{10,}|AIza[\w-]{30,}|ya29\.[\w-]{20,}"
+    r"|eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]*)", re.ASCII)
+#: Rows that may hold a secret without a digit.
+ANNOUNCED = rf"(?i:{_LABEL})|{_KEY_PREFIX}"
 MIXED = re.compile(r"(?<![\w-])[A-Za-z0-9_-]{20,}(?![\w-])")
 _UPPER = "A-ZÀ-ÖØ-ÞΑ-ΩΆ-ΏЀ-Я"
 _LOWER = "a-zß-öø-ÿα-ωά-ώа-ѿ"
@@ -110,6 +142,61 @@ def _gender(given: str) -> str:
     return next((g for (_, g), names in GIVEN.items() if low in {n.lower() for n in names}), "u")
 
 
+def _idle(mention: str) -> set[int]:
+    """Places of a phone mention's digits that are not part of the number."""
+    return {i for m in _IDLE.finditer(mention) for i in range(*m.span())}
+
+
+def _phone(run: str, plus: bool = False) -> tuple[int, str]:
+    """Length and canonical form (code or leading 0|rest) of the number a run of digit groups begins with.
+
+    A run ends with the group that completes a number: 11 digits under the codes 1 and 7,
+    else the last one within 15 digits. The length is 0 if there are fewer than 7.
+    """
+    idle = _idle(run)
+    abroad = plus or 0 in idle
+    code, digits, end = "", "", 0
+    for m in re.finditer(r"\d+", run):
+        new = "".join(c for i, c in enumerate(m[0], m.start()) if i not in idle)
+        if digits and (len(digits + new) > 15 or (abroad and digits[0] in "17" and len(digits) >= 11)):
+            break
+        digits, end = digits + new, m.end()
+    if not 7 <= len(digits) <= 15:
+        return 0, ""
+    if abroad:
+        code = CODE.match(digits)[0]
+    elif digits[0] == "0":
+        code = "0"
+    elif len(digits) == 11 and re.match(r"1\D", run):
+        code = "1"
+    if end < len(run) and run[end] == ")" and run.count("(", 0, end) > run.count(")", 0, end):
+        end += 1
+    return end, f"{code}|{digits[len(code):]}"
+
+
+def _phones(text: str):
+    """(start, end, canonical form) of phone numbers."""
+    for m in PLUS.finditer(text):
+        end, form = _phone(m[0], True)
+        if len(form) < (12 if form[:1] in ("1", "7") else 11):  # short, so junk may stand inside
+            wide = PLUS_WIDE.match(text, m.start())
+            far, other = _phone(wide[0], True) if wide else (0, "")
+            end, form = (far, other) if far > end else (end, form)
+        if end:
+            yield m.start(), m.start() + end, form
+    for m in AMERICAN.finditer(text):
+        yield (*m.span(), _phone(m[0])[1])
+    for m in TRUNK.finditer(text):
+        end, form = _phone(m[0])
+        gaps = set(re.findall(r"[^\d()]", m[0][:end]))
+        if len(form) > 9 and not ("." in gaps and len(gaps) > 1):
+            yield m.start(), m.start() + end, form
+    for m in CALLED.finditer(text):
+        end, form = _phone(m[1])
+        if end:
+            yield m.start(1), m.start(1) + end, form
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """Entities as (start, end, kind, canonical form), in order and without overlaps."""
     found: list[tuple[int, int, str, str]] = []
@@ -120,10 +207,13 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     if "@" in text:
         for m in EMAIL.finditer(text):
             add(m, "email", m[0].lower())
-    if any(c.isdigit() for c in text):
+    if "=" in text or ":" in text:
         for m in LABELLED.finditer(text):
-            if any(c.isdigit() for c in m[1]):
-                add(m, "secret", m[1], 1)
+            if any(c.isdigit() or c.isalpha() for c in m[m.lastindex]):
+                add(m, "secret", m[m.lastindex], m.lastindex)
+    for m in PREFIXED.finditer(text):
+        add(m, "secret", m[0])
+    if any(c.isdigit() for c in text):
         for m in MIXED.finditer(text):
             if sum(c.isdigit() for c in m[0]) >= 3 and sum(c.isalpha() for c in m[0]) >= 3:
                 add(m, "secret", m[0])
@@ -134,10 +224,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
         for m in IP.finditer(text):
             if all(int(x) < 256 for x in m[0].split(".")):
                 add(m, "ip", ".".join(str(int(x)) for x in m[0].split(".")))
-        for m in PHONE.finditer(text):
-            code = re.match(r"\+(\d+)", m[0])
-            digits = "".join(c for c in m[0] if c.isdigit())
-            add(m, "phone", f"{code[1]}|{digits[len(code[1]):]}" if code else f"|{digits}")
+        found += [(a, b, "phone", form) for a, b, form in _phones(text)]
         for m in SOCIAL.finditer(text):
             add(m, "social", m[0].replace("-", ""))
         for m in ACCOUNT.finditer(text):
@@ -210,6 +297,10 @@ class _Draw:
                 out.append(c)
         return "".join(out)
 
+    def more(self, attempt: int) -> str:
+        """Letters to add when a form has too few signs to draw from, as *****1 has."""
+        return "".join(self.pick(LETTERS["latin"]) for _ in range(attempt - ROUNDS // 2))
+
 
 def surrogate(kind: str, canonical: str, attempt: int, key: str) -> str:
     """The canonical form of an entity's replacement at its attempt-th draw."""
@@ -223,6 +314,8 @@ def surrogate(kind: str, canonical: str, attempt: int, key: str) -> str:
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind == "phone":
         code, _, rest = canonical.partition("|")
+        if code == "0" and rest[0] != "0":  # 00 would begin a country code
+            return f"0|{1 + draw.below(9)}{draw.like(rest[1:])}"
         return f"{code}|{draw.like(rest)}"
     if kind == "account":
         body = canonical[0] + draw.like(canonical[1:-1])
@@ -236,6 +329,10 @@ def surrogate(kind: str, canonical: str, attempt: int, key: str) -> str:
     if kind == "secret" and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", canonical):
         return "".join(draw.pick("0123456789abcdef" if canonical.lower() == canonical
                                  else "0123456789ABCDEF") for _ in canonical)
+    if kind == "secret" and (marked := KEY_PREFIX.match(canonical)):
+        return marked[0] + draw.like(canonical[marked.end():]) + draw.more(attempt)
+    if kind == "secret":
+        return draw.like(canonical) + draw.more(attempt)
     if kind.startswith("given_"):
         _, script, gender = kind.split("_")
         names = GIVEN[script, gender if gender != "u" else draw.pick("fm")]
@@ -250,7 +347,8 @@ def dressed(kind: str, mention: str, replacement: str) -> str:
     """A replacement in the format of the mention."""
     if kind in NUMBERS or kind == "iban":
         fill = iter(replacement.replace("|", ""))
-        return "".join(next(fill) if c.isalnum() else c for c in mention)
+        idle = _idle(mention) if kind == "phone" else ()
+        return "".join(next(fill) if c.isalnum() and i not in idle else c for i, c in enumerate(mention))
     if mention.isupper():
         return replacement.upper()
     if kind.startswith(("given_", "family_")):
@@ -264,12 +362,15 @@ def _entity_hash(kind: str, canonical: str) -> int:
 
 
 def _suspects(block: T.Block, names: np.ndarray) -> np.ndarray:
-    """Rows that may hold an entity: a digit, an @, or a word that announces a name."""
+    """Rows that may hold an entity: a digit, an @, the sign of a secret, or a word that announces a name."""
     mark = (block.data == 64) | ((block.data >= 48) & (block.data <= 57))
     found = T.words(block)
     at = np.minimum(np.searchsorted(names, found.hashes), len(names) - 1)
     known = names[at] == found.hashes
-    return np.flatnonzero((per_row(mark, block.offsets) > 0) | (per_row(known, found.offsets) > 0))
+    texts = pa.Array.from_buffers(pa.large_binary(), block.rows, [
+        None, pa.py_buffer(np.ascontiguousarray(block.offsets)), pa.py_buffer(np.ascontiguousarray(block.data))])
+    announced = pc.match_substring_regex(texts, ANNOUNCED).to_numpy(zero_copy_only=False)
+    return np.flatnonzero((per_row(mark, block.offsets) > 0) | (per_row(known, found.offsets) > 0) | announced)
 
 
 def name_hashes() -> np.ndarray:
