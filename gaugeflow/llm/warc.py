@@ -3,9 +3,12 @@
 Writing: each page becomes a response record, or a revisit of the record with the
 smallest page_id among equal payloads of at least MIN_SHARED bytes. A payload of
 more than CHUNK_BYTES is written as WARC segments (a first record and
-continuations), so no record needs more memory than a chunk. Records end with two
-line breaks, and so do headers; the writer therefore only emits text rows with
-that separator, and Spark's own writer makes the files. Files are compressed
+continuations). Pages are cut into rows of a chunk before anything is shuffled;
+which ones are revisits is decided on digests alone and joined to the chunks, which
+are put in order again. A task that cuts holds the page it reads and its bytes, as
+Spark hands out whole values; every later row holds a chunk at most. Records end
+with two line breaks, and so do headers; the writer therefore only emits text rows
+with that separator, and Spark's own writer makes the files. Files are compressed
 whole, so one task reads a file from its start.
 
 Reading: a file's bytes run through a small state machine that keeps a chunk and a
@@ -52,63 +55,79 @@ def _field(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"{name}: "), value.cast("string"))
 
 
-def decided(pages: DataFrame) -> DataFrame:
-    """Payload, its size and digest, and the page that a revisit refers to."""
-    payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select(
+def _pages(pages: DataFrame) -> DataFrame:
+    """Payload, its size and digest."""
+    payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
+    return pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-        F.encode(payload, "UTF-8").alias("payload"),
-        F.octet_length(payload).cast("long").alias("payload_bytes"),
+        payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"),
         F.sha2(payload, 256).alias("payload_digest"))
-    shared = materialize(
-        rows.where(F.col("payload_bytes") >= MIN_SHARED).groupBy("payload_digest")
-        .agg(F.min("page_id").alias("first_page"), F.count("*").alias("copies"))
-        .where("copies > 1").drop("copies"), "warc-shared")
-    revisit = F.col("first_page").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_page"))
-    return (rows.join(shared, "payload_digest", "left")
-            .withColumn("refers_to", F.when(revisit, F.col("first_page"))).drop("first_page"))
+
+
+def revisits(pages: DataFrame) -> DataFrame:
+    """(page_id, payload_digest, refers_to) of the pages that refer to another one; holds no payload."""
+    rows = materialize(_pages(pages).where(F.col("payload_bytes") >= MIN_SHARED)
+                       .select("page_id", "payload_digest"), "warc-digests")
+    shared = (rows.groupBy("payload_digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("copies"))
+              .where("copies > 1 AND refers_to IS NOT NULL").drop("copies"))
+    return materialize(rows.join(shared, "payload_digest").where("NOT page_id <=> refers_to")
+                       .select("page_id", "payload_digest", "refers_to").distinct(), "warc-revisits")
+
+
+def chunk_rows(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """A row per chunk of what is written, in the order of the archive within each partition."""
+    # tells equal rows apart, which all come to one task whatever their numbers are
+    rows = _pages(pages).withColumn("row", F.monotonically_increasing_id()).withColumn(
+        "chunks", F.greatest(F.ceil(F.col("payload_bytes") / chunk_bytes), F.lit(1)).cast("int"))
+    part = F.substring(F.col("payload"), (F.col("no") * chunk_bytes + 1).cast("int"), F.lit(chunk_bytes))
+    cut = (rows.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("no"))
+           .select("page_id", F.when(F.col("no") == 0, F.col("url")).alias("url"), "payload_bytes",
+                   "payload_digest", "row", "chunks", "no", part.alias("part")))
+    known = revisits(pages).select(F.col("page_id").alias("_page"), F.col("payload_digest").alias("_digest"),
+                                   "refers_to")
+    return (cut.join(known, F.col("page_id").eqNullSafe(F.col("_page"))
+                     & (F.col("payload_digest") == F.col("_digest")), "left").drop("_page", "_digest")
+            .where("no = 0 OR refers_to IS NULL")
+            .sortWithinPartitions("page_id", "payload_digest", "row", "no"))
 
 
 def record_rows(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The archive as text rows, each to be followed by END."""
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
     revisit = F.col("refers_to").isNotNull()
-    chunks = F.when(revisit, F.lit(1)).otherwise(
-        F.greatest(F.ceil(F.col("payload_bytes") / chunk_bytes), F.lit(1)))
     http = _lines(F.lit("HTTP/1.1 200 OK"), F.lit("Content-Type: text/html; charset=UTF-8"),
                   _field("Content-Length", F.col("payload_bytes")))
-    df = decided(pages).select("*", revisit.alias("revisit"), chunks.cast("int").alias("chunks"),
-                               http.alias("http"), urn(F.col("page_id")).alias("urn"))
-    total = F.octet_length("http") + F.lit(len(END)) + F.when(F.col("revisit"), F.lit(0)).otherwise(
-        F.col("payload_bytes"))
-    size = lambda i: F.when(F.col("revisit"), F.lit(0)).otherwise(
-        F.least(F.lit(chunk_bytes).cast("long"), F.col("payload_bytes") - i * chunk_bytes))
-    segment = F.when(F.col("chunks") > 1, F.lit("WARC-Segment-Number: 1"))
+    df = chunk_rows(pages, chunk_bytes).select(
+        "*", http.alias("http"), urn(F.col("page_id")).alias("urn"),
+        F.when(revisit, F.lit(b"")).otherwise(F.col("part")).alias("written"))
+    size = F.octet_length("written")
+    total = F.octet_length("http") + F.lit(len(END)) + F.col("payload_bytes")
+    segment = F.when(~revisit & (F.col("chunks") > 1), F.lit("WARC-Segment-Number: 1"))
     uri = F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")
     head = _lines(
         F.lit("WARC/1.1"),
-        F.when(F.col("revisit"), F.lit("WARC-Type: revisit")).otherwise(F.lit("WARC-Type: response")),
+        F.when(revisit, F.lit("WARC-Type: revisit")).otherwise(F.lit("WARC-Type: response")),
         _field("WARC-Record-ID", F.col("urn")), F.lit(f"WARC-Date: {DATE}"),
         _field("WARC-Target-URI", uri), _field("Page-ID", F.col("page_id")),
         _field("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "payload_digest")),
-        _field("WARC-Refers-To", F.when(F.col("revisit"), urn(F.col("refers_to")))),
-        F.when(F.col("revisit"), F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
+        _field("WARC-Refers-To", F.when(revisit, urn(F.col("refers_to")))),
+        F.when(revisit, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
         segment, F.lit("Content-Type: application/http; msgtype=response"),
-        _field("Content-Length", F.octet_length("http") + F.lit(len(END)) + size(F.lit(0))))
-    part = lambda i: F.when(F.col("revisit"), F.lit("")).otherwise(
-        F.substring(F.col("payload"), (i * chunk_bytes + 1).cast("int"), F.lit(chunk_bytes)).cast("string"))
-    more = lambda i: F.array(
-        _lines(F.lit("WARC/1.1"), F.lit("WARC-Type: continuation"),
-               F.concat(F.lit("WARC-Record-ID: "), F.regexp_replace("urn", ">$", ""), F.lit(":"), i.cast("string"), F.lit(">")),
-               F.lit(f"WARC-Date: {DATE}"), _field("WARC-Segment-Origin-ID", F.col("urn")),
-               _field("WARC-Segment-Number", i + 1),
-               F.when(i + 1 == F.col("chunks"), _field("WARC-Segment-Total-Length", total)),
-               _field("Content-Length", size(i))),
-        part(i))
-    rest = F.when(F.col("chunks") > 1, F.flatten(F.transform(
-        F.sequence(F.lit(1), F.col("chunks") - 1), more))).otherwise(F.array().cast("array<string>"))
-    first = F.array(head, F.col("http"), part(F.lit(0)))
-    return df.select(F.explode(F.concat(first, rest)).alias("value"))
+        _field("Content-Length", F.octet_length("http") + F.lit(len(END)) + size))
+    more = _lines(
+        F.lit("WARC/1.1"), F.lit("WARC-Type: continuation"),
+        F.concat(F.lit("WARC-Record-ID: "), F.regexp_replace("urn", ">$", ""), F.lit(":"),
+                 F.col("no").cast("string"), F.lit(">")),
+        F.lit(f"WARC-Date: {DATE}"), _field("WARC-Segment-Origin-ID", F.col("urn")),
+        _field("WARC-Segment-Number", F.col("no") + 1),
+        F.when(F.col("no") + 1 == F.col("chunks"), _field("WARC-Segment-Total-Length", total)),
+        _field("Content-Length", size))
+    first = F.col("no") == 0
+    # one text row at a time: header, then http header of a first record, then the chunk
+    line = F.explode(F.when(first, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0), F.lit(2))))
+    return (df.select("*", line.alias("line")).select(
+        F.when(F.col("line") == 2, F.col("written").cast("string")).when(F.col("line") == 1, F.col("http"))
+        .when(first, head).otherwise(more).alias("value")))
 
 
 def write_archives(pages: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> None:

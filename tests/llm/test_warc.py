@@ -4,8 +4,9 @@ import random
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from gaugeflow.llm.warc import archive_round_trip, read_chunks, write_archives
+from gaugeflow.llm.warc import archive_round_trip, chunk_rows, read_chunks, record_rows, revisits, write_archives
 
 
 def brute(pages):
@@ -77,3 +78,20 @@ def test_files_follow_the_format(spark, tmp_path):
             raw = rest[size + 4:]
     assert kinds.count("continuation") > 10
     assert kinds.count("response") + kinds.count("revisit") == len(pages())
+
+
+def test_writing_holds_a_chunk_in_a_row(spark):
+    documents = frame(spark, pages())
+    rows = chunk_rows(documents, 100)
+    assert rows.agg(F.max(F.octet_length("part"))).first()[0] == 100
+    assert "payload" not in rows.columns and set(revisits(documents).columns) == {"page_id", "payload_digest", "refers_to"}
+    plan = record_rows(documents, 100)._jdf.queryExecution().optimizedPlan().toString()
+    assert "flatten" not in plan and "transform(" not in plan
+
+
+def test_equal_rows_stay_apart_in_any_order(spark, tmp_path):
+    copies = [(7, "é\r\n\r\n" * 60)] * 5 + [(None, "q" * 300)] * 4
+    write_archives(frame(spark, copies).repartition(4), str(tmp_path / "w"), 50)
+    got = read_chunks(spark, str(tmp_path / "w"), chunk_bytes=50).where("last").collect()
+    assert len(got) == 9 and all(r.record_type == "response" for r in got)
+    assert all(r.payload_digest == r.stated_digest for r in got)
