@@ -30,12 +30,13 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import os
 import re
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import text as T
@@ -44,8 +45,10 @@ from gaugeflow.llm.features import per_row
 from gaugeflow.llm.names import free_name
 from gaugeflow.session import materialize
 
-#: For tests and local runs; give your own in production.
+#: For tests and local runs; other sessions must give their own.
 DEFAULT_KEY = "change-me"
+#: Where a key is looked up, in this order. Spark's logs hide settings with this ending.
+KEY_SETTING, KEY_VARIABLE = "spark.gaugeflow.pii.secret", "GAUGEFLOW_PII_KEY"
 #: Draws before giving up; each round settles all but a small share of the rest.
 ROUNDS = 40
 
@@ -444,8 +447,22 @@ def assignments(found: DataFrame, key: str) -> DataFrame:
     raise RuntimeError("surrogates still collide; the name lists are too small for this corpus")
 
 
-def pseudonymise(documents: DataFrame, key: str = DEFAULT_KEY, count: str | None = None) -> DataFrame:
-    """The documents with entities replaced; `count` names a column for the number of mentions."""
+def session_key(spark: SparkSession) -> str:
+    """The key of the session setting, else of the driver's environment; only local sessions go without."""
+    key = spark.conf.get(KEY_SETTING, None) or os.environ.get(KEY_VARIABLE)
+    if key:
+        return key
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {KEY_SETTING} or {KEY_VARIABLE} to a key of your own")
+    return DEFAULT_KEY
+
+
+def pseudonymise(documents: DataFrame, key: str | None = None, count: str | None = None) -> DataFrame:
+    """The documents with entities replaced; `count` names a column for the number of mentions.
+
+    Without a key, the session's is used.
+    """
+    key = key or session_key(documents.sparkSession)
     found = materialize(entities(documents), "pii-entities")
     drawn = assignments(found, key)
     redrawn = materialize(drawn.where("attempt > 0").select("kind", "canonical", "hash", "attempt"),

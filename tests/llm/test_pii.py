@@ -134,3 +134,27 @@ def test_secrets_of_few_signs_do_not_run_out(spark):
     rows = [(i, f"password=****{c}*") for i, c in enumerate("0123456789")]
     got = [r.text for r in pii.pseudonymise(frame(spark, rows), "key").collect()]
     assert len(set(got)) == 10 and not set(got) & {t for _, t in rows}
+
+
+def test_key_comes_from_the_session(spark, monkeypatch):
+    def mail():
+        return pii.pseudonymise(frame(spark, [(1, TEXTS[1])])).first().text
+
+    monkeypatch.delenv(pii.KEY_VARIABLE, raising=False)
+    default = mail()
+    monkeypatch.setenv(pii.KEY_VARIABLE, "of the environment")
+    environment = mail()
+    spark.conf.set(pii.KEY_SETTING, "of the session")
+    try:
+        session = mail()
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    assert len({default, environment, session}) == 3
+    monkeypatch.delenv(pii.KEY_VARIABLE)
+
+    class Cluster:
+        conf = spark.conf
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(RuntimeError):
+        pii.session_key(Cluster)
