@@ -8,6 +8,10 @@ from gaugeflow.functions.parsing import last_of_each, parse_iso_time
 from gaugeflow.schema import ENVELOPE
 
 
+#: Equal lines that are numbered in one row's turn.
+EQUAL_LINES = 1 << 14
+
+
 def kafka_events(spark: SparkSession, servers: str, topics: str | list[str],
                  starting: str = "latest", max_per_trigger: int | None = None) -> DataFrame:
     """A stream of broker records; several topics are told apart by ``topic``.
@@ -33,6 +37,12 @@ def file_events(spark: SparkSession, path: str, file_format: str = "json", strea
     return reader.schema(ENVELOPE).format(file_format).load(path)
 
 
+def _decoded(lines: DataFrame) -> DataFrame:
+    """The lines with their fields; a generator's output is decoded once."""
+    lines = lines.select("*", F.explode_outer(F.array(F.from_json("value", "map<string,string>"))).alias("fields"))
+    return lines.withColumn("fields", last_of_each(F.col("fields")))
+
+
 def jsonl_events(spark: SparkSession, path: str, topic: str = "", stream: bool = False,
                  seq_field: str | None = None) -> DataFrame:
     """Plain JSON Lines files, one event per line; unreadable lines stay as they are.
@@ -45,10 +55,8 @@ def jsonl_events(spark: SparkSession, path: str, topic: str = "", stream: bool =
     equal lines of a file share one. The file time stands in for the broker's.
     """
     reader = spark.readStream if stream else spark.read
-    lines = reader.text(path).select(
-        "value", "_metadata.file_path", "_metadata.file_modification_time",
-        F.explode_outer(F.array(F.from_json("value", "map<string,string>"))).alias("fields"))
-    lines = lines.withColumn("fields", last_of_each(F.col("fields")))
+    lines = _decoded(reader.text(path).select(
+        "value", "_metadata.file_path", "_metadata.file_modification_time"))
     field = lambda name: F.element_at("fields", F.lit(name))
     if seq_field:
         seq = field(seq_field).try_cast("long")
@@ -60,12 +68,23 @@ def jsonl_events(spark: SparkSession, path: str, topic: str = "", stream: bool =
     else:
         # 31 bits of the hash, then the place among the lines that share them
         group = F.shiftrightunsigned(text_hash, 33)
-        place = F.row_number().over(Window.partitionBy("_group").orderBy("file_path", "value"))
         lines = lines.withColumn("_seq", seq).withColumn("_numbered", F.col("_seq").isNotNull())
         with_time = lines.where("_numbered").drop("_numbered")
-        without = lines.where("NOT _numbered").withColumn("_group", group).withColumn(
-            "_seq", -(F.shiftleft(F.col("_group"), 32) + place)).drop("_group", "_numbered")
-        lines = with_time.unionByName(without)
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a number given is not reduced
+        # equal lines are one row with a count until they are numbered, and dealt out in parts
+        equal = (lines.where("NOT _numbered").groupBy("file_path", "value", "file_modification_time")
+                 .agg(F.count("*").alias("_equal")).withColumn("_group", group))
+        earlier = Window.partitionBy("_group").orderBy("file_path", "value").rowsBetween(
+            Window.unboundedPreceding, -1)
+        part = F.explode(F.sequence(F.lit(0), F.floor((F.col("_equal") - 1) / EQUAL_LINES)))
+        dealt = (equal.withColumn("_before", F.coalesce(F.sum("_equal").over(earlier), F.lit(0)))
+                 .withColumn("_part", part).repartition(parts, "_group", "_part"))
+        place = F.explode(F.sequence(
+            F.col("_part") * EQUAL_LINES + 1, F.least((F.col("_part") + 1) * EQUAL_LINES, F.col("_equal"))))
+        without = dealt.withColumn("_place", place).withColumn(
+            "_seq", -(F.shiftleft(F.col("_group"), 32) + F.col("_before") + F.col("_place")))
+        lines = with_time.unionByName(_decoded(without.select(
+            "value", "file_path", "file_modification_time", "_seq")))
         seq, other = F.col("_seq"), F.lit(None).cast("long")
     return lines.select(
         field("sensor_id").alias("key"), "value",

@@ -164,3 +164,20 @@ def test_archive_of_another_program(spark, tmp_path):
     assert {(r.year, r.month, r.day, r.hour) for r in rows} == {("2024", "01", "31", "05")}
     status = archive.archive_status(spark, str(tmp_path / "raw")).first()
     assert (status.objects_written, status.events_archived) == (1, 3)
+
+
+def test_equal_lines_are_numbered_by_several_tasks(spark, tmp_path, monkeypatch):
+    from gaugeflow.sources import events
+
+    monkeypatch.setattr(events, "EQUAL_LINES", 50, raising=False)
+    lines = ["", "broken", '{"sensor_id": "s"}']
+    (tmp_path / "a.jsonl").write_text("\n".join(lines * 1001) + "\n")
+    (tmp_path / "b.jsonl").write_text("\n".join(lines) + "\n")
+    rows = jsonl_events(spark, str(tmp_path))
+    numbers = [r.offset for r in rows.collect()]
+    assert len(numbers) == len(set(numbers)) == 3 * 1002 and max(numbers) < 0
+    places = sorted((-n) & 0xFFFFFFFF for n in numbers)
+    assert places == sorted([*list(range(1, 1002)) * 3, 1, 1, 1])
+    assert {(r.value, r.key) for r in rows.collect()} == {("", None), ("broken", None), (lines[2], "s")}
+    tasks = rows.where("value = 'broken'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) < 1002
