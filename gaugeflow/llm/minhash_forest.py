@@ -1,12 +1,13 @@
-"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
+"""N-gram Jaccard join by MinHash with banding of a fixed depth and exact verification.
 
 Documents are sets of word 5-grams (a document of fewer words is one n-gram of
 all its words). Documents with equal sets form one class and are joined once.
-Every class has one signature per tree; a tree is the sorted list of signatures,
-and classes below one trie node share a prefix. Matched prefixes are shortened
-from the full depth until classes at the threshold meet in some tree with the
-target recall. Below a node, signatures are compared whole; classes that may be
-similar are linked, and the connected groups of those links, not pairs, go on to
+Every class has one signature per tree. The depth of an LSH forest at which classes at
+the threshold meet in some tree with the target recall follows from constants, so it
+is computed before running, and each tree is one band: a hash of the signature's prefix
+of that depth. No signatures are sorted and no prefix shortens while running. Classes
+with an equal band are a node; in it, signatures are compared whole by a sketch, and
+classes that may be similar are linked, and the connected groups of those links, not pairs, go on to
 verification: the sets of each group meet once, in blocks, and every pair of the
 group is compared exactly.
 
