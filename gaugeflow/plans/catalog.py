@@ -205,10 +205,8 @@ def window_stats_1m(spark, sf_dir):
 
 @query
 def window_stats_gaps(spark, sf_dir):
-    """Most readings carry no type and no place; the last that does names the window.
-    Quarters add up exactly, whatever the order."""
+    """Most readings carry no type and no place; the last that does names the window."""
     events = A.sensor_events(spark, sf_dir).withColumns({
-        "value": F.floor(F.col("value") * 4) / 4,
         "sensor_type": F.when(F.col("seq") % 3 == 0, F.col("sensor_type")),
         "location": F.when(F.col("seq") % 5 == 0, F.concat("location", F.lit("-"), "sensor_type"))})
     return window_aggregates(events, "1 day")

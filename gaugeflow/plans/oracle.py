@@ -73,12 +73,19 @@ def _round(x: str, scale: int = 100, tie: str = "base % 2 <> 0") -> str:
                  ({high} * {scale}::DOUBLE - {scaled}) + ({x} - {high}) * {scale}::DOUBLE AS error))"""
 
 
+# The exact sum, rounded once: doubles from 1/256 on are whole multiples of 2^-60. The engine's
+# own fsum is not exact when it combines partial sums, and its cast of a HUGEINT rounds twice,
+# so the number goes through its digits.
+_STEPS = f"{2.0 ** 60:.0f}::DOUBLE"
+EXACT_SUM = f"sum((value * {_STEPS})::HUGEINT)::VARCHAR::DOUBLE / {_STEPS}"
+
+
 def _windows(size: str, name: str = "aggs", source: str = "ev") -> str:
     return f"""{name}_raw AS (
   SELECT time_bucket(INTERVAL '{size}', event_time, TIMESTAMP '1970-01-01') AS window_start,
          sensor_id, arg_max(sensor_type, seq) FILTER (sensor_type IS NOT NULL) AS sensor_type,
          arg_max(location, seq) FILTER (location IS NOT NULL) AS location,
-         avg(value) AS a, min(value) AS lo, max(value) AS hi, count(*) AS event_count
+         {EXACT_SUM} / count(value) AS a, min(value) AS lo, max(value) AS hi, count(*) AS event_count
   FROM {source} GROUP BY 1, 2),
 {name} AS (
   SELECT window_start, window_start + INTERVAL '{size}' AS window_end,
@@ -177,7 +184,7 @@ ORACLES: dict[str, str] = {
       FROM events LEFT JOIN units ON event_type = sensor_type GROUP BY 1, 2, 3""",
     "window_stats_1m": _with(EV, _windows("1 minute")) + "SELECT * FROM aggs",
     "window_stats_gaps": _with(EV, """gaps AS (
-      SELECT sensor_id, event_time, floor(value * 4) / 4 AS value, seq,
+      SELECT sensor_id, event_time, value, seq,
              CASE WHEN seq % 3 = 0 THEN sensor_type END AS sensor_type,
              CASE WHEN seq % 5 = 0 THEN location || '-' || sensor_type
                   END AS location
