@@ -87,3 +87,45 @@ SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coales
        sha256(unhex(kept.h)) AS kept_sha256
 FROM d JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)
 """
+
+ORACLES["op11_exact_dedup"] = r"""
+WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h
+           FROM documents),
+g AS (SELECT h, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY h)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM t JOIN g USING (h)
+"""
+
+# CRC-32 of the decimal digits, bit by bit
+_CRC = """list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(range(1, len(conv_id::VARCHAR) + 1),
+    i -> ascii(substr(conv_id::VARCHAR, i::INTEGER, 1))::BIGINT)),
+  (crc, byte) -> list_reduce(list_prepend(xor(crc, byte), range(8)),
+    (c, bit) -> xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)))"""
+
+ORACLES["op12_conversation_prefix_trie"] = f"""
+WITH own AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, turns, conv_id - conv_id % 100 AS base, xor({_CRC}, 4294967295) % 6 AS h FROM own),
+full_rows AS (
+  SELECT h.conv_id, list_concat(coalesce(list_slice(b.turns, 1, h), []), list_slice(h.turns, h + 1, len(h.turns))) AS s
+  FROM h LEFT JOIN own b ON b.conv_id = h.base),
+steps AS (SELECT conv_id, s, unnest(range(len(s) + 1)) AS depth FROM full_rows),
+paths AS (
+  SELECT conv_id, depth, len(s) AS total, sha256(list_slice(s, 1, depth)::VARCHAR || depth) AS k,
+         CASE WHEN depth > 0 THEN sha256(list_slice(s, 1, depth - 1)::VARCHAR || (depth - 1)) END AS pk,
+         CASE WHEN depth > 0 THEN length(s[depth].t) ELSE 0 END AS size FROM steps),
+nodes AS (
+  SELECT k, any_value(pk) AS pk, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs,
+         (count(*) - 1) * any_value(size) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (total = depth), '')) AS ends
+  FROM paths GROUP BY k),
+kids AS (SELECT pk AS k, count(*) AS n_children FROM nodes GROUP BY pk),
+below AS (
+  SELECT p.k, sum(n.saved)::BIGINT AS saved_tokens, count(*) FILTER (kids.k IS NULL) AS n_leaves
+  FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN kids ON kids.k = n.k
+  GROUP BY p.k)
+SELECT n.conv_id, n.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends AS ends_sha256
+FROM nodes n JOIN below USING (k) LEFT JOIN kids USING (k) LEFT JOIN nodes up ON up.k = n.pk
+"""

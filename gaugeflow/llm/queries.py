@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, each over its whole table."""
+"""The registered queries of the operators, each over its whole table."""
 
 from __future__ import annotations
 
@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gaugeflow.llm.bpe import encoded_documents
 from gaugeflow.llm.decontamination import contamination
+from gaugeflow.llm.exact_dedup import mark_duplicates
 from gaugeflow.llm.minhash_forest import jaccard_join
 from gaugeflow.llm.mtree import top_k
 from gaugeflow.llm.pii import pseudonymise
+from gaugeflow.llm.prefix_trie import conversation_trie
 from gaugeflow.llm.quality import quality_scores
 from gaugeflow.llm.suffix_index import remove_repeats
 from gaugeflow.llm.token_attribution import line_tokens
@@ -93,3 +95,15 @@ def op9_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a shared window, and the items found."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group size, the row that stays and the digest of every document."""
+    return mark_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the trie of the rebuilt conversations."""
+    return conversation_trie(table(spark, sf_dir, "conversations"))
