@@ -98,9 +98,9 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 F
 # CRC-32 of the decimal digits, bit by bit
 _CRC = """list_reduce(
   list_prepend(4294967295::BIGINT, list_transform(range(1, len(conv_id::VARCHAR) + 1),
-    i -> ascii(substr(conv_id::VARCHAR, i::INTEGER, 1))::BIGINT)),
-  (crc, byte) -> list_reduce(list_prepend(xor(crc, byte), range(8)),
-    (c, bit) -> xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)))"""
+    lambda i: ascii(substr(conv_id::VARCHAR, i::INTEGER, 1))::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+    lambda c, bit: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)))"""
 
 ORACLES["op12_conversation_prefix_trie"] = f"""
 WITH own AS (
