@@ -129,3 +129,31 @@ SELECT n.conv_id, n.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_co
        coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends AS ends_sha256
 FROM nodes n JOIN below USING (k) LEFT JOIN kids USING (k) LEFT JOIN nodes up ON up.k = n.pk
 """
+
+ORACLES["op13_phrase_collocations"] = rf"""
+WITH w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+f AS (
+  SELECT lang, k, p, count(*) AS a
+  FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS p
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) t(k)))
+  GROUP BY lang, k, p),
+c AS (SELECT lang, k, p, a, string_split(p, ' ') AS v FROM f WHERE k > 1 AND a >= 10),
+around AS (
+  SELECT lang, unnest([array_to_string(v[1:2], ' '), array_to_string(v[2:3], ' ')]) AS p, a FROM c WHERE k = 3),
+dropped AS (SELECT DISTINCT c.lang, c.p FROM c JOIN around USING (lang, p) WHERE c.k = 2 AND 100 * around.a >= 50 * c.a),
+cuts AS (
+  SELECT lang, p, a, cut, array_to_string(v[1:cut], ' ') AS lp, array_to_string(v[cut + 1:], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) ANTI JOIN dropped USING (lang, p)),
+scored AS (
+  SELECT cuts.lang, cuts.p AS phrase, cuts.a, x.a AS l, y.a AS r, cut,
+         (1000000::HUGEINT * cuts.a * cuts.a // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.p = lp JOIN f y ON y.lang = cuts.lang AND y.p = rp),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+JOIN n USING (lang) WHERE rank <= 2000
+"""

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeflow.llm.bpe import encoded_documents
+from gaugeflow.llm.collocations import collocations
 from gaugeflow.llm.decontamination import contamination
 from gaugeflow.llm.exact_dedup import mark_duplicates
 from gaugeflow.llm.minhash_forest import jaccard_join
@@ -107,3 +108,9 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nodes of the trie of the rebuilt conversations."""
     return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two and three words per language."""
+    return collocations(table(spark, sf_dir, "documents"))
