@@ -33,7 +33,7 @@ from gaugeflow.session import materialize
 
 LONGEST = 3
 #: Bytes of text in a shard.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 6 << 20
 #: The ranges are cut at quantiles of the phrases of about so many documents, of which a task
 #: gives so many phrases, with words up to so many bytes. Results do not depend on the cuts.
 SAMPLE_DOCS, SAMPLE_PATHS, CUT_BYTES = 4000, 4096, 64
@@ -61,7 +61,8 @@ def _positions(block: T.Block, langs: pa.Array) -> tuple[pa.Array, np.ndarray, n
     ends[list(ENDS_PIECE)] = True
     apart = ends.copy()
     apart[list(ENDS_WORD)] = True
-    inside, breaks = ~apart[data], np.cumsum(ends[data], dtype=np.int64)
+    kind = np.int32 if len(data) < 1 << 31 else np.int64
+    inside, breaks = ~apart[data], np.cumsum(ends[data], dtype=kind)
     begins, stops = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     stops[:-1] &= ~inside[1:]
@@ -70,14 +71,13 @@ def _positions(block: T.Block, langs: pa.Array) -> tuple[pa.Array, np.ndarray, n
     begins[edges] |= inside[edges]
     stops[edges - 1] |= inside[edges - 1]
     starts, stops = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-    offsets = np.concatenate([[0], np.cumsum(stops - starts)])
-    kind = pa.large_binary() if offsets[-1] >= 1 << 31 else pa.binary()
-    words = pa.Array.from_buffers(kind, len(starts), [
-        None, pa.py_buffer(offsets.astype(np.int64 if kind == pa.large_binary() else np.int32)),
-        pa.py_buffer(data[inside])]).cast(pa.binary())
+    offsets = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [
+        None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
     labels, number = A.sorted_labels(pa.concat_arrays([words, langs.cast(pa.binary())]))
     row = np.searchsorted(block.offsets, starts, side="right") - 1
-    return labels, number[len(starts):][row], number[:len(starts)], breaks[starts] + row * 2 if len(starts) else row
+    # a row begins a piece as well
+    return labels, number[len(starts):][row], number[:len(starts)], breaks[starts] + row
 
 
 def _hashes(labels: pa.Array) -> np.ndarray:
