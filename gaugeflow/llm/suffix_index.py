@@ -40,7 +40,8 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm import text as T
 from gaugeflow.llm.groups import sorted_groups
-from gaugeflow.session import materialize
+from gaugeflow.session import materialize, shared_dir
+from gaugeflow.sources.files import delete_folder
 
 LENGTH, KEY = 100, 24
 #: Runs asked for from which a beginning's strings are dealt out one by one.
@@ -363,7 +364,7 @@ class SuffixFamily:
         self.spark, self.buckets, self.length, self.key = spark, buckets, length, key
         self.levels: list[tuple[int, str]] = []
         self.name = f"suffix_{uuid.uuid4().hex}"
-        self.made = 0
+        self.folders: dict[str, str] = {}  # of all tables ever made
 
     def add(self, batch: DataFrame) -> DataFrame:
         """Index a batch (doc, text_key, text); returns the spans and the runs asked for.
@@ -385,14 +386,16 @@ class SuffixFamily:
         return found
 
     def drop(self) -> None:
-        self._drop(*[name for _, name in self.levels])
+        """Delete all levels, and what an interrupted ``add`` has left."""
+        self._drop(*self.folders)
         self.levels = []
 
     def _store(self, df: DataFrame) -> str:
-        name = f"{self.name}_{self.made}"
-        self.made += 1
+        name = f"{self.name}_{len(self.folders)}"
+        self.folders[name] = shared_dir(self.spark, name)
         (df.write.partitionBy("kind").bucketBy(self.buckets, "bucket").sortBy("bucket")
-         .format("parquet").option("parquet.enable.dictionary", "false").saveAsTable(name))
+         .format("parquet").option("parquet.enable.dictionary", "false")
+         .option("path", self.folders[name]).saveAsTable(name))
         return name
 
     def _against(self, name: str, level: str) -> DataFrame:
@@ -407,6 +410,7 @@ class SuffixFamily:
     def _drop(self, *names: str) -> None:
         for name in names:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            delete_folder(self.spark, self.folders[name])
 
 
 def _scanner(length: int, buckets: int):
@@ -515,15 +519,17 @@ def duplicate_spans(rows: DataFrame, length: int = LENGTH, key: int = KEY, batch
     cuts = sorted({min(int(c), int(LARGEST) - 1) for c in cuts})
     family = SuffixFamily(rows.sparkSession, buckets, length, key)
     found = None
-    for low, high in zip([None, *cuts], [*cuts, None]):
-        batch = rows
-        if low is not None:
-            batch = batch.where(F.col("doc") > low)
-        if high is not None:
-            batch = batch.where(F.col("doc") <= high)
-        matches = family.add(batch)
-        found = matches if found is None else found.union(matches)
-    family.drop()
+    try:
+        for low, high in zip([None, *cuts], [*cuts, None]):
+            batch = rows
+            if low is not None:
+                batch = batch.where(F.col("doc") > low)
+            if high is not None:
+                batch = batch.where(F.col("doc") <= high)
+            matches = family.add(batch)
+            found = matches if found is None else found.union(matches)
+    finally:
+        family.drop()
     asked = materialize(found.where(F.col("kind") == ASKED).select(*RUN).mapInArrow(
         _unpack, "key long, whole long, doc long, text_key long, start int, strings int")
         .distinct(), "suffix-asked")

@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from gaugeflow.llm import suffix_index
 from gaugeflow.llm import text as T
 from gaugeflow.llm.suffix_index import Marker, SuffixFamily, _merge_spans, _ordered, remove_repeats
 
@@ -89,6 +90,27 @@ def test_levels_merge_geometrically(spark):
     assert not any(spark.catalog.tableExists(name) for name in names)
 
 
+def test_an_error_leaves_no_table(spark, monkeypatch):
+    def fail(*_):
+        raise RuntimeError("no merge")
+    before = {t.name for t in spark.catalog.listTables()}
+    monkeypatch.setattr(suffix_index, "_merger", fail)
+    docs = [(i, f"document number {i} with some text of its own") for i in range(20)]
+    with pytest.raises(RuntimeError, match="no merge"):
+        remove_repeats(frame(spark, docs)).count()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_levels_lie_in_the_shared_folder(spark):
+    family = SuffixFamily(spark, 4, LENGTH, 4)
+    family.add(_ordered(frame(spark, [(1, "some text of its own, long enough")])))
+    where = spark.sql(f"DESCRIBE EXTENDED {family.levels[0][1]}").where("col_name = 'Location'").first()[1]
+    assert spark.conf.get("spark.checkpoint.dir") in where
+    family.drop()
+    with pytest.raises(Exception):
+        spark.read.parquet(where).count()
+
+
 def test_scans_of_levels_need_no_exchange(spark):
     ordered = _ordered(frame(spark, [(i, f"document number {i} with some text") for i in range(8)]))
     family = SuffixFamily(spark, 4, LENGTH, 4)
