@@ -143,8 +143,8 @@ def sign(documents: DataFrame, threshold: float, trees: int, depth: int, target:
     text = F.col("text").cast("string")
     return (documents.select(F.monotonically_increasing_id().alias("row"),
                              F.col("doc_id").cast("long"),
-                             F.xxhash64(text).alias("text_key"), text.alias("text"))
-            .mapInArrow(run, "row long, doc_id long, text_key long, fp1 long, fp2 long, "
+                             F.md5(text.cast("binary")).alias("text_key"), text.alias("text"))
+            .mapInArrow(run, "row long, doc_id long, text_key string, fp1 long, fp2 long, "
                              "grams long, keys array<long>, sketch binary"))
 
 
@@ -362,14 +362,39 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD, size: int =
 
 
 def one_per_class(documents: DataFrame, **settings) -> DataFrame:
-    """The document rows, with all their columns, that are kept: one of each class."""
-    kept = materialize(jaccard_join(documents, **settings).where("kept")
-                       .select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
-                       .distinct(), "forest-kept")
+    """The document rows, with all their columns, that are kept: one of each class.
+
+    Rows without words, null and empty texts among them, all stay, whatever their ids. Of
+    rows with equal id and text at most one stays, as they are one class. Only rows that a
+    filter of bounded size suspects to be dropped are moved; all others stay where they are.
+    """
+    ident, key, pair, gone_id, gone_key, stays = (free_name(n, documents.columns) for n in (
+        "doc_key", "text_key", "pair_key", "gone_id", "gone_key", "one_stays"))
+    marked = jaccard_join(documents, **settings).select(
+        F.col("doc_id").alias(gone_id), F.col("text_key").alias(gone_key), "kept")
+    # rows of one id and text, of which some go; one may be the row that stays
+    dropped = materialize(marked.groupBy(gone_id, gone_key).agg(
+        F.bool_or("kept").alias(stays), F.bool_and("kept").alias("all_stay"))
+        .where("NOT all_stay").drop("all_stay"), "forest-dropped")
+    pairs = dropped.select(F.xxhash64(gone_id, gone_key).alias("pair"))
+    held = documents.sparkSession.sparkContext.broadcast(build_filter(pairs, "pair").bits)
+    keyed = documents.withColumns({
+        ident: F.col("doc_id").cast("long"),
+        key: F.coalesce(F.md5(F.col("text").cast("string").cast("binary")), F.lit(""))})
+    keyed = keyed.withColumn(pair, F.xxhash64(F.col(ident), F.col(key)))
+
+    def suspected(wanted: bool):
+        def run(batches):
+            suspects = KeyFilter(held.value)
+            for batch in batches:
+                hit = suspects.passes(np.ascontiguousarray(batch.column(pair).to_numpy(), np.int64))
+                yield batch.filter(pa.array(hit == wanted))
+        return keyed.mapInArrow(run, keyed.schema)
+
     columns = [F.col(f"`{c}`") for c in documents.columns]
-    ident, key = (free_name(n, documents.columns) for n in ("doc_key", "text_key"))
-    keyed = documents.withColumns({ident: F.col("doc_id").cast("long"),
-                                   key: F.xxhash64(F.col("text").cast("string"))})
-    same = keyed[ident].eqNullSafe(kept["kept_id"]) & (keyed[key] == kept["kept_key"])
-    # rows that are repeated as they stand share a key; one of them stays
-    return keyed.join(kept, same, "left_semi").dropDuplicates([ident, key]).select(*columns)
+    suspects = suspected(True).join(
+        dropped, F.col(ident).eqNullSafe(F.col(gone_id)) & (F.col(key) == F.col(gone_key)), "left")
+    never = F.col(stays).isNull()
+    settled = suspects.where(never).select(*columns).unionByName(
+        suspects.where(stays).dropDuplicates([ident, key]).select(*columns))
+    return suspected(False).select(*columns).unionByName(settled)

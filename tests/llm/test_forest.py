@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from gaugeflow.llm.components import connected_components
 from gaugeflow.llm.minhash_forest import jaccard_join, one_per_class, prefix_depth, sketch_groups
 from test_text_kernels import plain_words
@@ -99,6 +100,26 @@ def test_null_ids_only(spark):
     assert one_per_class(frame(spark, docs)).count() == 2
 
 
+def test_rows_that_the_join_keeps_all_stay(spark):
+    docs = [(None, None), (None, None), (None, ""), (None, ""), (7, None), (7, None), (7, "a b c d e f"),
+            (7, "a b c d e f"), (8, "a b c d e f"), (9, "--"), (9, "--"), (10, "one two"), (11, "one two three")]
+    want = sum(r.kept for r in jaccard_join(frame(spark, docs)).collect())
+    left = one_per_class(frame(spark, docs)).collect()
+    assert len(left) == want == 11
+    assert sorted((r.doc_id, r.text) for r in left if r.text and "a" in r.text) == [(7, "a b c d e f")]
+
+
+@pytest.mark.parametrize("size", [1024, 2048])
+def test_words_of_equal_polynomial_hash_are_different_sets(spark, size):
+    word = "ab"
+    while len(word) < size:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    docs = [(1, word), (2, other), (3, f"{word} x"), (4, f"{other} x"), (5, word)]
+    got = {r.doc_id: r.class_id for r in jaccard_join(frame(spark, docs)).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
 def test_prefixes_shorten_until_the_recall_is_met():
     assert prefix_depth(0.8, 16, 5, 0.999) == 4
     assert prefix_depth(0.8, 16, 5, 0.99) == 5
