@@ -18,12 +18,14 @@ import pyarrow.compute as pc
 
 from gaugeflow.llm import text as T
 
-FIELDS = "labels array<binary>, words array<int>, fans array<int>, targets array<int>, weights array<long>"
+FIELDS = ("labels binary, sizes array<int>, words array<int>, fans array<int>, targets array<int>, "
+          "weights array<long>")
 
 
 def field_types() -> list[pa.Field]:
-    return [pa.field("labels", pa.list_(pa.binary())), pa.field("words", pa.list_(pa.int32())),
-            pa.field("fans", pa.list_(pa.int32())), pa.field("targets", pa.list_(pa.int32())),
+    return [pa.field("labels", pa.binary()), pa.field("sizes", pa.list_(pa.int32())),
+            pa.field("words", pa.list_(pa.int32())), pa.field("fans", pa.list_(pa.int32())),
+            pa.field("targets", pa.list_(pa.int32())),
             pa.field("weights", pa.list_(pa.int64()))]
 
 
@@ -140,7 +142,9 @@ class Automaton:
             like[self.parents[-1][differs]] = self.parents[-1][differs]
         kept = np.unique(like)
         arcs_kept = _segments(fan[kept], starts[kept])
-        return {"labels": self.labels, "words": np.concatenate([*self.words[:-1], word[arcs_kept]]),
+        data, offsets = T.utf8(self.labels)
+        return {"labels": data[offsets[0]:offsets[-1]].tobytes(), "sizes": np.diff(offsets),
+                "words": np.concatenate([*self.words[:-1], word[arcs_kept]]),
                 "fans": np.concatenate([np.atleast_1d(f) for f in [*fans, fan[kept]]]),
                 "targets": np.searchsorted(kept, like), "weights": weight[arcs_kept]}
 
@@ -189,16 +193,19 @@ def as_batch(rows: list[dict], automata: list[Automaton], more: list[pa.Field])
     arrays = [pa.array([r[f.name] for r in rows], f.type) for f in more]
     for field in field_types():
         values = [w[field.name] for w in written]
+        if field.name == "labels":
+            arrays.append(pa.array(values, pa.binary()))
+            continue
         offsets = np.cumsum([0, *map(len, values)]).astype(np.int32)
-        flat = (pa.concat_arrays(values) if field.name == "labels" and values else
-                pa.array(np.concatenate(values) if values else [], field.type.value_type))
+        flat = pa.array(np.concatenate(values) if values else [], field.type.value_type)
         arrays.append(pa.ListArray.from_arrays(pa.array(offsets), flat))
     return pa.RecordBatch.from_arrays(arrays, schema=pa.schema([*more, *field_types()]))
 
 
 def from_batch(batch, row: int, levels: int) -> Automaton:
-    def values(name: str):
-        return batch.column(name)[row].values
-
-    numbers = [values(n).to_numpy(zero_copy_only=False) for n in ("words", "fans", "targets", "weights")]
-    return Automaton.from_row(levels, values("labels"), *numbers)
+    sizes, *numbers = (batch.column(n)[row].values.to_numpy(zero_copy_only=False)
+                       for n in ("sizes", "words", "fans", "targets", "weights"))
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    labels = pa.Array.from_buffers(pa.binary(), len(sizes), [
+        None, pa.py_buffer(offsets), batch.column("labels")[row].as_buffer()])
+    return Automaton.from_row(levels, labels, *numbers)

@@ -236,7 +236,7 @@ def _composed(counts: dict[int, DataFrame], bounds: dict[int, list[tuple]], cove
         dealt = rows.where(F.size("words") > 0).select(
             F.lit(order).alias("order"),
             F.expr(f"cast(range * {groups} div {len(bounds[order]) + 1} AS int)").alias("target"),
-            "labels", "words", "fans", "targets", "weights")
+            *[f.name for f in A.field_types()])
         held = dealt if held is None else held.unionByName(dealt)
     asking = [pa.field(n, pa.int32()) for n in ("order", "target", "asking", "origin")]
 
