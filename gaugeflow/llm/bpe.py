@@ -29,8 +29,11 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm import text as T
 
-#: Pieces of more bytes are encoded one by one.
+#: Pieces of more bytes are encoded one by one: tokens are found at all places at once, then
+#: the programme runs over them.
 LONG_PIECE = 64
+#: Places of a long piece that are searched at once, and pieces that are compared at once.
+SEARCHED, COMPARED = 1 << 16, 1 << 16
 #: Slots for remembered pairs.
 PAIR_SLOTS = 1 << 20
 
@@ -242,6 +245,41 @@ class PrefixEncoder:
             last.append(found)
         return last
 
+    def _tokens_at(self, data: np.ndarray, low: int, high: int):
+        """Tokens that merging reaches, by their place: (start, end, token)."""
+        live = np.arange(low, high)
+        node, found, step = np.zeros(len(live), np.int64), [], 0
+        while len(live):
+            node = self.children(node << 8 | data[live + step])
+            live, node = live[node >= 0], node[node >= 0].astype(np.int64)
+            step += 1
+            token = self.ends[node]
+            good = token >= 0
+            good[good] = (self.left[token[good]] != token[good]) | (self.lengths[token[good]] == 1)
+            found.append((live[good], np.full(int(good.sum()), step), token[good]))
+            inside = live + step < len(data)
+            live, node = live[inside], node[inside]
+        start, size, token = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(start, kind="stable")
+        return start[order].tolist(), (start + size)[order].tolist(), token[order].tolist()
+
+    def long_tokens(self, piece: bytes) -> list[int]:
+        """``last_tokens`` of a long piece."""
+        data = np.frombuffer(piece, np.uint8)
+        last, apart = [-1] * (len(piece) + 1), {}
+        for low in range(0, len(piece), SEARCHED):
+            for start, end, token in zip(*self._tokens_at(data, low, min(low + SEARCHED, len(piece)))):
+                if start:
+                    pair = last[start] << 32 | token
+                    fits = apart.get(pair)
+                    if fits is None:
+                        fits = apart[pair] = bool(self.stay_apart(
+                            np.array([last[start]]), np.array([token]))[0])
+                    if not fits:
+                        continue
+                last[end] = token
+        return last
+
     def _reachable(self, token: int) -> bool:
         return self.lengths[token] == 1 or self.left[token] != token
 
@@ -252,7 +290,7 @@ class PrefixEncoder:
         whole = self.rank_of(piece)
         if whole >= 0:
             return [whole]
-        last = self.last_tokens(piece) if last is None else last
+        last = self.long_tokens(piece) if last is None else last
         ids, at = [], len(piece)
         while at:
             ids.append(last[at])
@@ -344,6 +382,29 @@ def encoder(path: str) -> PrefixEncoder:
     return PrefixEncoder(read_ranks(path))
 
 
+def told_apart(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray,
+               group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Groups of equal hashes as groups of equal bytes: what differs from the first of its
+    group gets a group of its own."""
+    sizes = ends - starts
+    twin = starts[first[group]]
+    differs = sizes != sizes[first[group]]
+    alike = np.flatnonzero(~differs & (twin != starts))
+    for low in range(0, len(alike), COMPARED):
+        some = alike[low:low + COMPARED]
+        stops = np.cumsum(sizes[some])
+        inside = np.arange(stops[-1]) - np.repeat(stops - sizes[some], sizes[some])
+        same = (data[np.repeat(starts[some], sizes[some]) + inside]
+                == data[np.repeat(twin[some], sizes[some]) + inside])
+        differs[some] = ~np.logical_and.reduceat(same, stops - sizes[some])
+    odd = np.flatnonzero(differs)
+    if len(odd):
+        group = group.copy()
+        group[odd] = len(first) + np.arange(len(odd))
+        first = np.concatenate([first, odd])
+    return first, group
+
+
 class Encoded:
     """Tokens of a block: the distinct pieces with their tokens, and the texts as piece numbers."""
 
@@ -352,6 +413,7 @@ class Encoded:
         ends = np.append(starts[1:], len(block.data)) if len(starts) else starts
         hashes = T.span_hashes(block.data, starts, ends)
         _, first, self.piece = np.unique(hashes, return_index=True, return_inverse=True)
+        first, self.piece = told_apart(block.data, starts, ends, first, self.piece)
         self.ids, counts = model.encode(block.data, starts[first], ends[first])
         self.places = np.concatenate([[0], np.cumsum(counts)])
         self.counts = counts

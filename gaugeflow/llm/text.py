@@ -8,6 +8,7 @@ ASCII letters and digits and of non-ASCII characters, with A-Z lower-cased.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -17,6 +18,9 @@ import pyarrow.compute as pc
 
 #: Bytes of text handled at once.
 BLOCK_BYTES = 4 << 20
+#: Spans of more bytes are hashed by BLAKE2: from some 1,000 bytes on there are different texts
+#: that every polynomial modulo 2^64 takes for equal.
+LONG_SPAN = 256
 #: Bytes hashed at once, so that the running sums stay in the cache.
 SLICE_BYTES = 1 << 18
 
@@ -141,7 +145,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         s, e = starts[at:to] - begin, ends[at:to] - begin
         out[at:to] = (sums[e] - sums[s]) * inverses[s]
         at = to
-    return mix(out ^ (ends - starts).astype(np.uint64))
+    out = mix(out ^ (ends - starts).astype(np.uint64))
+    for i in np.flatnonzero(ends - starts > LONG_SPAN).tolist():
+        digest = hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = np.frombuffer(digest, np.uint64)[0]
+    return out
 
 
 def words(block: Block) -> Words:

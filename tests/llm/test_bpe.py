@@ -1,6 +1,8 @@
 import hashlib
 import random
+import time
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -48,6 +50,39 @@ def test_long_and_repetitive_texts():
            " " * 300 + "a", "\n" * 77, "word " * 30_000, None, ""])
 
 
+def thue_morse(size):
+    word = "ab"
+    while len(word) < size:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("size", [512, 1024, 2048, 8192])
+def test_different_pieces_of_equal_polynomial_hash(size):
+    one, other = thue_morse(size)
+    check([one, other, f"{one} {other}", one])
+
+
+def test_pieces_are_told_apart_by_their_bytes():
+    # all hashes equal: groups follow the bytes
+    data = np.frombuffer(b"abcabdabcab", np.uint8)
+    starts, ends = np.array([0, 3, 6, 9]), np.array([3, 6, 9, 11])
+    first, group = bpe.told_apart(data, starts, ends, np.array([0]), np.zeros(4, int))
+    assert group.tolist()[0] == group.tolist()[2] and len(set(group.tolist())) == 3
+    assert [bytes(data[starts[f]:ends[f]]) for f in first[group]] == [b"abc", b"abd", b"abc", b"ab"]
+
+
+@pytest.mark.parametrize("text", ["a" * 300_000, " " * 300_000, "汉字语言处理系统" * 12_000,
+                                  "".join(random.Random(3).choice("的一是不了人我在有他这中大来上") for _ in range(90_000)),
+                                  "".join(random.Random(5).choice("abcdefgh") for _ in range(200_000))])
+def test_very_long_pieces(text):
+    begin = time.process_time()
+    got = encode([text])[0]
+    rate = (time.process_time() - begin) / len(text.encode())
+    assert got[0] == REFERENCE.encode_ordinary(text) and got[1] == text.encode()
+    assert rate < 20e-6  # seconds a byte; byte by byte it was 100
+
+
 def test_appends_and_edits_equal_a_fresh_encoding():
     rng = random.Random(4)
     words = ["the", " of", "'s", "  ", "\n", "don't", "é", "123", "!!", " in", "ation", "x"]
