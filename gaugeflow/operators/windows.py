@@ -20,8 +20,12 @@ def window_aggregates(events: DataFrame, size: str = WINDOW, watermark: str | No
     sends most of the data costs each task one row per window. ``watermark``
     bounds the state of a streaming query; late rows are then dropped by Spark.
     """
-    stats = _stream_stats(events, size, watermark) if events.isStreaming else _stats(events, size)
+    return finished_windows(_stream_stats(events, size, watermark) if events.isStreaming
+                            else _stats(events, size), places)
 
+
+def finished_windows(stats: DataFrame, places: int | None = 2) -> DataFrame:
+    """The result rows of windows whose statistics are known."""
     def rounded(name):
         return F.col(name) if places is None else round_exact(F.col(name), places).alias(name)
 

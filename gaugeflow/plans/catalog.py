@@ -23,8 +23,11 @@ from gaugeflow.sources.events import file_events, jsonl_events
 from gaugeflow.streaming.aggregates import stream_aggregates
 from gaugeflow.streaming.alerts import stream_alerts
 from gaugeflow.streaming.start import finish, start_files
+from gaugeflow.streaming.windows import closed_windows, late_readings, windows_and_late
 
 DAY_MS = 86_400_000
+PARTS = 3
+LATE_SIZE = "6 hours"
 PIVOT_IDS = [f"sensor-{n:04d}" for n in range(8)]
 VIEW_GROUP, VIEW_TYPE, VIEW_SENSOR = "ASIA", "click", "sensor-0005"
 HISTORY = ("2024-01-10", "2024-01-19")
@@ -259,6 +262,46 @@ def window_stats_on_time(spark, sf_dir):
     return window_aggregates(on_time, "1 hour")
 
 
+def _fed_in_parts(spark, rows: DataFrame, number: str, build, name: str, parts: int = PARTS,
+                  **how) -> DataFrame:
+    """Run a stream over stored rows that come in parts, one micro-batch each, and read its
+    sink. The stream ends after each part and goes on from its checkpoint with the next."""
+    source, out = shared_dir(spark, name + "-source"), shared_dir(spark, name)
+    checkpoint = shared_dir(spark, name + "-checkpoint")
+    for part in range(parts):
+        rows.where(F.col(number) == part).drop(number).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.drop(number).schema).parquet(source)
+        result = build(stream)
+        finish(start_files(result, out, checkpoint, interval=None, **how))
+    return spark.read.schema(result.schema).parquet(out)
+
+
+def _in_arrival_parts(spark, sf_dir) -> DataFrame:
+    """The events in another order of arrival, cut into parts of about equal size."""
+    events = _shuffled_arrival(spark, sf_dir)
+    last = A.sensor_events(spark, sf_dir).agg(F.max("seq")).first()[0]
+    place = F.floor(F.col("seq") / 1000 * PARTS / ((last or 0) + 101))
+    return events.withColumn("part", F.least(place, F.lit(PARTS - 1)).cast("int"))
+
+
+def _windows_and_late(spark, sf_dir, size: str) -> DataFrame:
+    return _fed_in_parts(spark, _in_arrival_parts(spark, sf_dir), "part",
+                         lambda events: windows_and_late(events, size, buckets=2), "windows-late",
+                         partition="kind")
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """The readings that came after their window had closed, stored by the stream."""
+    return late_readings(_windows_and_late(spark, sf_dir, LATE_SIZE))
+
+
+@query
+def stream_windows_without_late(spark, sf_dir):
+    """What the same stream counts: all others, in windows that have closed."""
+    return closed_windows(_windows_and_late(spark, sf_dir, LATE_SIZE), LATE_SIZE)
+
+
 # ---- alerts ----------------------------------------------------------------
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from gaugeflow.plans import events_adapter as A
 from gaugeflow.plans.catalog import (
-    DAY_MS, FORM_TIMES, FORM_VALUES, HISTORY, PIVOT_IDS, VIEW_GROUP, VIEW_SENSOR, VIEW_TYPE)
+    DAY_MS, FORM_TIMES, FORM_VALUES, HISTORY, LATE_SIZE, PARTS, PIVOT_IDS, VIEW_GROUP, VIEW_SENSOR, VIEW_TYPE)
 
 _TYPE_ROWS = ", ".join(f"('{t}', {w}::DOUBLE, {c}::DOUBLE)" for t, w, c in A.TYPE_THRESHOLDS)
 _UNIT_ROWS = ", ".join(f"('{t}', '{label}', '{unit}')" for t, label, unit in A.TYPE_UNITS)
@@ -141,6 +141,16 @@ assert len(_VALUE_OUTCOMES) == len(FORM_VALUES) and len(_TIME_OUTCOMES) == len(F
 _PAGE_GROUP = """(SELECT group_name FROM grp ORDER BY place LIMIT 1)"""
 _MEMBERS = f"sensor_id IN (SELECT sensor_id FROM grp WHERE group_name = {_PAGE_GROUP})"
 
+# the parts in which a stream gets its input; a watermark is that of all earlier parts
+_IN_PARTS = f"""numbered AS (
+  SELECT *, time_bucket(INTERVAL '{LATE_SIZE}', event_time, TIMESTAMP '1970-01-01')
+            + INTERVAL '{LATE_SIZE}' AS window_end, least(floor(seq / 1000 * {PARTS} / ((SELECT max(event_id) FROM events) + 101)), {PARTS - 1}) AS part FROM ev),
+marks AS (SELECT part, max(max(event_time)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                 - INTERVAL 15 SECOND AS mark FROM numbered GROUP BY part),
+parts AS (
+  SELECT numbered.*, coalesce(window_end <= date_trunc('milliseconds', mark), false) AS late
+  FROM numbered JOIN marks USING (part))"""
+
 ORACLES: dict[str, str] = {
     "parse_events_api": _with(EV) + f"SELECT {_EVENT} FROM ev",
     "dialect_merge": _with(EV) + f"SELECT {_EVENT} FROM ev",
@@ -214,6 +224,13 @@ ORACLES: dict[str, str] = {
         > newest - INTERVAL 15 SECOND
       ORDER BY user_id, event_time)""", _windows("1 hour", source="on_time"))
         + "SELECT * FROM aggs",
+    "stream_late_rows": _with(MOVED, _IN_PARTS) + """
+      SELECT sensor_id, seq, event_time, value, sensor_type, location,
+             window_end FROM parts WHERE late""",
+    "stream_windows_without_late": _with(MOVED, _IN_PARTS, """in_time AS (
+      SELECT * FROM parts WHERE NOT late)""", _windows(LATE_SIZE, source="in_time")) + """
+      SELECT * FROM aggs
+      WHERE window_end <= (SELECT max(event_time) - INTERVAL 15 SECOND FROM ev)""",
     "breach_run_lengths": _with(EV, RUNS) + """
       SELECT sensor_id, seq, value, consecutive_breaches, run_seq, run_since FROM runs
       WHERE consecutive_breaches >= 3""",
