@@ -14,25 +14,26 @@ from gaugeflow.functions.parsing import accepted, parse_events
 from gaugeflow.schema import AGGREGATES_TOPIC, ALERTS_TOPIC, EVENTS_TOPIC
 from gaugeflow.session import build_session, ship_code
 from gaugeflow.sources.archive import archive_job
-from gaugeflow.sources.events import file_events, kafka_events
+from gaugeflow.sources.events import BYTES_PER_TRIGGER, file_events, kafka_events
 from gaugeflow.sources.metadata import load_metadata
 from gaugeflow.streaming.aggregates import aggregate_job, stream_aggregates
 from gaugeflow.streaming.alerts import alert_job, stream_alerts
 from gaugeflow.streaming.results import publish_job, result_tables_job
 from gaugeflow.streaming.start import finish
+from gaugeflow.streaming.windows import windows_and_late_job
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
-# what one micro-batch takes unless told otherwise; the rest waits, nothing is dropped
+# what one micro-batch of the broker takes unless told otherwise; the rest waits, nothing is
+# dropped. Files are capped by their bytes.
 RECORDS_PER_TRIGGER = 5_000_000
-FILES_PER_TRIGGER = 1_000
 
 
 def arguments(args: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("job", choices=["aggregates", "alerts", "archive", "publish-aggregates",
-                                        "publish-alerts", "tables"])
+    parser.add_argument("job", choices=["aggregates", "windows-and-late", "alerts", "archive",
+                                        "publish-aggregates", "publish-alerts", "tables"])
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers", help="addresses of the broker")
     source.add_argument("--files", help="folder of JSON files with the broker's columns")
@@ -40,7 +41,7 @@ def arguments(args: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--starting", default="latest")
     parser.add_argument("--max-per-trigger", type=int,
                         help=f"records of the broker ({RECORDS_PER_TRIGGER}) or files "
-                             f"({FILES_PER_TRIGGER}) in a micro-batch")
+                             f"(otherwise {BYTES_PER_TRIGGER} bytes of them) in a micro-batch")
     parser.add_argument("--state-partitions", type=int,
                         help="state stores of a new checkpoint")
     parser.add_argument("--metadata", default="metadata.json")
@@ -61,7 +62,7 @@ def main(args: list[str] | None = None) -> None:
                               opts.max_per_trigger or RECORDS_PER_TRIGGER)
     else:
         source = file_events(spark, opts.files, stream=True,
-                             max_files_per_trigger=opts.max_per_trigger or FILES_PER_TRIGGER)
+                             max_files_per_trigger=opts.max_per_trigger)
     for query in start(spark, opts, source):
         finish(query) if opts.once else query.awaitTermination()
 
@@ -76,6 +77,8 @@ def start(spark: SparkSession, opts: argparse.Namespace, source: DataFrame) -> l
         return [archive_job(source, out, checkpoint, **when)]
     if opts.job == "aggregates":
         return [aggregate_job(source, out, checkpoint, opts.strict, **kept)]
+    if opts.job == "windows-and-late":
+        return [windows_and_late_job(source, out, checkpoint, opts.strict, **kept)]
     if opts.job == "alerts":
         metadata = load_metadata(spark, opts.metadata)
         return [alert_job(source, metadata, out, checkpoint, opts.strict, **kept)]

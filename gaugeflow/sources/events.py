@@ -8,6 +8,8 @@ from gaugeflow.functions.parsing import last_of_each, parse_iso_time
 from gaugeflow.schema import ENVELOPE
 
 
+#: Bytes of files in a micro-batch, unless told otherwise.
+BYTES_PER_TRIGGER = 4 << 30
 #: Equal lines that are numbered in one row's turn.
 EQUAL_LINES = 1 << 14
 
@@ -29,11 +31,15 @@ def kafka_events(spark: SparkSession, servers: str, topics: str | list[str],
 
 
 def file_events(spark: SparkSession, path: str, file_format: str = "json", stream: bool = False,
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Broker records kept in JSON or Parquet files."""
+                max_files_per_trigger: int | None = None,
+                max_bytes_per_trigger: int = BYTES_PER_TRIGGER) -> DataFrame:
+    """Broker records kept in JSON or Parquet files. A micro-batch takes files up to a number
+    or, if none is given, up to a size (one file at least); the others wait."""
     reader = spark.readStream if stream else spark.read
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    elif stream:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.schema(ENVELOPE).format(file_format).load(path)
 
 

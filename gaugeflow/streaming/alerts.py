@@ -1,8 +1,10 @@
-"""Sustained-threshold alerts on a stream, with state per bucket of sensors.
+"""Sustained-threshold alerts on a stream, with state per sensor inside buckets.
 
 No watermark: a late reading still counts. The state of a sensor is the length
-of the open run and the time of the last alert; a bucket of sensors keeps its
-states together, so one read and one write serve all of them.
+of the open run and the time of the last alert, one entry of its bucket's map: a
+micro-batch reads and writes the sensors that report and no others, however many a
+bucket has, while one call serves a whole bucket. Entries expire by the store's own
+time-to-live, if one is set.
 
 A micro-batch is reduced before it reaches the state. Its readings are spread by
 (sensor, block of arrival numbers). A block becomes one row: the breaches that can
@@ -14,7 +16,6 @@ data is therefore worked on by many tasks, and its state sees one row per block.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,9 +48,8 @@ BLOCK_ROW = StructType([
     StructField("tail_open", BooleanType()), StructField("seqs", ArrayType(LongType())),
     StructField("times", ArrayType(LongType())), StructField("runs", ArrayType(LongType())),
     StructField("opens", ArrayType(BooleanType())), StructField("readings", ArrayType(StringType()))])
-STATE = StructType([
-    StructField("sensors", ArrayType(StringType())), StructField("runs", ArrayType(LongType())),
-    StructField("last_alerts", ArrayType(LongType())), StructField("touched", ArrayType(LongType()))])
+SENSOR = StructType([StructField("sensor_id", StringType())])
+STATE = StructType([StructField("run", LongType()), StructField("last_alert", LongType())])
 
 
 def reduce_blocks(readings: DataFrame, min_consecutive: int, block: int, buckets: int,
@@ -58,8 +58,9 @@ def reduce_blocks(readings: DataFrame, min_consecutive: int, block: int, buckets
 
     ``runs`` counts breaches since the block's last normal reading; ``opens`` tells
     that there was none, so an earlier run goes on. A stream cannot be sorted by
-    Spark, so a task sorts its share of the micro-batch: its part of the source's cap,
-    but never more than ``block`` readings of one sensor for one block.
+    Spark, so a task sorts its share of the micro-batch: its part of the source's cap
+    (records of the broker, bytes of files), but never more than ``block`` readings of one
+    sensor for one block.
     """
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,45 +122,39 @@ class SustainedAlerts(StatefulProcessor):
         self._ttl = ttl_ms
 
     def init(self, handle) -> None:
-        self._state = handle.getValueState("breaches", STATE)
+        self._sensors = handle.getMapState("sensors", SENSOR, STATE, self._ttl)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        now = int(time.time() * 1000)
-        states = self._read(now)
         blocks = pd.concat(list(rows), ignore_index=True).sort_values(["sensor_id", "block"])
         found = []
-        for row in blocks.itertuples(index=False):
-            carry, last, _ = states.get(row.sensor_id, (0, 0, now))
-            runs = np.asarray(row.runs, np.int64)
-            # readings before the block's first normal one continue the open run
-            runs = runs + np.where(np.asarray(row.opens, bool), carry, 0)
-            due = np.flatnonzero(runs >= self._min)
-            times = np.asarray(row.times, np.int64)[due]
-            picked = pick_alerts(times, last, self._cooldown)
-            if len(picked):
-                last = int(times[picked[-1]])
-                at = due[picked]
-                found.append(pd.DataFrame({
-                    "sensor_id": row.sensor_id, "seq": np.asarray(row.seqs, np.int64)[at],
-                    "consecutive_breaches": runs[at].astype(np.int32),
-                    "reading": np.asarray(row.readings, object)[at]}))
-            carry = int(row.tail_run) + (carry if row.tail_open else 0)
-            states[row.sensor_id] = (carry, last, now)
-        self._write(states)
+        for sensor, mine in blocks.groupby("sensor_id", sort=False):
+            before = self._sensors.getValue((sensor,))
+            carry, last = before or (0, 0)
+            for row in mine.itertuples(index=False):
+                carry, last = self._follow(row, carry, last, found)
+            # a sensor without a run and without an alert is like an unknown one
+            if carry or last:
+                self._sensors.updateValue((sensor,), (carry, last))
+            elif before:
+                self._sensors.removeKey((sensor,))
         if found:
             yield pd.concat(found, ignore_index=True)
 
-    def _read(self, now: int) -> dict[str, tuple[int, int, int]]:
-        kept = self._state.get()
-        if not kept:
-            return {}
-        return {sensor: (run, last, touched) for sensor, run, last, touched in zip(*kept)
-                if self._ttl is None or now - touched <= self._ttl}
-
-    def _write(self, states: dict[str, tuple[int, int, int]]) -> None:
-        # a sensor without a run and without an alert is like an unknown one
-        kept = {s: v for s, v in states.items() if v[0] or v[1]}
-        self._state.update((list(kept), *([v[i] for v in kept.values()] for i in range(3))))
+    def _follow(self, row, carry: int, last: int, found: list[pd.DataFrame]) -> tuple[int, int]:
+        """One block: its alerts, the run at its end and the time of the last alert."""
+        # readings before the block's first normal one continue the open run
+        runs = np.asarray(row.runs, np.int64) + np.where(np.asarray(row.opens, bool), carry, 0)
+        due = np.flatnonzero(runs >= self._min)
+        times = np.asarray(row.times, np.int64)[due]
+        picked = pick_alerts(times, last, self._cooldown)
+        if len(picked):
+            last = int(times[picked[-1]])
+            at = due[picked]
+            found.append(pd.DataFrame({
+                "sensor_id": row.sensor_id, "seq": np.asarray(row.seqs, np.int64)[at],
+                "consecutive_breaches": runs[at].astype(np.int32),
+                "reading": np.asarray(row.readings, object)[at]}))
+        return int(row.tail_run) + (carry if row.tail_open else 0), last
 
     def close(self) -> None:
         pass
@@ -171,8 +166,8 @@ def stream_alerts(events: DataFrame, metadata: Metadata, min_consecutive: int =
                   partitions: int | None = None) -> DataFrame:
     """Alerts with the same rows as ``sustained_alerts`` on the stored events.
 
-    ``buckets`` belongs to the checkpoint; a call serves one bucket, so large fleets
-    want more of them. ``partitions`` spreads a micro-batch over more, smaller tasks.
+    ``buckets`` belongs to the checkpoint; a call serves one bucket, so it bounds the
+    parallel work on the state. A sensor that does not report for ``ttl_ms`` is forgotten. ``partitions`` spreads a micro-batch over more, smaller tasks.
     """
     readings = as_reading(events, metadata)
     # One text column instead of eight, as each column costs every call of the state
@@ -185,7 +180,8 @@ def stream_alerts(events: DataFrame, metadata: Metadata, min_consecutive: int =
             F.unix_micros("event_time").alias("event_us")))).alias("reading"))
     alerts = reduce_blocks(slim, min_consecutive, block, buckets, partitions).groupBy(
         "bucket").transformWithStateInPandas(
-        SustainedAlerts(min_consecutive, cooldown_ms, ttl_ms), OUT, "Append", "None")
+        SustainedAlerts(min_consecutive, cooldown_ms, ttl_ms), OUT, "Append",
+        "None" if ttl_ms is None else "ProcessingTime")
     full = alerts.select("sensor_id", "seq", "consecutive_breaches",
                          F.from_json("reading", READING).alias("r"))
     return full.select("sensor_id", "seq", "consecutive_breaches", "r.*").withColumns({
