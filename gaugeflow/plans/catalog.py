@@ -404,9 +404,11 @@ def sensor_options(spark, sf_dir):
 @query
 def group_options(spark, sf_dir):
     """In the declared order, which the position shows."""
-    options = serving.option_list(A.sensor_events(spark, sf_dir), "group", A.groups(spark, sf_dir))
-    place = Window.orderBy(F.monotonically_increasing_id())
-    return options.select("option", F.row_number().over(place).alias("position"))
+    groups = A.groups(spark, sf_dir)
+    places = groups.rows.groupBy(F.col("group_name").alias("option")).agg(F.min("position").alias("place"))
+    options = serving.option_list(A.sensor_events(spark, sf_dir), "group", groups).join(places, "option")
+    # a list that people choose from: its rows fit one task
+    return options.select("option", F.row_number().over(Window.orderBy("place")).alias("position"))
 
 
 @query
@@ -635,6 +637,22 @@ def stored_latest_aggregates(spark, sf_dir):
     return results.stored_latest(spark, aggs, 5000, ["window_start", "sensor_id"])
 
 
+@query
+def stored_latest_alerts(spark, sf_dir):
+    """The newest alerts of the stored table; older dates are not opened."""
+    _, alerts = _stored(spark, sf_dir)
+    return results.stored_latest(spark, alerts, 50, ["seq"])
+
+
+@query
+def kpis_from_days(spark, sf_dir):
+    """Key figures over all dates, merged from one stored row per date."""
+    aggs, alerts = _stored(spark, sf_dir)
+    days = shared_dir(spark, "day-figures")
+    results.write_results(results.day_figures(spark.read.parquet(aggs), spark.read.parquet(alerts)), days)
+    return results.merged_figures(spark.read.parquet(days))
+
+
 @query
 def stored_kpis(spark, sf_dir):
     """Key figures of the newest date, read from its folder alone."""

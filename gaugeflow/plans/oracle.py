@@ -379,3 +379,6 @@ ORACLES: dict[str, str] = {
     "results_history": _with(EV, _windows("1 hour")) + f"""
       SELECT * FROM aggs WHERE event_date BETWEEN '{HISTORY[0]}' AND '{HISTORY[1]}'""",
 }
+
+ORACLES["stored_latest_alerts"] = ORACLES["latest_alerts"]
+ORACLES["kpis_from_days"] = ORACLES["kpis"]

@@ -28,3 +28,14 @@ def refuse_stream_output(spark: SparkSession, path: str) -> None:
 def delete_folder(spark: SparkSession, path: str) -> None:
     files, folder = _file_system(spark, path)
     files.delete(folder, True)
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a table's first partition column in order, from the names of its folders;
+    no file is listed or opened. A missing table has none."""
+    files, folder = _file_system(spark, path)
+    if not files.exists(folder):
+        return []
+    mark = f"{column}="
+    names = [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
+    return sorted(name[len(mark):] for name in names if name.startswith(mark))
