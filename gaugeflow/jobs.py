@@ -18,6 +18,7 @@ from gaugeflow.sources.events import BYTES_PER_TRIGGER, file_events, kafka_event
 from gaugeflow.sources.metadata import load_metadata
 from gaugeflow.streaming.aggregates import aggregate_job, stream_aggregates
 from gaugeflow.streaming.alerts import alert_job, stream_alerts
+from gaugeflow.streaming.durations import lasting_job
 from gaugeflow.streaming.results import publish_job, result_tables_job
 from gaugeflow.streaming.start import finish
 from gaugeflow.streaming.windows import windows_and_late_job
@@ -32,7 +33,7 @@ RECORDS_PER_TRIGGER = 5_000_000
 
 def arguments(args: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("job", choices=["aggregates", "windows-and-late", "alerts", "archive",
+    parser.add_argument("job", choices=["aggregates", "windows-and-late", "alerts", "lasting-alerts", "archive",
                                         "publish-aggregates", "publish-alerts", "tables"])
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers", help="addresses of the broker")
@@ -47,6 +48,8 @@ def arguments(args: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--metadata", default="metadata.json")
     parser.add_argument("--out", required=True)
     parser.add_argument("--checkpoint", required=True)
+    parser.add_argument("--min-seconds", type=int, default=60,
+                        help="how long a breach has to last (lasting-alerts)")
     parser.add_argument("--strict", action="store_true")
     parser.add_argument("--once", action="store_true", help="take what is there and stop")
     return parser.parse_args(args)
@@ -79,6 +82,9 @@ def start(spark: SparkSession, opts: argparse.Namespace, source: DataFrame) -> l
         return [aggregate_job(source, out, checkpoint, opts.strict, **kept)]
     if opts.job == "windows-and-late":
         return [windows_and_late_job(source, out, checkpoint, opts.strict, **kept)]
+    if opts.job == "lasting-alerts":
+        metadata = load_metadata(spark, opts.metadata)
+        return [lasting_job(source, metadata, opts.min_seconds, out, checkpoint, opts.strict, **kept)]
     if opts.job == "alerts":
         metadata = load_metadata(spark, opts.metadata)
         return [alert_job(source, metadata, out, checkpoint, opts.strict, **kept)]

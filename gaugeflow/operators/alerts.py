@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugeflow.operators.cooldown import suppress
 from gaugeflow.operators.enrich import mark_breaches
@@ -11,6 +11,8 @@ from gaugeflow.schema import ALERT, COOLDOWN_MS, MIN_CONSECUTIVE, UNKNOWN_ID
 from gaugeflow.sources.metadata import Metadata
 
 ALERT_COLUMNS = ALERT.names
+# what a row about a whole run tells of the run's first reading
+LASTING = ["value", "threshold", "sensor_type", "location"]
 
 
 def as_reading(events: DataFrame, metadata: Metadata) -> DataFrame:
@@ -50,3 +52,40 @@ def duration_alerts(events: DataFrame, metadata: Metadata, min_duration_s: int,
         F.min_by(F.struct(*[c for c in long_runs.columns if c not in ("sensor_id", "run_seq")]),
                  "seq").alias("row"))
     return _as_alert(first.select("sensor_id", "run_seq", "row.*"), "run_since")
+
+
+def lasting_rows(runs: DataFrame, min_duration_s: int) -> DataFrame:
+    """Runs as result rows, with the moment at which each had lasted long enough."""
+    due = F.timestamp_micros(F.unix_micros("run_since") + F.lit(min_duration_s * 1_000_000))
+    return runs.select(
+        "sensor_id", "run_seq", "run_since", due.alias("due_time"), "value", "threshold",
+        *[F.coalesce(c, F.lit(UNKNOWN_ID)).alias(c) for c in ("sensor_type", "location")],
+        F.to_date(due).alias("event_date"))
+
+
+def lasting_breaches(events: DataFrame, metadata: Metadata, min_duration_s: int,
+                     until: Column | None = None, block: int = BLOCK) -> DataFrame:
+    """One row per run of breaches that lasts ``min_duration_s`` seconds of event time, with or
+    without a breach at its end.
+
+    A value holds until the sensor's next reading in arrival order, so a run lasts from its
+    first reading to the one that ends it; a run that nothing has ended lasts until the
+    moment ``until`` (a literal), or its newest reading if none is given.
+    """
+    keys = ["sensor_id", "_block"]
+    rows = as_reading(events, metadata).withColumn("_block", F.expr(f"seq div {block}"))
+    heads = rows.groupBy(*keys).agg(F.min_by("event_time", "seq").alias("_head"))
+    after = heads.select(*keys, F.lead("_head").over(
+        Window.partitionBy("sensor_id").orderBy("_block")).alias("_next_head"))
+    here = Window.partitionBy(*keys).orderBy("seq")
+    held = rows.withColumn("_next", F.lead("event_time").over(here)).join(after, keys).withColumn(
+        "_next", F.coalesce("_next", "_next_head")).drop("_block", "_next_head")
+    runs = breach_runs(held, 1, block).groupBy("sensor_id", "run_seq", "run_since").agg(
+        F.min_by(F.struct(*LASTING), "seq").alias("first"),
+        F.max(F.greatest("event_time", "_next")).alias("last"),
+        F.bool_or(F.col("_next").isNull()).alias("open"))
+    if until is not None:
+        runs = runs.withColumn("last", F.when(F.col("open"), F.greatest("last", until)).otherwise(F.col("last")))
+    lasted = F.unix_micros("last") - F.unix_micros("run_since")
+    return lasting_rows(runs.where(lasted >= min_duration_s * 1_000_000).select(
+        "sensor_id", "run_seq", "run_since", "first.*"), min_duration_s)

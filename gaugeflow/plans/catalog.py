@@ -10,7 +10,7 @@ from gaugeflow import schema as S
 from gaugeflow.functions.display import alert_key, archive_folder
 from gaugeflow.functions.parsing import accepted, ingest_result, parse_events, rejected
 from gaugeflow.operators import serving
-from gaugeflow.operators.alerts import duration_alerts, sustained_alerts
+from gaugeflow.operators.alerts import duration_alerts, lasting_breaches, sustained_alerts
 from gaugeflow.operators.enrich import (
     enrich, mark_breaches, near_threshold, resolve_thresholds, with_unit)
 from gaugeflow.operators.lateness import late_counts, split_late
@@ -22,6 +22,7 @@ from gaugeflow.sources import archive, results
 from gaugeflow.sources.events import file_events, jsonl_events
 from gaugeflow.streaming.aggregates import stream_aggregates
 from gaugeflow.streaming.alerts import stream_alerts
+from gaugeflow.streaming.durations import stream_lasting_breaches
 from gaugeflow.streaming.start import finish, start_files
 from gaugeflow.streaming.windows import closed_windows, late_readings, windows_and_late
 
@@ -362,6 +363,26 @@ def duration_alerts_1h(spark, sf_dir):
     return duration_alerts(A.sensor_events(spark, sf_dir), A.metadata(spark, sf_dir), 3600)
 
 
+@query
+def lasting_breaches_1h(spark, sf_dir):
+    """Runs that last an hour, the open ones until 15 seconds before the newest event."""
+    events = A.sensor_events(spark, sf_dir)
+    newest = events.agg(F.max("event_time") - F.expr("INTERVAL 15 SECONDS")).first()[0]
+    until = F.lit(newest).cast("timestamp")
+    return lasting_breaches(events, A.metadata(spark, sf_dir), 3600, until)
+
+
+@query
+def lasting_breaches_stream(spark, sf_dir):
+    """The same from a stream in parts, with timers."""
+    events = A.sensor_events(spark, sf_dir)
+    last = events.agg(F.max("seq")).first()[0]
+    part = F.floor(F.col("seq") * PARTS / ((last or 0) + 1)).cast("int")
+    return _fed_in_parts(
+        spark, events.withColumn("part", part), "part",
+        lambda rows: stream_lasting_breaches(rows, A.metadata(spark, sf_dir), 3600, buckets=8), "lasting")
+
+
 # ---- serving ---------------------------------------------------------------
 
 @query

@@ -382,3 +382,15 @@ ORACLES: dict[str, str] = {
 
 ORACLES["stored_latest_alerts"] = ORACLES["latest_alerts"]
 ORACLES["kpis_from_days"] = ORACLES["kpis"]
+ORACLES["lasting_breaches_1h"] = _with(EV, RUNS, """held AS (
+  SELECT sensor_id, seq, lead(event_time) OVER (PARTITION BY sensor_id ORDER BY seq) AS next_time FROM marked),
+lasting AS (
+  SELECT sensor_id, run_seq, run_since,
+         max(greatest(event_time, coalesce(next_time, (SELECT max(event_time) - INTERVAL 15 SECOND FROM ev)))) AS last,
+         arg_min(value, seq) AS value, arg_min(threshold, seq) AS threshold,
+         arg_min(sensor_type, seq) AS sensor_type, arg_min(location, seq) AS location
+  FROM runs JOIN held USING (sensor_id, seq) GROUP BY ALL)""") + """
+  SELECT sensor_id, run_seq, run_since, run_since + INTERVAL 1 HOUR AS due_time, value, threshold,
+         sensor_type, location, (run_since + INTERVAL 1 HOUR)::DATE AS event_date
+  FROM lasting WHERE last - run_since >= INTERVAL 1 HOUR"""
+ORACLES["lasting_breaches_stream"] = ORACLES["lasting_breaches_1h"]
