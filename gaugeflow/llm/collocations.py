@@ -37,6 +37,8 @@ SHARD_BYTES = 6 << 20
 #: The ranges are cut at quantiles of the phrases of about so many documents, of which a task
 #: gives so many phrases, with words up to so many bytes. Results do not depend on the cuts.
 SAMPLE_DOCS, SAMPLE_PATHS, CUT_BYTES = 4000, 4096, 64
+#: Ranges per shuffle partition: a task unites one range at a time, and holds its parts.
+RANGES = 3
 #: Paths that are gathered before they are united.
 UNITE = 2_000_000
 #: Frequent phrases that one task looks up and scores.
@@ -310,7 +312,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_co
     """
     docs = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = min(1.0, SAMPLE_DOCS / max(docs.count(), 1))
     sample = materialize(docs.sample(share, seed=7).coalesce(4), "phrases-sample")
     counts, bounds, frequent = {}, {}, None
