@@ -49,6 +49,8 @@ RECALL = 0.999
 NODE_BLOCK = 4096
 GROUP_BLOCK = 1024
 GROUP_GRAMS = 400_000
+#: Keys (of some 100 bytes) that are broadcast.
+BROADCAST_KEYS = 200_000
 
 
 def prefix_depth(threshold: float, trees: int = TREES, depth: int = DEPTH,
@@ -365,8 +367,9 @@ def one_per_class(documents: DataFrame, **settings) -> DataFrame:
     """The document rows, with all their columns, that are kept: one of each class.
 
     Rows without words, null and empty texts among them, all stay, whatever their ids. Of
-    rows with equal id and text at most one stays, as they are one class. Only rows that a
-    filter of bounded size suspects to be dropped are moved; all others stay where they are.
+    rows with equal id and text at most one stays, as they are one class. Up to
+    ``BROADCAST_KEYS`` keys of dropped rows are broadcast, so that no text is moved; beyond
+    that, rows that a filter of bounded size suspects meet those keys by a shuffle.
     """
     ident, key, pair, gone_id, gone_key, stays = (free_name(n, documents.columns) for n in (
         "doc_key", "text_key", "pair_key", "gone_id", "gone_key", "one_stays"))
@@ -376,14 +379,29 @@ def one_per_class(documents: DataFrame, **settings) -> DataFrame:
     dropped = materialize(marked.groupBy(gone_id, gone_key).agg(
         F.bool_or("kept").alias(stays), F.bool_and("kept").alias("all_stay"))
         .where("NOT all_stay").drop("all_stay"), "forest-dropped")
-    pairs = dropped.select(F.xxhash64(gone_id, gone_key).alias("pair"))
-    held = documents.sparkSession.sparkContext.broadcast(build_filter(pairs, "pair").bits)
     keyed = documents.withColumns({
         ident: F.col("doc_id").cast("long"),
         key: F.coalesce(F.md5(F.col("text").cast("string").cast("binary")), F.lit(""))})
-    keyed = keyed.withColumn(pair, F.xxhash64(F.col(ident), F.col(key)))
+    same = F.col(ident).eqNullSafe(F.col(gone_id)) & (F.col(key) == F.col(gone_key))
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    if dropped.count() <= BROADCAST_KEYS:
+        suspects, clear = keyed.join(F.broadcast(dropped), same, "left"), None
+    else:
+        clear, suspects = _by_suspicion(keyed, dropped, pair, [ident, key], [gone_id, gone_key])
+        suspects = suspects.join(dropped, same, "left")
+    settled = suspects.where(F.col(stays).isNull()).select(*columns).unionByName(
+        suspects.where(stays).dropDuplicates([ident, key]).select(*columns))
+    return settled if clear is None else settled.unionByName(clear.select(*columns))
+
 
-    def suspected(wanted: bool):
+def _by_suspicion(rows: DataFrame, listed: DataFrame, pair: str, of_rows: list[str],
+                  of_listed: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows whose keys are surely not listed, and the others."""
+    keys = listed.select(F.xxhash64(*of_listed).alias("pair"))
+    held = rows.sparkSession.sparkContext.broadcast(build_filter(keys, "pair").bits)
+    keyed = rows.withColumn(pair, F.xxhash64(*of_rows))
+
+    def passing(wanted: bool):
         def run(batches):
             suspects = KeyFilter(held.value)
             for batch in batches:
@@ -391,10 +409,4 @@ def one_per_class(documents: DataFrame, **settings) -> DataFrame:
                 yield batch.filter(pa.array(hit == wanted))
         return keyed.mapInArrow(run, keyed.schema)
 
-    columns = [F.col(f"`{c}`") for c in documents.columns]
-    suspects = suspected(True).join(
-        dropped, F.col(ident).eqNullSafe(F.col(gone_id)) & (F.col(key) == F.col(gone_key)), "left")
-    never = F.col(stays).isNull()
-    settled = suspects.where(never).select(*columns).unionByName(
-        suspects.where(stays).dropDuplicates([ident, key]).select(*columns))
-    return suspected(False).select(*columns).unionByName(settled)
+    return passing(False), passing(True)

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from gaugeflow.llm import minhash_forest
 from gaugeflow.llm.components import connected_components
 from gaugeflow.llm.minhash_forest import jaccard_join, one_per_class, prefix_depth, sketch_groups
 from test_text_kernels import plain_words
@@ -100,7 +101,9 @@ def test_null_ids_only(spark):
     assert one_per_class(frame(spark, docs)).count() == 2
 
 
-def test_rows_that_the_join_keeps_all_stay(spark):
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_rows_that_the_join_keeps_all_stay(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(minhash_forest, "BROADCAST_KEYS", broadcast)
     docs = [(None, None), (None, None), (None, ""), (None, ""), (7, None), (7, None), (7, "a b c d e f"),
             (7, "a b c d e f"), (8, "a b c d e f"), (9, "--"), (9, "--"), (10, "one two"), (11, "one two three")]
     want = sum(r.kept for r in jaccard_join(frame(spark, docs)).collect())
