@@ -25,7 +25,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 from gaugeflow.llm import text as T
 from gaugeflow.llm.features import (
@@ -178,21 +178,23 @@ class ToxicityModel:
         kept = [c for c in documents.columns if c != column]
         learned = self.learned
         hidden = free_name("features", kept)
+        source = documents.select(*[F.col(f"`{c}`") for c in kept])
+        schema = type(source.schema)(list(source.schema.fields)).add(hidden, ArrayType(DoubleType()))
+        # a text that is a string goes through Arrow once, anything else beside its cast
+        place = next((i for i, f in enumerate(source.schema)
+                      if f.name.lower() == "text" and isinstance(f.dataType, StringType)), len(kept))
+        if place == len(kept):
+            source = source.withColumn(free_name("text_copy", kept), F.col("text").cast("string"))
 
         def run(batches):
             for batch in batches:
-                for block in T.blocks(batch.column(batch.num_columns - 1)):
+                for block in T.blocks(batch.column(place)):
                     part = batch.slice(block.first, block.rows)
                     rows = features(block, learned)
                     yield pa.record_batch(
-                        [part.column(i) for i in range(part.num_columns - 1)]
-                        + [pa.array(list(rows), pa.list_(pa.float64()))],
-                        names=part.schema.names[:-1] + [hidden])
-
-        text = free_name("text_copy", kept)
-        source = documents.select(*[F.col(f"`{c}`") for c in kept], F.col("text").cast("string").alias(text))
-        schema = documents.select(*[F.col(f"`{c}`") for c in kept]).schema
-        schema = type(schema)(list(schema.fields)).add(hidden, ArrayType(DoubleType()))
+                        [part.column(i) for i in range(len(kept))]
+                        + [pa.array(list(rows), pa.list_(pa.float64()))], names=schema.names)
+
         return self._apply(source.mapInArrow(run, schema), hidden, column).select(*[F.col(f"`{c}`") for c in kept], column)
 
     def _apply(self, df: DataFrame, hidden: str, column: str) -> DataFrame:
