@@ -19,10 +19,13 @@ from gaugeflow.operators.windows import window_aggregates
 from gaugeflow.plans import events_adapter as A
 from gaugeflow.session import materialize, shared_dir
 from gaugeflow.sources import archive, results
+from gaugeflow.sources.compaction import compact_archive, read_compacted_hours
 from gaugeflow.sources.events import file_events, jsonl_events
+from gaugeflow.sources.metadata import load_metadata
 from gaugeflow.streaming.aggregates import stream_aggregates
 from gaugeflow.streaming.alerts import stream_alerts
 from gaugeflow.streaming.durations import stream_lasting_breaches
+from gaugeflow.streaming.results import TABLES, result_tables_job
 from gaugeflow.streaming.start import finish, start_files
 from gaugeflow.streaming.windows import closed_windows, late_readings, windows_and_late
 
@@ -183,6 +186,31 @@ def breaches(spark, sf_dir):
         "breach").select("seq", "sensor_id", "value", "threshold", "severity")
 
 
+def _metadata_files(spark, sf_dir) -> str:
+    """Sensors and thresholds as metadata documents, a thousand sensors in each."""
+    out, data = shared_dir(spark, "metadata"), A.metadata(spark, sf_dir)
+
+    def section(name: str, rows: DataFrame, key: str, number: Column) -> DataFrame:
+        inside = F.struct(*[F.col(c) for c in rows.columns if c != key])
+        entries = F.map_from_entries(F.collect_list(F.struct(F.col(key), inside)))
+        return rows.groupBy(number.alias("number")).agg(entries.alias(name)).select(
+            F.to_json(F.struct(name)).alias("value"))
+
+    thousand = F.floor(F.substring_index("sensor_id", "-", -1).cast("long") / 1000)
+    documents = section("sensors", data.sensors.rows, "sensor_id", thousand).unionByName(
+        section("default_thresholds", data.thresholds.rows, "sensor_type", F.lit(0)))
+    documents.write.option("maxRecordsPerFile", 1).text(out)
+    return out
+
+
+@query
+def metadata_file_breaches(spark, sf_dir):
+    """Breaches by the thresholds that the metadata files hold."""
+    data = load_metadata(spark, _metadata_files(spark, sf_dir))
+    return mark_breaches(A.sensor_events(spark, sf_dir), data).filter("breach").select(
+        "seq", "sensor_id", "value", "threshold", "severity")
+
+
 @query
 def near_thresholds(spark, sf_dir):
     return near_threshold(A.sensor_events(spark, sf_dir), A.metadata(spark, sf_dir)).select(
@@ -561,18 +589,21 @@ def jsonl_without_time(spark, sf_dir):
     return rows
 
 
-def _archive(spark, sf_dir) -> str:
+def _archived_line() -> Column:
     """Whole events, broken ones, texts with line breaks and the mark, and missing ones."""
-    out = shared_dir(spark, "archive")
     kind = F.col("sensor_type")
     whole = F.format_string(
         '{"sensor_id":"%s","event_time":"%s","sensor_type":"%s","value":%s,"unit":"°C",'
         '"location":"%s","seq":%d,"other":null}', "sensor_id", "event_time_text", "sensor_type",
         F.col("value").cast("string"), "location", "seq")
-    line = (F.when(kind == "view", F.concat(F.lit('{"broken\r\n\n'), F.col("seq").cast("string")))
+    return (F.when(kind == "view", F.concat(F.lit('{"broken\r\n\n'), F.col("seq").cast("string")))
             .when(kind == "error", F.concat(F.lit("\u001e"), F.col("seq").cast("string"), F.lit("\n")))
             .when(kind == "signup", F.lit(None).cast("string")).otherwise(whole))
-    records = A.as_envelope(A.sensor_event_stream(spark, sf_dir), line)
+
+
+def _archive(spark, sf_dir) -> str:
+    out = shared_dir(spark, "archive")
+    records = A.as_envelope(A.sensor_event_stream(spark, sf_dir), _archived_line())
     finish(archive.archive_job(records, out, shared_dir(spark, "archive-checkpoint"),
                                interval=None))
     return out
@@ -593,6 +624,24 @@ def archive_counts(spark, sf_dir):
         "events_archived", F.col("last_object_key").rlike(archive.HOUR_FOLDER).alias("in_its_folder"))
 
 
+@query
+def archive_compacted(spark, sf_dir):
+    """Archived by several micro-batches, filed by day; the closed days compacted in two runs,
+    and all texts read from the store and the newest day."""
+    source, out, store, checkpoint = (shared_dir(spark, f"archive-{n}") for n in (
+        "source", "small", "store", "checkpoint"))
+    records = A.as_envelope(A.sensor_events(spark, sf_dir), _archived_line())
+    for part in range(PARTS):
+        records.where(F.col("offset") % PARTS == part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(records.schema).parquet(source)
+        finish(archive.archive_job(stream, out, checkpoint, interval=None,
+                                   at=F.date_trunc("day", "timestamp")))
+    compact_archive(spark, out, store, until=HISTORY[1].replace("-", "") + "00")
+    compact_archive(spark, out, store)
+    return read_compacted_hours(spark, out, store).select(
+        F.col("value").alias("line"), F.concat_ws("-", "year", "month", "day").alias("filed"))
+
+
 @query
 def archive_folders(spark, sf_dir):
     """Every event lies in the folder of the hour it was archived in."""
@@ -614,6 +663,20 @@ def results_split(spark, sf_dir):
         alerts.withColumn("topic", F.lit(S.ALERTS_TOPIC)), allowMissingColumns=True)
 
 
+@query
+def results_tables_stream(spark, sf_dir):
+    """Both result topics as one stream, kept as one table per topic and date."""
+    out, tables = shared_dir(spark, "topics"), shared_dir(spark, "tables")
+    aggs = results.to_records(_aggregates(spark, sf_dir, "1 hour"), S.AGGREGATES_TOPIC)
+    results.write_records(aggs.unionByName(_alert_records(spark, sf_dir)), out)
+    for stream in result_tables_job(file_events(spark, out, stream=True), tables,
+                                    shared_dir(spark, "tables-checkpoint"), interval=None):
+        finish(stream)
+    aggs, alerts = (spark.read.schema(schema).parquet(f"{tables}/{topic}").withColumn("topic", F.lit(topic))
+                    for topic, schema in TABLES.items())
+    return aggs.unionByName(alerts, allowMissingColumns=True)
+
+
 def _alert_records(spark, sf_dir) -> DataFrame:
     """JSON has no infinity: a sensor without a critical threshold has none in its record."""
     alerts = _alerts(spark, sf_dir, DAY_MS).withColumn(

@@ -394,3 +394,7 @@ lasting AS (
          sensor_type, location, (run_since + INTERVAL 1 HOUR)::DATE AS event_date
   FROM lasting WHERE last - run_since >= INTERVAL 1 HOUR"""
 ORACLES["lasting_breaches_stream"] = ORACLES["lasting_breaches_1h"]
+ORACLES["metadata_file_breaches"] = ORACLES["breaches"]
+ORACLES["results_tables_stream"] = ORACLES["results_split"]
+ORACLES["archive_compacted"] = ORACLES["archive_roundtrip"].replace(
+    "END AS line", "END AS line, strftime(event_time + INTERVAL 1 SECOND, '%Y-%m-%d') AS filed")

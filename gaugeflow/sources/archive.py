@@ -36,29 +36,31 @@ def from_line(line: Column) -> Column:
             .when(line.startswith(MARK), plain).otherwise(line))
 
 
-def archive_lines(envelope: DataFrame) -> DataFrame:
-    """Event texts as lines with their folder columns."""
+def archive_lines(envelope: DataFrame, at: Column | None = None) -> DataFrame:
+    """Event texts as lines with their folder columns; ``at`` is a time to file them under
+    other than that of archiving."""
     return envelope.select(as_line(F.col("value")).alias("value"),
-                           *archive_folder(F.current_timestamp()))
+                           *archive_folder(F.current_timestamp() if at is None else at))
 
 
 def archive_job(envelope: DataFrame, path: str, checkpoint: str,
                 interval: str | None = ARCHIVE_INTERVAL,
-                rows_per_file: int = ROWS_PER_FILE) -> StreamingQuery:
+                rows_per_file: int = ROWS_PER_FILE, at: Column | None = None) -> StreamingQuery:
     """Append a stream to the archive, once per interval; ``None`` takes what is there
     and stops. The source's cap per trigger is the size at which a batch ends before its
     time, and no file holds more than ``rows_per_file`` events."""
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return (archive_lines(envelope).writeStream.format("text").partitionBy(*FOLDERS)
+    return (archive_lines(envelope, at).writeStream.format("text").partitionBy(*FOLDERS)
             .option("maxRecordsPerFile", rows_per_file)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start(path))
 
 
-def archive_batch(envelope: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+def archive_batch(envelope: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE,
+                  at: Column | None = None) -> None:
     """Append stored records. A stream's own folder is refused, because its readers see
     only what the stream wrote."""
     refuse_stream_output(envelope.sparkSession, path)
-    (archive_lines(envelope).hint("rebalance", *FOLDERS).write.mode("append")
+    (archive_lines(envelope, at).hint("rebalance", *FOLDERS).write.mode("append")
      .option("maxRecordsPerFile", rows_per_file).partitionBy(*FOLDERS).text(path))
 
 

@@ -39,3 +39,11 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     mark = f"{column}="
     names = [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
     return sorted(name[len(mark):] for name in names if name.startswith(mark))
+
+
+def finished_folders(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Those partition values in order whose folder a finished job wrote; its mark comes last."""
+    files, folder = _file_system(spark, path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return [value for value in partition_values(spark, path, column)
+            if files.exists(at(at(folder, f"{column}={value}"), "_SUCCESS"))]
