@@ -25,6 +25,7 @@ from gaugeflow.sources.metadata import load_metadata
 from gaugeflow.streaming.aggregates import stream_aggregates
 from gaugeflow.streaming.alerts import stream_alerts
 from gaugeflow.streaming.durations import stream_lasting_breaches
+from gaugeflow.streaming.latest import latest_table, latest_table_job
 from gaugeflow.streaming.results import TABLES, result_tables_job
 from gaugeflow.streaming.start import finish, start_files
 from gaugeflow.streaming.windows import closed_windows, late_readings, windows_and_late
@@ -539,6 +540,20 @@ def latest_per_sensor(spark, sf_dir):
     return serving.latest_per(_aggregates(spark, sf_dir, "1 hour"), "sensor_id")
 
 
+@query
+def latest_per_sensor_stream(spark, sf_dir):
+    """The same as a table that a stream keeps; older rows come after newer ones, too."""
+    rows = _aggregates(spark, sf_dir, "1 hour")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("sensor_id", "window_start"), F.lit(PARTS)))
+    rows = materialize(rows, "results")
+    source, out, checkpoint = (shared_dir(spark, f"latest-{n}") for n in ("source", "table", "checkpoint"))
+    for part in range(PARTS):
+        rows.where(F.col("part") == part).drop("part").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.drop("part").schema).parquet(source)
+        finish(latest_table_job(stream, "sensor_id", out, checkpoint, interval=None))
+    return latest_table(spark, out, stream.schema)
+
+
 @query
 def latest_per_location(spark, sf_dir):
     return serving.latest_per(_aggregates(spark, sf_dir, "1 hour"), "location")

@@ -398,3 +398,4 @@ ORACLES["metadata_file_breaches"] = ORACLES["breaches"]
 ORACLES["results_tables_stream"] = ORACLES["results_split"]
 ORACLES["archive_compacted"] = ORACLES["archive_roundtrip"].replace(
     "END AS line", "END AS line, strftime(event_time + INTERVAL 1 SECOND, '%Y-%m-%d') AS filed")
+ORACLES["latest_per_sensor_stream"] = ORACLES["latest_per_sensor"]
