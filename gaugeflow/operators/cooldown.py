@@ -14,10 +14,14 @@ parallel:
   candidates within one cooldown of the block's beginning can be its first
   alert. The block is described by the last alert that follows from each.
 
-Linked blocks are described in parallel, the descriptions of a sensor are then
-chained in order, row by row, and all blocks replay their part in parallel. Blocks
-are read Arrow batch by Arrow batch: a replay holds one time, a description the
-possible first alerts of one cooldown, however many readings the block has.
+Linked blocks are described in parallel. A description is a step function from the last
+alert before a block to the last one after it, and two that follow each other compose to
+one of the same size. So descriptions of ``FANOUT`` neighbouring blocks are composed to one,
+round by round, until a sensor has no more than ``FANOUT``; the last alert before each of
+those is found, then, back through the rounds, the one before each block, and all blocks
+replay their part in parallel. Blocks are read Arrow batch by Arrow batch: a replay holds
+one time, a description the possible first alerts of one cooldown, however many readings
+the block has, and a task composes ``FANOUT`` descriptions at a time.
 """
 
 from __future__ import annotations
@@ -34,6 +38,10 @@ from gaugeflow.session import materialize
 
 MIN_BLOCK_MS = 3_600_000
 BATCH = 10_000
+# neighbouring blocks, or groups of them, that one task composes
+FANOUT = 32
+# the entry of a description that has one outcome, whatever came before
+ALWAYS = np.iinfo(np.int64).max
 
 
 def pick_alerts(times: np.ndarray, last: int, cooldown: int) -> np.ndarray:
@@ -48,7 +56,7 @@ def pick_alerts(times: np.ndarray, last: int, cooldown: int) -> np.ndarray:
 
 
 def suppress(candidates: DataFrame, cooldown_ms: int = COOLDOWN_MS,
-             block_ms: int | None = None) -> DataFrame:
+             block_ms: int | None = None, fanout: int = FANOUT) -> DataFrame:
     """The candidates that become alerts. Needs ``sensor_id``, ``seq``, ``event_ms``."""
     block_ms = block_ms or max(MIN_BLOCK_MS, 4 * cooldown_ms)
     keys = ["sensor_id", "_block"]
@@ -91,22 +99,7 @@ def suppress(candidates: DataFrame, cooldown_ms: int = COOLDOWN_MS,
                 block.add(cols["event_ms"])
             if block is not None:
                 yield block.row()
-        return _emit(rows(), ["sensor_id", "_block", "newest", "linked", "entry", "exit"])
-
-    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            sensor, last, after = None, 0, 0
-            for here, block, fresh, cols in _pieces(batches):
-                if fresh:
-                    last = after
-                    if here != sensor or not cols["linked"][0]:
-                        sensor, last = here, int(cols["newest"][0])
-                    after = last
-                    yield sensor, block, np.array([last])
-                at = np.searchsorted(cols["entry"], last + cooldown_ms, "right")
-                if after == last and at < len(cols["exit"]):
-                    after = int(cols["exit"][at])
-        return _emit(rows(), ["sensor_id", "_block", "last"])
+        return _emit(rows(), ["sensor_id", "_block", "newest", "entry", "exit"])
 
     def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -121,24 +114,122 @@ def suppress(candidates: DataFrame, cooldown_ms: int = COOLDOWN_MS,
 
     described = (rising.filter("describe").select(*keys, "seq", "event_ms", "newest", "linked")
                  .repartition(*keys).sortWithinPartitions(*keys, "seq")
-                 .mapInArrow(describe, "sensor_id string, _block long, newest long, "
-                                       "linked boolean, entry long, exit long"))
-    chained = (described.repartition("sensor_id").sortWithinPartitions(*keys, "entry")
-               .mapInArrow(chain, "sensor_id string, _block long, last long"))
+                 .mapInArrow(describe, DESCRIBED))
+    chained = last_before(materialize(described, "cooldown-blocks"), cooldown_ms, fanout)
     # an unlinked block starts anew whatever the last alert was
+    last = F.when(F.col("linked"), F.col("last")).otherwise(F.col("newest"))
     chosen = (rising.join(chained, keys, "left")
-              .select(*keys, "seq", "event_ms", F.coalesce("last", "newest").alias("last"))
+              .select(*keys, "seq", "event_ms", last.alias("last"))
               .repartition(*keys).sortWithinPartitions(*keys, "seq")
               .mapInArrow(replay, "sensor_id string, seq long"))
     return candidates.join(chosen, ["sensor_id", "seq"], "left_semi")
 
 
+DESCRIBED = "sensor_id string, _block long, newest long, entry long, exit long"
+
+
+def last_before(described: DataFrame, cooldown_ms: int, fanout: int = FANOUT) -> DataFrame:
+    """The last alert before each described block: ``sensor_id``, ``_block``, ``last``.
+
+    A sensor's first block, and any that is not linked, is described by one outcome
+    (``ALWAYS``); for these ``last`` has no meaning.
+    """
+    levels = compositions(described, cooldown_ms, fanout)
+    lasts = _walk(levels.pop().withColumns({"_group": F.lit(0).cast("long"),
+                                            "start": F.lit(0).cast("long")}), cooldown_ms)
+    while levels:
+        starts = lasts.select("sensor_id", F.col("_block").alias("_group"),
+                              F.col("last").alias("start"))
+        members = levels.pop().withColumn("_group", F.expr(f"_block div {fanout}"))
+        lasts = _walk(members.join(starts, ["sensor_id", "_group"]), cooldown_ms)
+    return lasts
+
+
+def compositions(described: DataFrame, cooldown_ms: int, fanout: int = FANOUT) -> list[DataFrame]:
+    """The descriptions of blocks, of groups of ``fanout`` blocks, of groups of those and so
+    on, until a sensor spans no more than ``fanout`` (2 at least). Each level is a stored table."""
+    def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            here = steps = None
+            for sensor, group, newest, entry, exit in _descriptions(batches):
+                if (sensor, group) != here:
+                    if here:
+                        yield steps.row(*here)
+                    here, steps = (sensor, group), _Steps(newest, entry, exit, cooldown_ms)
+                else:
+                    steps.then(entry, exit)
+            if here:
+                yield steps.row(*here)
+        return _emit(rows(), ["sensor_id", "_block", "newest", "entry", "exit"])
+
+    span = (described.groupBy("sensor_id").agg((F.max("_block") - F.min("_block")).alias("span"))
+            .agg(F.max("span")).first()[0] or 0)
+    levels = [described]
+    while span >= fanout:
+        span = -(-span // fanout)  # the most that it can be, wherever groups begin
+        grouped = levels[-1].withColumn("_group", F.expr(f"_block div {fanout}"))
+        levels.append(materialize(
+            grouped.repartition("sensor_id", "_group")
+            .sortWithinPartitions("sensor_id", "_group", "_block", "entry")
+            .mapInArrow(compose, DESCRIBED), "cooldown-groups"))
+    return levels
+
+
+def _walk(described: DataFrame, cooldown_ms: int) -> DataFrame:
+    """The last alert before each member of a group, from the one before the group."""
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            here, last, after = None, 0, 0
+            for sensor, block, fresh, cols in _pieces(batches):
+                if fresh:
+                    last = after
+                    if (sensor, cols["_group"][0]) != here:
+                        here, last = (sensor, cols["_group"][0]), int(cols["start"][0])
+                    after = last
+                    yield sensor, block, np.array([last])
+                if after == last:
+                    after = int(_outcome(cols["entry"], cols["exit"], np.array([last]), cooldown_ms)[0])
+        return _emit(rows(), ["sensor_id", "_block", "last"])
+
+    return (described.repartition("sensor_id", "_group")
+            .sortWithinPartitions("sensor_id", "_group", "_block", "entry")
+            .mapInArrow(walk, "sensor_id string, _block long, last long"))
+
+
+def _outcome(entry: np.ndarray, exit: np.ndarray, last: np.ndarray, cooldown: int) -> np.ndarray:
+    """The last alert after a description, for each last alert before it: the outcome of the
+    first entry beyond the cooldown, or the alert itself if there is none."""
+    at = np.searchsorted(entry, last + cooldown, "right")
+    return np.where(at < len(entry), np.append(exit, 0)[at], last)
+
+
+class _Steps:
+    """Descriptions of neighbours as one; its size stays that of one cooldown."""
+
+    def __init__(self, newest: int, entry: np.ndarray, exit: np.ndarray, cooldown: int):
+        self.newest, self.entry, self.exit, self.cooldown = newest, entry, exit, cooldown
+
+    def then(self, entry: np.ndarray, exit: np.ndarray) -> None:
+        # where the first ones raise no alert, the entries of the next decide
+        later = entry > self.entry[-1]
+        exits = np.append(_outcome(entry, exit, self.exit, self.cooldown), exit[later])
+        entries = np.append(self.entry, entry[later])
+        # the last alert before is no later than the newest candidate before
+        reach = int(np.searchsorted(entries, self.newest + self.cooldown, "right")) + 1
+        entries, exits = entries[:reach], exits[:reach]
+        latest = np.append(exits[1:] != exits[:-1], True)
+        self.entry, self.exit = entries[latest], exits[latest]
+
+    def row(self, sensor: str, group: int) -> tuple:
+        return sensor, group, self.newest, self.entry, self.exit
+
+
 class _Outcomes:
     """Follows every possible first alert of a block to the last alert it leads to."""
 
     def __init__(self, sensor: str, block: int, newest: int, linked: bool, cooldown: int):
-        self.head = (sensor, block, newest, linked)
-        self.cooldown = cooldown
+        self.head = (sensor, block, newest)
+        self.linked, self.cooldown = linked, cooldown
         self.entries = self.at = np.zeros(0, np.int64)
         self.top, self.limit, self.complete = -1, None, False
 
@@ -162,10 +253,31 @@ class _Outcomes:
             moving = moving[self.at[moving] < self.top - self.cooldown]
 
     def row(self) -> tuple:
+        if not self.linked:  # its first candidate is an alert
+            return (*self.head, np.array([ALWAYS])[:len(self.at)], self.at[:1])
         latest = np.append(self.at[1:] != self.at[:-1], True) if len(self.at) else np.zeros(0, bool)
         return (*self.head, self.entries[latest], self.at[latest])
 
 
+def _descriptions(batches: Iterator[pa.RecordBatch]
+                  ) -> Iterator[tuple[str, int, int, np.ndarray, np.ndarray]]:
+    """Whole descriptions with their group, sorted; each holds one cooldown at most."""
+    held, parts = None, []
+
+    def whole():
+        return (*held, *(np.concatenate([p[c] for p in parts]) for c in ("entry", "exit")))
+
+    for sensor, _, fresh, cols in _pieces(batches):
+        if fresh and parts:
+            yield whole()
+            parts = []
+        if fresh:
+            held = (sensor, int(cols["_group"][0]), int(cols["newest"][0]))
+        parts.append(cols)
+    if parts:
+        yield whole()
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]
             ) -> Iterator[tuple[str, int, bool, dict[str, np.ndarray]]]:
     """Sorted batches as pieces of one (sensor, block) each; the first piece of a block is marked."""

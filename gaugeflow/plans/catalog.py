@@ -30,6 +30,7 @@ from gaugeflow.streaming.results import TABLES, result_tables_job
 from gaugeflow.streaming.start import finish, start_files
 from gaugeflow.streaming.windows import closed_windows, late_readings, windows_and_late
 
+UNBROKEN_FROM, UNBROKEN_COOLDOWN = 1_704_067_200_000, 1_000_003
 DAY_MS = 86_400_000
 PARTS = 3
 LATE_SIZE = "6 hours"
@@ -363,6 +364,17 @@ def sustained_alerts_disorder(spark, sf_dir):
                             cooldown_ms=DAY_MS)
 
 
+@query
+def sustained_alerts_unbroken(spark, sf_dir):
+    """All events as readings of one sensor that never falls below its threshold nor rests for
+    as long as the cooldown, so that every block of time depends on the one before."""
+    at = F.timestamp_millis(F.lit(UNBROKEN_FROM) + F.col("seq") * 100_000 + F.col("seq") * 37 % 101 * 1500)
+    events = A.sensor_events(spark, sf_dir).withColumns({
+        "sensor_id": F.lit("hot"), "sensor_type": F.lit("click"), "value": F.lit(70.0),
+        "event_time": at, "event_time_text": F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")})
+    return sustained_alerts(events, A.metadata(spark, sf_dir), cooldown_ms=UNBROKEN_COOLDOWN)
+
+
 def _alert_stream(spark, sf_dir, cooldown_ms: int) -> DataFrame:
     rows = stream_alerts(A.sensor_event_stream(spark, sf_dir), A.metadata(spark, sf_dir),
                          cooldown_ms=cooldown_ms)

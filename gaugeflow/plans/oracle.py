@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from gaugeflow.plans import events_adapter as A
 from gaugeflow.plans.catalog import (
-    DAY_MS, FORM_TIMES, FORM_VALUES, HISTORY, LATE_SIZE, PARTS, PIVOT_IDS, VIEW_GROUP, VIEW_SENSOR, VIEW_TYPE)
+    DAY_MS, FORM_TIMES, FORM_VALUES, HISTORY, LATE_SIZE, PARTS, PIVOT_IDS, UNBROKEN_COOLDOWN,
+    UNBROKEN_FROM, VIEW_GROUP, VIEW_SENSOR, VIEW_TYPE)
 
 _TYPE_ROWS = ", ".join(f"('{t}', {w}::DOUBLE, {c}::DOUBLE)" for t, w, c in A.TYPE_THRESHOLDS)
 _UNIT_ROWS = ", ".join(f"('{t}', '{label}', '{unit}')" for t, label, unit in A.TYPE_UNITS)
@@ -20,6 +21,14 @@ EV = f"""ev AS (
 MOVED = EV.replace("event_id AS seq", "(event_id + event_id * 37 % 101) * 1000 "
                    "+ event_id % 1000 AS seq")
 
+# the same events as readings of one sensor without a pause
+UNBROKEN = f"""{EV.replace("ev AS", "own AS", 1)},
+ev AS (
+  SELECT 'hot' AS sensor_id, moment AS event_time, 'click' AS sensor_type, 70.0::DOUBLE AS value,
+         location, seq, user_id, strftime(moment, '%Y-%m-%dT%H:%M:%S.%f') AS iso
+  FROM (SELECT *, make_timestamp(({UNBROKEN_FROM} + seq * 100000 + seq * 37 % 101 * 1500) * 1000) AS moment
+        FROM own))"""
+
 SENSORS = f"""types(sensor_type, warning, critical) AS (VALUES {_TYPE_ROWS}),
 sensors AS (
   SELECT printf('sensor-%04d', s_suppkey) AS sensor_id,
@@ -238,6 +247,8 @@ ORACLES: dict[str, str] = {
     "sustained_alerts_1d": _with(_alerts(DAY_MS), recursive=True) + "SELECT * FROM alerts",
     "sustained_alerts_disorder": _with(_alerts(DAY_MS, MOVED), recursive=True)
         + "SELECT * FROM alerts",
+    "sustained_alerts_unbroken": _with(_alerts(UNBROKEN_COOLDOWN, UNBROKEN), recursive=True)
+        + "SELECT * FROM alerts",
     "sustained_alerts_stream": _with(_alerts(30_000), recursive=True) + "SELECT * FROM alerts",
     "sustained_alerts_stream_1d": _with(_alerts(DAY_MS), recursive=True) + "SELECT * FROM alerts",
     "sustained_alerts_hot_stream": f"""

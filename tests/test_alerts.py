@@ -7,7 +7,8 @@ from hypothesis import given, settings, strategies as st
 from model import alerts_of, runs_of
 
 from gaugeflow.operators.alerts import duration_alerts, sustained_alerts
-from gaugeflow.operators.cooldown import _Outcomes, pick_alerts
+from gaugeflow.operators.cooldown import (
+    _outcome, _Outcomes, _Steps, compositions, pick_alerts, suppress)
 from gaugeflow.operators.enrich import mark_breaches
 from gaugeflow.operators.runs import breach_runs
 
@@ -65,6 +66,20 @@ def test_alerts_across_blocks(spark, seed, cooldown, block, block_ms):
     assert len(got) == len(want)
 
 
+@pytest.mark.parametrize("seed,cooldown,block_ms,fanout", [
+    (11, 30_000, 7_000, 2), (12, 5_000, 3_000, 3), (13, 60_000, 20_000, 2), (14, 1_000, 500, 4)])
+def test_alerts_through_rounds_of_composition(spark, seed, cooldown, block_ms, fanout):
+    """Several sensors with pauses and readings out of order, over many small blocks."""
+    rng = random.Random(seed)
+    times = [max(0, int(seq * 900 + rng.uniform(-20_000, 20_000) + (seq // 90) * 70_000))
+             for seq in range(500)]
+    rows = [(rng.choice("aab"), seq, t) for seq, t in enumerate(times)]
+    candidates = spark.createDataFrame(rows, "sensor_id string, seq long, event_ms long")
+    got = suppress(candidates, cooldown, block_ms, fanout).collect()
+    want = alerts_of([(*r, True) for r in rows], min_consecutive=1, cooldown_ms=cooldown)
+    assert sorted((r.sensor_id, r.seq) for r in got) == sorted(want)
+
+
 def test_one_sensor_that_never_stops(spark):
     rows = [event("hot", i, i * 0.5, 90) for i in range(3000)]
     got = sustained_alerts(events(spark, rows), metadata(spark), block=100, block_ms=60_000)
@@ -72,6 +87,54 @@ def test_one_sensor_that_never_stops(spark):
         plain(rows))
 
 
+def test_a_reading_every_millisecond(spark):
+    """Blocks are composed in rounds; the last alert before each is found through all of them."""
+    times = np.arange(1_000, 31_000)
+    rows = spark.range(1_000, 31_000).selectExpr("'a' AS sensor_id", "id AS seq", "id AS event_ms")
+    got = {r.seq for r in suppress(rows, cooldown_ms=40, block_ms=100, fanout=4).collect()}
+    assert got == set(times[pick_alerts(times, 0, 40)].tolist())
+
+
+def test_groups_of_blocks_stay_small(spark):
+    """Each level has a quarter of the last one's rows, and no group more than one cooldown's."""
+    cooldown, blocks = 40, 300
+    rows = spark.range(blocks * 41).selectExpr(
+        "'a' AS sensor_id", "id div 41 + 7 AS _block", "(id div 41) * 100 + 99 AS newest",
+        "(id div 41) * 100 + 100 + id % 41 AS entry", "(id div 41) * 100 + 182 + id % 41 * 17 % 18 AS exit")
+    rows = rows.selectExpr("sensor_id", "_block", "newest", "entry",
+                           "max(exit) OVER (PARTITION BY _block ORDER BY entry) AS exit")
+    levels = compositions(rows, cooldown, 4)
+    sizes = [level.count() for level in levels]
+    assert len(levels) == 5 and all(b <= a / 4 + 2 * 41 for a, b in zip(sizes, sizes[1:]))
+    for level in levels:
+        assert level.groupBy("_block").count().agg({"count": "max"}).first()[0] <= cooldown + 1
+    assert levels[-1].select("_block").distinct().count() <= 4
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 60), min_size=2, max_size=80), st.integers(0, 90),
+       st.lists(st.integers(1, 79), max_size=4), st.integers(0, 90))
+def test_composed_blocks(gaps, cooldown, cuts, back):
+    """Any cut into blocks gives, composed, the last alert that follows from one before."""
+    times = 10_000 + np.cumsum(np.array(gaps, dtype=np.int64))
+    newest = 10_000
+    parts = [p for p in np.split(times, sorted({c for c in cuts if c < len(times)})) if len(p)]
+    steps = None
+    for part in parts:
+        block = _Outcomes("a", 0, newest, True, cooldown)
+        block.add(part)
+        entry, exit = block.row()[-2:]
+        if steps is None:
+            steps = _Steps(newest, entry, exit, cooldown)
+        else:
+            steps.then(entry, exit)
+    last = newest - min(back, cooldown)  # no more than a cooldown before the newest candidate
+    picked = pick_alerts(times, last, cooldown)
+    want = int(times[picked[-1]]) if len(picked) else last
+    assert int(_outcome(steps.entry, steps.exit, np.array([last]), cooldown)[0]) == want
+    assert len(steps.entry) <= cooldown + 1
+
+
 def test_thresholds(spark):
     own = ("own", None, None, "g", None, 20.0, None)
     bare = ("bare", "vibration", None, None, "d", None, None)
