@@ -67,22 +67,7 @@ def suppress(candidates: DataFrame, cooldown_ms: int = COOLDOWN_MS,
              .groupBy("sensor_id", "event_ms").agg(F.min("seq").alias("seq"))
              .withColumn("_block", F.expr(f"event_ms div {block_ms}")))
     first = materialize(first, "cooldown")  # three of the steps below read it
-    order = Window.partitionBy("sensor_id").orderBy("_block")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(1, Window.unboundedFollowing)
-    blocks = first.groupBy(*keys).agg(
-        F.min("seq").alias("arrival"), F.min("event_ms").alias("begin"),
-        F.max("event_ms").alias("end"),
-    ).withColumn("later_arrival", F.min("arrival").over(after))
-    # older than something in a later block that arrived before it: never an alert
-    blocks = blocks.filter(F.col("later_arrival").isNull()
-                           | (F.col("arrival") < F.col("later_arrival")))
-    blocks = blocks.withColumn("newest", F.coalesce(F.max("end").over(before), F.lit(0)))
-    blocks = blocks.withColumn("linked", F.col("begin") - F.col("newest") <= cooldown_ms)
-    blocks = blocks.select(
-        *keys, "later_arrival", "newest", "linked",
-        (F.col("linked") | F.coalesce(F.lead("linked").over(order), F.lit(False)))
-        .alias("describe"))
+    blocks = materialize(order_blocks(first, cooldown_ms), "cooldown-order")  # read twice
     rising = first.join(blocks, keys).filter(
         F.col("later_arrival").isNull() | (F.col("seq") < F.col("later_arrival")))
 
@@ -112,19 +97,50 @@ def suppress(candidates: DataFrame, cooldown_ms: int = COOLDOWN_MS,
                 yield sensor, cols["seq"][picked]
         return _emit(rows(), ["sensor_id", "seq"])
 
-    described = (rising.filter("describe").select(*keys, "seq", "event_ms", "newest", "linked")
-                 .repartition(*keys).sortWithinPartitions(*keys, "seq")
-                 .mapInArrow(describe, DESCRIBED))
+    described = _together(
+        rising.filter("describe").select(*keys, "seq", "event_ms", "newest", "linked"),
+        keys, "seq").mapInArrow(describe, DESCRIBED)
     chained = last_before(materialize(described, "cooldown-blocks"), cooldown_ms, fanout)
     # an unlinked block starts anew whatever the last alert was
     last = F.when(F.col("linked"), F.col("last")).otherwise(F.col("newest"))
-    chosen = (rising.join(chained, keys, "left")
-              .select(*keys, "seq", "event_ms", last.alias("last"))
-              .repartition(*keys).sortWithinPartitions(*keys, "seq")
-              .mapInArrow(replay, "sensor_id string, seq long"))
+    chosen = _together(
+        rising.join(chained, keys, "left").select(*keys, "seq", "event_ms", last.alias("last")),
+        keys, "seq").mapInArrow(replay, "sensor_id string, seq long")
     return candidates.join(chosen, ["sensor_id", "seq"], "left_semi")
 
 
+def _together(rows: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """Rows of equal keys in one task, sorted. They are dealt by a hash of their own: Spark drops
+    a repartition by the keys of the join below it, and loses that join's partitioning where it
+    turns the join into a broadcast while running."""
+    return rows.repartition(F.xxhash64(*keys)).sortWithinPartitions(*keys, *order)
+
+
+def order_blocks(first: DataFrame, cooldown_ms: int) -> DataFrame:
+    """The blocks that can hold alerts, each with the first arrival in any later block, the
+    newest time in any earlier one, and whether it is linked or described."""
+    keys = ["sensor_id", "_block"]
+    order = Window.partitionBy("sensor_id").orderBy("_block")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    # In falling order, as Spark adds to a frame that grows but folds one that shrinks anew
+    # for every row.
+    after = (Window.partitionBy("sensor_id").orderBy(F.desc("_block"))
+             .rowsBetween(Window.unboundedPreceding, -1))
+    blocks = first.groupBy(*keys).agg(
+        F.min("seq").alias("arrival"), F.min("event_ms").alias("begin"),
+        F.max("event_ms").alias("end"),
+    ).withColumn("later_arrival", F.min("arrival").over(after))
+    # older than something in a later block that arrived before it: never an alert
+    blocks = blocks.filter(F.col("later_arrival").isNull()
+                           | (F.col("arrival") < F.col("later_arrival")))
+    blocks = blocks.withColumn("newest", F.coalesce(F.max("end").over(before), F.lit(0)))
+    blocks = blocks.withColumn("linked", F.col("begin") - F.col("newest") <= cooldown_ms)
+    return blocks.select(
+        *keys, "later_arrival", "newest", "linked",
+        (F.col("linked") | F.coalesce(F.lead("linked").over(order), F.lit(False)))
+        .alias("describe"))
+
+
 DESCRIBED = "sensor_id string, _block long, newest long, entry long, exit long"
 
 
@@ -169,8 +185,7 @@ def compositions(described: DataFrame, cooldown_ms: int, fanout: int = FANOUT) -
         span = -(-span // fanout)  # the most that it can be, wherever groups begin
         grouped = levels[-1].withColumn("_group", F.expr(f"_block div {fanout}"))
         levels.append(materialize(
-            grouped.repartition("sensor_id", "_group")
-            .sortWithinPartitions("sensor_id", "_group", "_block", "entry")
+            _together(grouped, ["sensor_id", "_group"], "_block", "entry")
             .mapInArrow(compose, DESCRIBED), "cooldown-groups"))
     return levels
 
@@ -191,8 +206,7 @@ def _walk(described: DataFrame, cooldown_ms: int) -> DataFrame:
                     after = int(_outcome(cols["entry"], cols["exit"], np.array([last]), cooldown_ms)[0])
         return _emit(rows(), ["sensor_id", "_block", "last"])
 
-    return (described.repartition("sensor_id", "_group")
-            .sortWithinPartitions("sensor_id", "_group", "_block", "entry")
+    return (_together(described, ["sensor_id", "_group"], "_block", "entry")
             .mapInArrow(walk, "sensor_id string, _block long, last long"))
 
 

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -8,7 +9,7 @@ from model import alerts_of, runs_of
 
 from gaugeflow.operators.alerts import duration_alerts, sustained_alerts
 from gaugeflow.operators.cooldown import (
-    _outcome, _Outcomes, _Steps, compositions, pick_alerts, suppress)
+    _outcome, _Outcomes, _Steps, compositions, order_blocks, pick_alerts, suppress)
 from gaugeflow.operators.enrich import mark_breaches
 from gaugeflow.operators.runs import breach_runs
 
@@ -95,6 +96,31 @@ def test_a_reading_every_millisecond(spark):
     assert got == set(times[pick_alerts(times, 0, 40)].tolist())
 
 
+def test_many_blocks_of_one_sensor_are_ordered_in_linear_time(spark):
+    """Looking back and ahead from each of 80,000 blocks; one by one that is 3 billion steps."""
+    rows = spark.range(80_000).selectExpr(
+        "'a' AS sensor_id", "CASE WHEN id % 1000 = 0 THEN id + 1500 ELSE id END AS seq",
+        "id * 10 + 100 AS event_ms", "id AS _block")
+    started = time.monotonic()
+    got = order_blocks(rows, 10).orderBy("_block").toPandas()
+    assert time.monotonic() - started < 25
+    # the first of each thousand arrives after later ones, save the last one
+    assert len(got) == 80_000 - 80
+    assert got["newest"].iloc[0] == 0 and (got["newest"].iloc[1:] <= got["_block"].iloc[1:] * 10 + 90).all()
+    assert got["later_arrival"].iloc[:-1].notna().all() and got["later_arrival"].isna().iloc[-1]
+    assert (got["later_arrival"].iloc[:-1] > got["_block"].iloc[:-1]).all()
+
+
+def test_blocks_stay_whole_when_a_join_becomes_a_broadcast(spark):
+    """One unbroken sensor over thousands of blocks whose order is a table small enough to send."""
+    seqs = np.arange(100_000)
+    times = 1_000_000 + seqs * 1_000 + seqs * 37 % 101 * 15
+    rows = spark.range(0, 100_000, 1, 8).selectExpr(
+        "'a' AS sensor_id", "id AS seq", "1000000 + id * 1000 + id * 37 % 101 * 15 AS event_ms")
+    got = sorted(r.seq for r in suppress(rows, cooldown_ms=10_003, block_ms=40_012).collect())
+    assert got == pick_alerts(times, 0, 10_003).tolist()
+
+
 def test_groups_of_blocks_stay_small(spark):
     """Each level has a quarter of the last one's rows, and no group more than one cooldown's."""
     cooldown, blocks = 40, 300
