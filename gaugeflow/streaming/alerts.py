@@ -11,11 +11,16 @@ A micro-batch is reduced before it reaches the state. Its readings are spread by
 still become alerts, and how the open run stands at its end. Of those breaches the
 ones are left out that are no later than an earlier sure one, for whether that one
 alerts or is suppressed, they are suppressed. A sensor that sends a third of the
-data is therefore worked on by many tasks, and its state sees one row per block.
+data is therefore worked on by many tasks, and its state sees one row per block. Blocks are
+dealt to slots, which Spark sorts on disk if need be, and Python holds one slot at a time. The
+state function takes blocks as they come, lets large ones wait in a file of its own, and
+follows a sensor's blocks one after the other.
 """
 
 from __future__ import annotations
 
+import pickle
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +42,10 @@ from gaugeflow.streaming.start import start_files
 # readings of a sensor that one task sorts, and states that are kept together
 STREAM_BLOCK = 1 << 16
 BUCKETS = 256
+# groups of blocks that Python reduces one at a time
+SLOTS = 4096
+# possible alerts of a block that waits in memory, bytes of waiting blocks in memory, alerts put out at once
+SMALL, SPOOL_BYTES, CHUNK = 64, 1 << 24, 10_000
 OUT = StructType([StructField("sensor_id", StringType()), StructField("seq", LongType()),
                   StructField("consecutive_breaches", IntegerType()),
                   StructField("reading", StringType())])
@@ -58,16 +67,12 @@ def reduce_blocks(readings: DataFrame, min_consecutive: int, block: int, buckets
 
     ``runs`` counts breaches since the block's last normal reading; ``opens`` tells
     that there was none, so an earlier run goes on. A stream cannot be sorted by
-    Spark, so a task sorts its share of the micro-batch: its part of the source's cap
-    (records of the broker, bytes of files), but never more than ``block`` readings of one
-    sensor for one block.
+    Spark, so Python sorts the blocks of one slot at a time: of ``SLOTS`` parts of the
+    micro-batch one, with never more than ``block`` readings of one sensor for one block.
     """
 
-    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        share = [b for b in batches if b.num_rows]
-        if not share:
-            return
-        rows = pa.Table.from_batches(share).sort_by(
+    def reduce(share: pa.Table) -> pa.Table:
+        rows = share.sort_by(
             [("sensor_id", "ascending"), ("_block", "ascending"), ("seq", "ascending")])
         size = len(rows)
         names, blocks = rows.column("sensor_id"), rows.column("_block")
@@ -95,7 +100,7 @@ def reduce_blocks(readings: DataFrame, min_consecutive: int, block: int, buckets
             return pa.ListArray.from_arrays(pa.array(bounds), values)
 
         heads = rows.take(last)
-        table = pa.table({
+        return pa.table({
             "bucket": heads.column("_bucket"), "sensor_id": heads.column("sensor_id"),
             "block": heads.column("_block"), "tail_run": pa.array(run[last]),
             "tail_open": pa.array(is_open[last]),
@@ -103,14 +108,36 @@ def reduce_blocks(readings: DataFrame, min_consecutive: int, block: int, buckets
             "times": lists(pa.array(times[kept])), "runs": lists(pa.array(run[kept])),
             "opens": lists(pa.array(is_open[kept])),
             "readings": lists(some.column("reading").combine_chunks())})
-        yield from table.to_batches(max_chunksize=1_000)
 
     spread = readings.withColumns({
         "_block": F.expr(f"seq div {block}"),
-        "_bucket": F.pmod(F.xxhash64("sensor_id"), F.lit(buckets).cast("long"))})
-    dealt = (spread.repartition(partitions, "sensor_id", "_block") if partitions
-             else spread.repartition("sensor_id", "_block"))
-    return dealt.mapInArrow(reduce, BLOCK_ROW)
+        "_bucket": F.pmod(F.xxhash64("sensor_id"), F.lit(buckets).cast("long"))}).withColumn(
+        "_slot", F.pmod(F.xxhash64("sensor_id", "_block"), F.lit(SLOTS)))
+    if partitions:
+        spread = spread.repartition(partitions, "_slot")
+    return spread.groupBy("_slot").applyInArrow(reduce, BLOCK_ROW)
+
+
+class _Waiting:
+    """The blocks of one call until all have come; large ones are written to ``file``."""
+
+    def __init__(self, file):
+        self._file, self._blocks = file, []
+
+    def add(self, row: tuple) -> None:
+        _, sensor, block, *rest = row
+        if len(rest[2]) > SMALL:
+            at = self._file.tell()
+            pickle.dump(rest, self._file, pickle.HIGHEST_PROTOCOL)
+            rest = at
+        self._blocks.append((sensor, block, rest))
+
+    def in_order(self) -> Iterator[tuple[str, list]]:
+        for sensor, _, rest in sorted(self._blocks, key=lambda held: held[:2]):
+            if isinstance(rest, int):
+                self._file.seek(rest)
+                rest = pickle.load(self._file)
+            yield sensor, rest
 
 
 class SustainedAlerts(StatefulProcessor):
@@ -125,36 +152,59 @@ class SustainedAlerts(StatefulProcessor):
         self._sensors = handle.getMapState("sensors", SENSOR, STATE, self._ttl)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        blocks = pd.concat(list(rows), ignore_index=True).sort_values(["sensor_id", "block"])
-        found = []
-        for sensor, mine in blocks.groupby("sensor_id", sort=False):
-            before = self._sensors.getValue((sensor,))
-            carry, last = before or (0, 0)
-            for row in mine.itertuples(index=False):
-                carry, last = self._follow(row, carry, last, found)
-            # a sensor without a run and without an alert is like an unknown one
-            if carry or last:
-                self._sensors.updateValue((sensor,), (carry, last))
-            elif before:
-                self._sensors.removeKey((sensor,))
-        if found:
-            yield pd.concat(found, ignore_index=True)
-
-    def _follow(self, row, carry: int, last: int, found: list[pd.DataFrame]) -> tuple[int, int]:
-        """One block: its alerts, the run at its end and the time of the last alert."""
+        with tempfile.SpooledTemporaryFile(SPOOL_BYTES) as file:
+            blocks = _Waiting(file)
+            for part in rows:
+                for row in part.itertuples(index=False, name=None):
+                    if row[1] is not None:
+                        blocks.add(row)
+            found, size, here, before, carry, last = [], 0, None, None, 0, 0
+            for sensor, block in blocks.in_order():
+                if sensor != here:
+                    self._keep(here, before, carry, last)
+                    here, before = sensor, self._sensors.getValue((sensor,))
+                    carry, last = before or (0, 0)
+                carry, last, alerts = self._follow(block, carry, last)
+                if alerts:
+                    found.append((sensor, *alerts))
+                    size += len(alerts[0])
+                if size >= CHUNK:
+                    yield self._frame(found)
+                    found, size = [], 0
+            self._keep(here, before, carry, last)
+            if found:
+                yield self._frame(found)
+
+    def _keep(self, sensor: str | None, before, carry: int, last: int) -> None:
+        # a sensor without a run and without an alert is like an unknown one
+        if carry or last:
+            self._sensors.updateValue((sensor,), (carry, last))
+        elif before:
+            self._sensors.removeKey((sensor,))
+
+    def _follow(self, block: list, carry: int, last: int) -> tuple[int, int, tuple | None]:
+        """One block: the run at its end, the time of the last alert, and its alerts."""
+        tail_run, tail_open, seqs, times, runs, opens, readings = block
         # readings before the block's first normal one continue the open run
-        runs = np.asarray(row.runs, np.int64) + np.where(np.asarray(row.opens, bool), carry, 0)
+        runs = np.asarray(runs, np.int64) + np.where(np.asarray(opens, bool), carry, 0)
         due = np.flatnonzero(runs >= self._min)
-        times = np.asarray(row.times, np.int64)[due]
+        times = np.asarray(times, np.int64)[due]
         picked = pick_alerts(times, last, self._cooldown)
+        alerts = None
         if len(picked):
             last = int(times[picked[-1]])
             at = due[picked]
-            found.append(pd.DataFrame({
-                "sensor_id": row.sensor_id, "seq": np.asarray(row.seqs, np.int64)[at],
-                "consecutive_breaches": runs[at].astype(np.int32),
-                "reading": np.asarray(row.readings, object)[at]}))
-        return int(row.tail_run) + (carry if row.tail_open else 0), last
+            alerts = (np.asarray(seqs, np.int64)[at], runs[at].astype(np.int32),
+                      np.asarray(readings, object)[at])
+        return int(tail_run) + (carry if tail_open else 0), last, alerts
+
+    @staticmethod
+    def _frame(found: list[tuple]) -> pd.DataFrame:
+        sensors, seqs, runs, readings = zip(*found)
+        return pd.DataFrame({
+            "sensor_id": np.repeat(np.array(sensors, object), [len(s) for s in seqs]),
+            "seq": np.concatenate(seqs), "consecutive_breaches": np.concatenate(runs),
+            "reading": np.concatenate(readings)})
 
     def close(self) -> None:
         pass

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+STATE_BATCH_BYTES = 1 << 24
+
 
 @contextmanager
 def query_conf(spark: SparkSession, **settings: str | None) -> Iterator[None]:
@@ -39,6 +41,8 @@ def start_files(rows: DataFrame, path: str, checkpoint: str, interval: str | Non
     with query_conf(
             rows.sparkSession,
             spark__sql__shuffle__partitions=str(state_partitions) if state_partitions else None,
+            # a state function gets rows by number and bytes, as some hold a block of readings
+            spark__sql__execution__arrow__maxBytesPerBatch=str(STATE_BATCH_BYTES),
             spark__sql__streaming__stateStore__providerClass=(
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")):
         return writer.trigger(**trigger).start(path)

@@ -1,7 +1,10 @@
 import json
 import os
 import random
+import tracemalloc
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from data import at, event, events, metadata
@@ -15,7 +18,8 @@ from gaugeflow.schema import AGGREGATES_TOPIC, ALERT, ALERTS_TOPIC
 from gaugeflow.sources import archive
 from gaugeflow.sources.events import file_events
 from gaugeflow.streaming.aggregates import aggregate_job, stream_aggregates
-from gaugeflow.streaming.alerts import alert_job, reduce_blocks, stream_alerts
+from gaugeflow.streaming.alerts import (
+    BLOCK_ROW, SustainedAlerts, alert_job, reduce_blocks, stream_alerts)
 from gaugeflow.streaming.progress import ProgressCounters
 from gaugeflow.streaming.results import publish_job, result_tables_job
 from gaugeflow.streaming.start import finish
@@ -113,6 +117,54 @@ def test_a_hot_sensor_sends_one_row_per_block(spark):
     assert sum(len(r.seqs) for r in got) < 640
 
 
+def test_python_reduces_one_slot_of_blocks_at_a_time(spark, capsys):
+    rows = [event("hot", i, i * 0.5, 90) for i in range(900)]
+    slim = events(spark, rows).select(
+        "sensor_id", "seq", F.unix_millis("event_time").alias("event_ms"),
+        F.lit(True).alias("breach"), F.lit("{}").alias("reading"))
+    blocks = reduce_blocks(slim, 3, 100, 8, partitions=1)
+    blocks.explain()
+    assert "FlatMapGroupsInArrow" in capsys.readouterr().out  # sorted by Spark, not held whole
+    assert blocks.count() == 9
+
+
+class _Sensors:
+    """The state of a call without a stream."""
+
+    def __init__(self):
+        self.kept = {}
+        self.getValue, self.removeKey = self.kept.get, self.kept.pop
+        self.updateValue = self.kept.__setitem__
+
+    def getMapState(self, *_):
+        return self
+
+
+def test_a_hot_sensors_blocks_wait_outside_of_memory():
+    """Blocks come out of order, a few at a time; all of them hold 60 MB, the call a fraction."""
+    size, blocks = 10_000, 30
+
+    def block(number):
+        seqs = np.arange(number * size, (number + 1) * size)
+        return pd.DataFrame([(0, "hot", number, size, True, seqs, 1_000_000 + seqs * 1_000,
+                              np.arange(1, size + 1), np.ones(size, bool),
+                              np.array([f"{s:0150d}" for s in seqs], object))], columns=BLOCK_ROW.names)
+
+    state, processor = _Sensors(), SustainedAlerts(3, 500_000, None)
+    processor.init(state)
+    tracemalloc.start()
+    try:
+        got = pd.concat(processor.handleInputRows((0,), (block(n * 7 % blocks) for n in range(blocks)), None))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got["seq"].tolist() == list(range(2, size * blocks, 501))
+    assert (got["consecutive_breaches"] == got["seq"] + 1).all()
+    assert (got["reading"].astype(int) == got["seq"]).all()
+    assert state.kept == {("hot",): (size * blocks, 1_000_000 + int(got["seq"].iloc[-1]) * 1_000)}
+    assert peak < 35e6
+
+
 def test_restart_keeps_state(spark, tmp_path):
     rows = readings(11)
     for number in range(4):
