@@ -27,7 +27,7 @@ from gaugeflow.streaming.alerts import stream_alerts
 from gaugeflow.streaming.durations import stream_lasting_breaches
 from gaugeflow.streaming.latest import latest_table, latest_table_job
 from gaugeflow.streaming.results import TABLES, result_tables_job
-from gaugeflow.streaming.start import finish, start_files
+from gaugeflow.streaming.start import few_partitions, finish, start_files
 from gaugeflow.streaming.windows import closed_windows, late_readings, windows_and_late
 
 UNBROKEN_FROM, UNBROKEN_COOLDOWN = 1_704_067_200_000, 1_000_003
@@ -318,7 +318,7 @@ def _in_arrival_parts(spark, sf_dir) -> DataFrame:
 def _windows_and_late(spark, sf_dir, size: str) -> DataFrame:
     return _fed_in_parts(spark, _in_arrival_parts(spark, sf_dir), "part",
                          lambda events: windows_and_late(events, size, buckets=2), "windows-late",
-                         partition="kind")
+                         partition="kind", state_partitions=few_partitions(spark))
 
 
 @query

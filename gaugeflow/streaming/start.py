@@ -25,6 +25,13 @@ def query_conf(spark: SparkSession, **settings: str | None) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def few_partitions(spark: SparkSession, per_core: int = 4) -> int:
+    """State partitions for a query whose tasks hold one key at a time: every one starts a Python
+    worker and opens a store in each micro-batch, so more than cores can use only cost time."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+               per_core * spark.sparkContext.defaultParallelism)
+
+
 def start_files(rows: DataFrame, path: str, checkpoint: str, interval: str | None,
                 file_format: str = "parquet", partition: str | None = None,
                 state_partitions: int | None = None) -> StreamingQuery:

@@ -25,13 +25,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.sql.types import (
-    ArrayType, DoubleType, LongType, StringType, StructField, StructType)
+    BinaryType, DoubleType, LongType, StringType, StructField, StructType)
 
 from gaugeflow.functions.exact_sum import digit_names, exact_total, with_digits
 from gaugeflow.functions.parsing import accepted, parse_events
 from gaugeflow.operators.windows import finished_windows
 from gaugeflow.schema import WATERMARK, WINDOW
-from gaugeflow.streaming.start import start_files
+from gaugeflow.streaming.start import few_partitions, start_files
 
 BUCKETS = 64
 WINDOWS, LATE = "windows", "late"
@@ -49,8 +49,9 @@ PART = StructType([StructField(n, t) for n, t in {
 OUT = StructType([StructField(n, t) for n, t in {
     "kind": StringType(), **{n: t for n, t in KEY.items() if n != "bucket"}, "sensor_id": StringType(),
     **NUMBERS, **{a: StringType() for a in ATTRIBUTES}, "reading": StringType()}.items()])
-STATE = StructType([StructField(n, ArrayType(t)) for n, t in {
-    "sensor_id": StringType(), **NUMBERS, **LASTS}.items()])
+# a window's sensors as one Arrow stream: as a list per column, every number would be an object
+HELD = ["sensor_id", *NUMBERS, *LASTS]
+STATE = StructType([StructField("rows", BinaryType())])
 READING = ("sensor_id string, seq bigint, event_us bigint, value double, sensor_type string, "
            "location string")
 SEPARATOR = "\x1e"  # JSON writes control characters as escapes
@@ -128,20 +129,23 @@ class ClosingWindows(StatefulProcessor):
             self._handle.registerTimer(end)
         whole = _combined(pa.concat_tables(parts).sort_by(
             [(name, "ascending") for name in (*KEY, "sensor_id")]))
-        self._state.update(tuple(whole.column(f.name).to_pylist() for f in STATE))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, HELD_ARROW) as writer:
+            writer.write_table(whole.select(HELD).cast(HELD_ARROW))
+        self._state.update((sink.getvalue().to_pybytes(),))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self._state.exists():
-            whole = self._read(key).select([f.name for f in STATE])
+            whole = self._read(key).select(HELD)
             self._state.clear()
             yield self._out(WINDOWS, int(key[1]), whole.to_pandas(types_mapper=pd.ArrowDtype))
 
     def _read(self, key) -> pa.Table:
-        held = dict(zip([f.name for f in STATE], self._state.get()))
-        size = len(held["sensor_id"])
-        held |= {"bucket": [int(key[0])] * size, "window_end": [int(key[1])] * size,
-                 "readings": [""] * size}
-        return pa.table({f.name: pa.array(list(held[f.name]), f.type) for f in ARROW}, ARROW)
+        held = pa.ipc.open_stream(self._state.get()[0]).read_all()
+        more = {"bucket": pa.repeat(pa.scalar(int(key[0]), pa.int64()), len(held)),
+                "window_end": pa.repeat(pa.scalar(int(key[1]), pa.int64()), len(held)),
+                "readings": pa.repeat(pa.scalar(""), len(held))}
+        return pa.table([more[n] if n in more else held.column(n) for n in ARROW.names], ARROW)
 
     def _out(self, kind: str, end: int, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.assign(kind=kind, window_end=end)
@@ -154,6 +158,7 @@ class ClosingWindows(StatefulProcessor):
 
 _ARROW_TYPES = {LongType(): pa.int64(), DoubleType(): pa.float64(), StringType(): pa.string()}
 ARROW = pa.schema([pa.field(f.name, _ARROW_TYPES[f.dataType]) for f in PART])
+HELD_ARROW = pa.schema([ARROW.field(name) for name in HELD])
 
 
 def windows_and_late(events: DataFrame, size: str = WINDOW, watermark: str = WATERMARK,
@@ -199,4 +204,5 @@ def windows_and_late_job(envelope: DataFrame, path: str, checkpoint: str, strict
                          size: str = WINDOW, watermark: str = WATERMARK) -> StreamingQuery:
     """Both outputs, exactly once, in folders of one table: ``kind=windows`` and ``kind=late``."""
     return start_files(windows_and_late(accepted(parse_events(envelope, strict)), size, watermark),
-                       path, checkpoint, interval, partition="kind", state_partitions=state_partitions)
+                       path, checkpoint, interval, partition="kind",
+                       state_partitions=state_partitions or few_partitions(envelope.sparkSession))

@@ -2,12 +2,15 @@ import random
 from collections import defaultdict
 from math import fsum
 
+import pandas as pd
 import pytest
 
 from data import EVENTS, at, event
 from gaugeflow.schema import WINDOW
-from gaugeflow.streaming.start import finish, start_files
-from gaugeflow.streaming.windows import LATE, WINDOWS, closed_windows, late_readings, windows_and_late
+from gaugeflow.streaming.start import few_partitions, finish, query_conf, start_files
+from gaugeflow.streaming.windows import (
+    BEYOND, DIGITS, LATE, PART, WINDOWS, ClosingWindows, closed_windows, late_readings,
+    windows_and_late)
 
 
 def run(spark, tmp_path, batches, size=WINDOW, **options):
@@ -93,3 +96,64 @@ def test_missing_values_and_odd_texts(spark, tmp_path):
     assert {(r.sensor_id, r.value, r.location) for r in late_readings(out).collect()} == {
         ("a", None, "Hall-A1"), ("a\x1e\"", 2.0, "line\nbreak")}
     assert {r.kind for r in out.select("kind").distinct().collect()} == {WINDOWS, LATE}
+
+
+class _State:
+    """One value's state, and the handle and timer values of a call, without a stream."""
+
+    def __init__(self):
+        self.row, self.timers = None, []
+        self.registerTimer = self.timers.append
+
+    def getValueState(self, *_):
+        return self
+
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+    def exists(self):
+        return self.row is not None
+
+    def get(self):
+        return self.row
+
+    def update(self, row):
+        self.row = row
+
+    def clear(self):
+        self.row = None
+
+
+def test_a_window_of_many_sensors_is_kept_as_bytes():
+    """As objects, a window's sensors cost a Python number per sensor and column and batch."""
+    sensors = 50_000
+
+    def part(first, seq):
+        names = [f"s{i}" for i in range(first, first + sensors)]
+        return pd.DataFrame({
+            "bucket": 0, "window_end": 60_000, "sensor_id": names,
+            **{n: 1.0 if n == BEYOND else seq for n in (*DIGITS, BEYOND)}, "numbers": 1, "event_count": 1,
+            "min_value": float(seq), "max_value": float(seq), "sensor_type_seq": seq,
+            "sensor_type": f"t{seq}", "location_seq": [None] * sensors, "location": [None] * sensors,
+            "readings": "{}"})[PART.names]
+
+    state, processor = _State(), ClosingWindows()
+    processor.init(state)
+    for first, seq in ((0, 1), (10_000, 2)):
+        assert not list(processor.handleInputRows((0, 60_000), iter([part(first, seq)]), state) or ())
+    assert len(state.row) == 1 and isinstance(state.row[0], bytes)
+    out, = processor.handleExpiredTimer((0, 60_000), state, None)
+    assert not state.exists() and state.timers == [60_000]
+    got = out.set_index("sensor_id")
+    assert len(got) == 60_000 and (got["event_count"].sum() == 100_000)
+    both, first, last = got.loc["s20000"], got.loc["s5"], got.loc["s59999"]
+    assert (both["min_value"], both["max_value"], both["sensor_type"], both[DIGITS[0]]) == (1, 2, "t2", 3)
+    assert (first["sensor_type"], last["sensor_type"], last["max_value"]) == ("t1", "t2", 2)
+    assert got["location"].isna().all()
+
+
+def test_state_partitions_do_not_grow_with_the_shuffle(spark):
+    cores = spark.sparkContext.defaultParallelism
+    for shuffle, want in ((2, 2), (100_000, 4 * cores)):
+        with query_conf(spark, spark__sql__shuffle__partitions=str(shuffle)):
+            assert few_partitions(spark) == want
