@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.sql.types import (
     ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType)
@@ -61,6 +61,11 @@ SENSOR = StructType([StructField("sensor_id", StringType())])
 STATE = StructType([StructField("run", LongType()), StructField("last_alert", LongType())])
 
 
+def slot(block: int) -> Column:
+    """The slot of a reading's block; a block is never parted."""
+    return F.pmod(F.xxhash64("sensor_id", F.expr(f"seq div {block}")), F.lit(SLOTS))
+
+
 def reduce_blocks(readings: DataFrame, min_consecutive: int, block: int, buckets: int,
                   partitions: int | None = None) -> DataFrame:
     """One row per (sensor, block): possible alerts and the run at the block's end.
@@ -111,8 +116,7 @@ def reduce_blocks(readings: DataFrame, min_consecutive: int, block: int, buckets
 
     spread = readings.withColumns({
         "_block": F.expr(f"seq div {block}"),
-        "_bucket": F.pmod(F.xxhash64("sensor_id"), F.lit(buckets).cast("long"))}).withColumn(
-        "_slot", F.pmod(F.xxhash64("sensor_id", "_block"), F.lit(SLOTS)))
+        "_bucket": F.pmod(F.xxhash64("sensor_id"), F.lit(buckets).cast("long")), "_slot": slot(block)})
     if partitions:
         spread = spread.repartition(partitions, "_slot")
     return spread.groupBy("_slot").applyInArrow(reduce, BLOCK_ROW)

@@ -30,7 +30,7 @@ from gaugeflow.functions.parsing import accepted, parse_events
 from gaugeflow.operators.alerts import LASTING, as_reading, lasting_rows
 from gaugeflow.schema import WATERMARK
 from gaugeflow.sources.metadata import Metadata
-from gaugeflow.streaming.alerts import BUCKETS, STREAM_BLOCK
+from gaugeflow.streaming.alerts import BUCKETS, STREAM_BLOCK, slot
 from gaugeflow.streaming.start import start_files
 
 BLOCK_ROW = StructType([
@@ -53,11 +53,8 @@ def reduce_runs(readings: DataFrame, min_us: int, block: int, buckets: int) -> D
     """One row per (sensor, block): the time of its first reading, and its runs. Runs that end
     in the block too early, and do not go on from the block before, are left out."""
 
-    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        share = [b for b in batches if b.num_rows]
-        if not share:
-            return
-        rows = pa.Table.from_batches(share).sort_by(
+    def reduce(share: pa.Table) -> pa.Table:
+        rows = share.sort_by(
             [("sensor_id", "ascending"), ("_block", "ascending"), ("seq", "ascending")])
         size = len(rows)
         names, blocks = rows.column("sensor_id"), rows.column("_block")
@@ -86,19 +83,18 @@ def reduce_runs(readings: DataFrame, min_us: int, block: int, buckets: int) -> D
             return pa.ListArray.from_arrays(pa.array(bounds), values)
 
         first = rows.take(heads)
-        table = pa.table({
+        return pa.table({
             "bucket": first.column("_bucket"), "sensor_id": first.column("sensor_id"),
             "block": first.column("_block"), "first_us": first.column("event_us"),
             "leads": pa.array(breach[heads]), "seqs": lists(some.column("seq").combine_chunks()),
             "since": lists(pa.array(times[starts[kept]])), "until": lists(pa.array(until[kept])),
             "closed": lists(pa.array(closed[kept])),
             "readings": lists(some.column("reading").combine_chunks())})
-        yield from table.to_batches(max_chunksize=1_000)
 
     spread = readings.withColumns({
         "_block": F.expr(f"seq div {block}"),
-        "_bucket": F.pmod(F.xxhash64("sensor_id"), F.lit(buckets).cast("long"))})
-    return spread.repartition("sensor_id", "_block").mapInArrow(reduce, BLOCK_ROW)
+        "_bucket": F.pmod(F.xxhash64("sensor_id"), F.lit(buckets).cast("long")), "_slot": slot(block)})
+    return spread.groupBy("_slot").applyInArrow(reduce, BLOCK_ROW)
 
 
 class LastingBreaches(StatefulProcessor):
