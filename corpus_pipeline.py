@@ -13,7 +13,7 @@ from gaugeflow.llm.bpe import encoded_documents
 from gaugeflow.llm.decontamination import without_contaminated
 from gaugeflow.llm.minhash_forest import one_per_class
 from gaugeflow.llm.names import free_name
-from gaugeflow.llm.pii import pseudonymise
+from gaugeflow.llm.pii import application_key, pseudonymise
 from gaugeflow.llm.toxicity import train
 from gaugeflow.session import materialize
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +48,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates for personal data."""
-    return pseudonymise(docs)
+    return pseudonymise(docs, application_key(spark))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,6 +32,8 @@ import hashlib
 import hmac
 import os
 import re
+import secrets
+import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,8 @@ from gaugeflow.session import materialize
 DEFAULT_KEY = "change-me"
 #: Where a key is looked up, in this order. Spark's logs hide settings with this ending.
 KEY_SETTING, KEY_VARIABLE = "spark.gaugeflow.pii.secret", "GAUGEFLOW_PII_KEY"
+#: Keys drawn for applications that were given none, by application id. They stay on the driver.
+_DRAWN: dict[str, str] = {}
 #: Draws before giving up; each round settles all but a small share of the rest.
 ROUNDS = 40
 
@@ -447,16 +451,35 @@ def assignments(found: DataFrame, key: str) -> DataFrame:
     raise RuntimeError("surrogates still collide; the name lists are too small for this corpus")
 
 
+class MissingKey(RuntimeError):
+    """A session that is not local was given no key."""
+
+
 def session_key(spark: SparkSession) -> str:
     """The key of the session setting, else of the driver's environment; only local sessions go without."""
     key = spark.conf.get(KEY_SETTING, None) or os.environ.get(KEY_VARIABLE)
     if key:
         return key
     if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {KEY_SETTING} or {KEY_VARIABLE} to a key of your own")
+        raise MissingKey(f"set {KEY_SETTING} or {KEY_VARIABLE} to a key of your own")
     return DEFAULT_KEY
 
 
+def application_key(spark: SparkSession) -> str:
+    """The session's key; without one on a cluster, a random key that lasts as long as the application.
+
+    For jobs that nobody hands a key. Nobody knows a drawn key, so nobody can list numbers and undo
+    its surrogates; they agree within the application, but not with those of another one.
+    """
+    try:
+        return session_key(spark)
+    except MissingKey as missing:
+        application = spark.sparkContext.applicationId
+        if application not in _DRAWN:
+            warnings.warn(f"{missing}; until then surrogates agree within {application} only", stacklevel=2)
+        return _DRAWN.setdefault(application, secrets.token_hex(32))
+
+
 def pseudonymise(documents: DataFrame, key: str | None = None, count: str | None = None) -> DataFrame:
     """The documents with entities replaced; `count` names a column for the number of mentions.
 

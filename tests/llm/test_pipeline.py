@@ -4,6 +4,7 @@ import hashlib
 
 import corpus_pipeline
 import public_tokenizers
+import pytest
 import tiktoken
 from __spark_entry__ import oracle_sql, queries
 from gaugeflow.llm import bpe, pii
@@ -53,6 +54,33 @@ def test_stages_keep_the_columns(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_personal_data_on_a_cluster_without_a_key(spark, monkeypatch):
+    texts = ["Mail jo.81@mail3.example.com or call +1 (017) 555-7713.", "JO.81@MAIL3.EXAMPLE.COM again", None, "none"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+
+    def stage():
+        return [r.text for r in corpus_pipeline.personal_data(spark, docs, SF).orderBy("doc_id").collect()]
+
+    monkeypatch.delenv(pii.KEY_VARIABLE, raising=False)
+    local = stage()
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://cluster:7077")
+    monkeypatch.setattr(pii, "_DRAWN", {})
+    with pytest.warns(UserWarning, match=pii.KEY_SETTING):
+        first = stage()
+    mail = first[0].split()[1]
+    assert first[1] == f"{mail.upper()} again" and first[2:] == [None, "none"]
+    assert mail not in texts[0] and mail not in local[0]  # neither the original nor the public key's
+    assert stage() == first  # one key per application
+    pii._DRAWN.clear()
+    with pytest.warns(UserWarning):
+        assert mail not in stage()[0]
+    monkeypatch.setenv(pii.KEY_VARIABLE, "of the environment")
+    given = stage()
+    monkeypatch.setattr(pii, "_DRAWN", {})
+    assert stage() == given != first
+
+
 def test_registration():
     names = queries()
     assert set(QUERIES) < set(names) and "pipeline" in names
