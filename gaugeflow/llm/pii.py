@@ -16,7 +16,8 @@ Collision checks over the whole corpus keep surrogates distinct: no two entities
 of a kind share one, and none equals an entity that occurs. Who collides (all but
 the smallest canonical form) draws again until nobody does. Draws beyond the first
 are exceptions; documents that mention one are joined to them, all others need
-nothing but the key.
+nothing but the key. Late draws add letters to addresses and secrets, and draw the country
+code of phone numbers too, as forms with few signs have few others.
 
 Null and empty texts stay as they are. Rows are kept one to one with all their
 columns; only text changes (and n_chars, if there is one, where text changed).
@@ -316,13 +317,18 @@ def surrogate(kind: str, canonical: str, attempt: int, key: str) -> str:
         name, _, domain = canonical.rpartition("@")
         host, _, top = domain.rpartition(".")
         # below a name that is reserved for examples, so that no real address can result
-        return f"{draw.like(name)}@{draw.like(host.removesuffix('.example'))}.example.{top}"
+        return (f"{draw.like(name)}{draw.more(attempt)}"
+                f"@{draw.like(host.removesuffix('.example'))}.example.{top}")
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind == "phone":
         code, _, rest = canonical.partition("|")
         if code == "0" and rest[0] != "0":  # 00 would begin a country code
             return f"0|{1 + draw.below(9)}{draw.like(rest[1:])}"
+        if attempt > ROUNDS // 2 and code not in ("", "0"):  # a short number, whose code has too few others
+            digits = f"{1 + draw.below(9)}{draw.like(code[1:] + rest)}"
+            code = CODE.match(digits)[0]
+            return f"{code}|{digits[len(code):]}"
         return f"{code}|{draw.like(rest)}"
     if kind == "account":
         body = canonical[0] + draw.like(canonical[1:-1])

@@ -13,7 +13,7 @@ from gaugeflow.llm.decontamination import contamination
 from gaugeflow.llm.exact_dedup import mark_duplicates
 from gaugeflow.llm.minhash_forest import jaccard_join
 from gaugeflow.llm.mtree import top_k
-from gaugeflow.llm.pii import pseudonymise
+from gaugeflow.llm.pii import application_key, pseudonymise
 from gaugeflow.llm.prefix_trie import conversation_trie
 from gaugeflow.llm.quality import quality_scores
 from gaugeflow.llm.suffix_index import remove_repeats
@@ -59,7 +59,7 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced, and the number of mentions."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonymise(documents, count="n_mentions")
+    return pseudonymise(documents, application_key(spark), count="n_mentions")
 
 
 @query

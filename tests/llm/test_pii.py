@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import pii
+from gaugeflow.llm.queries import QUERIES
 
 TEXTS = {
     1: "Mail jo.81@mail3.example.com or JO.81@MAIL3.EXAMPLE.COM, not jo@home.",
@@ -158,3 +159,42 @@ def test_key_comes_from_the_session(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         pii.session_key(Cluster)
+
+
+def test_forms_with_few_others_do_not_run_out(spark, monkeypatch):
+    monkeypatch.setattr(pii, "ROUNDS", 10)
+    phones = [f"+353 {n:04d}" for n in range(8000)]
+    rows = [(i, " or ".join(phones[i::100])) for i in range(100)]
+    rows += [(100, "mail _@_.com"), (101, "mail _@_.example.com"), (102, "mail +@_.com and _@_.COM")]
+    got = {r.doc_id: r.text for r in pii.pseudonymise(frame(spark, rows), "key").collect()}
+    new = [p for i in range(100) for p in got[i].split(" or ")]
+    assert len(set(new)) == len(phones) and not set(new) & set(phones)
+    assert all(re.fullmatch(r"\+\d{3} \d{4}", p) for p in new) and sum(p.startswith("+353 ") for p in new) > 1000
+    mails = [w for i in (100, 101, 102) for w in got[i].split() if "@" in w]
+    assert len({m.lower() for m in mails}) == 3 and mails[0].upper() == mails[3]
+    assert not {m.lower() for m in mails} & {"_@_.com", "_@_.example.com", "+@_.com"}
+
+
+def test_query_on_a_cluster_without_a_key(spark, monkeypatch, tmp_path):
+    frame(spark, [*TEXTS.items(), (8, None)]).write.parquet(f"{tmp_path}/documents.parquet")
+    documents = spark.read.parquet(f"{tmp_path}/documents.parquet").select("doc_id", "text")
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect() if r.text is not None)
+
+    def op4():
+        return rows(QUERIES["op4_pii_surrogates"](spark, str(tmp_path)))
+
+    monkeypatch.delenv(pii.KEY_VARIABLE, raising=False)
+    monkeypatch.setattr(pii, "_DRAWN", {}, raising=False)
+    local = op4()
+    assert local == rows(pii.pseudonymise(documents, pii.DEFAULT_KEY, count="n_mentions")) and not pii._DRAWN
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://cluster:7077")
+    with pytest.raises(RuntimeError):
+        pii.pseudonymise(documents)
+    with pytest.warns(UserWarning, match=pii.KEY_SETTING):
+        first = op4()
+    assert [(d, n) for d, _, n in first] == [(d, n) for d, _, n in local]
+    assert all((a == b) == (n == 0) for (_, a, n), (_, b, _) in zip(first, local))
+    (key,) = pii._DRAWN.values()
+    assert op4() == first == rows(pii.pseudonymise(documents, key, count="n_mentions"))
